@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import decontaminate, mixing, quality_rules, sharding, url_filter
+from folioscope.llm import decontaminate, mixing, ngram_join, quality_rules, sharding, url_filter
 from folioscope.session import table
 
 
@@ -17,6 +17,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), spark).select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), spark).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.score(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
@@ -33,11 +37,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op5_mixing": op5_mixing,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filters": op8_url_filters,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL = {
     "op2_sharding": sharding.sql(),
+    "op6_ngram_jaccard_join": ngram_join.SQL,
     "op10_decontamination": decontaminate.SQL,
 }
