@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import decontaminate, mixing, quality_rules, sharding
+from folioscope.llm import decontaminate, mixing, ngram_join, quality_rules, sharding
 from folioscope.llm._shared import kept
 from folioscope.session import table
 
@@ -18,6 +18,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.accepted(docs, table(spark, sf_dir, "labels"), spark)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of documents linked by 5-word shingles at a similarity of 0.8 or more."""
+    return ngram_join.one_of_each(docs, spark)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents contaminated by benchmark items."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), spark)
@@ -33,7 +38,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.place(docs, slot_col="slot")
 
 
-STAGES = [("quality", quality), ("decontamination", decontamination), ("mixing", mix), ("sharding", shard)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", mix), ("sharding", shard)]
 
 #: The quality classifier is fitted, which SQL can't express.
 ORACLE_SQL = None
