@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import decontaminate, mixing, ngram_join, quality_rules, sharding, url_filter
+from folioscope.llm import decontaminate, mixing, ngram_join, quality_rules, sharding, token_store, url_filter
 from folioscope.session import table
 
 
@@ -30,6 +30,12 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), spark)
 
 
+def op9_token_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_store.scratch_path(spark)
+    token_store.write_store(table(spark, sf_dir, "documents"), path)
+    return token_store.digest_store(spark, path)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spark)
 
@@ -40,6 +46,7 @@ QUERIES = {
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filters": op8_url_filters,
+    "op9_token_bitplanes": op9_token_bitplanes,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL = {
