@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import decontaminate, mixing, ngram_join, quality_rules, sharding, token_store, url_filter
+from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, quality_rules, sharding, token_store, url_filter
 from folioscope.session import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return sharding.place(docs, slot_col="slot").select("doc_id", "source", "slot", "shard")
@@ -41,6 +45,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
     "op5_mixing": op5_mixing,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
