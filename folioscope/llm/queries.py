@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, quality_rules, sharding, token_store, url_filter
+from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, quality_rules, sharding, token_store, topk, url_filter
 from folioscope.session import table
 
 
@@ -17,6 +17,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, slot_col="slot").select("doc_id", "source", "slot", "shard")
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), spark)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), spark).select("doc_id", "size", "source_size", "target", "taken", "shards")
 
@@ -47,6 +51,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
+    "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_quality_rules": op7_quality_rules,
@@ -56,6 +61,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op2_sharding": sharding.sql(),
+    "op4_exact_topk": topk.SQL,
     "op6_ngram_jaccard_join": ngram_join.SQL,
     "op10_decontamination": decontaminate.SQL,
 }
