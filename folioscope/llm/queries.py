@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, quality_rules, sharding, token_store, topk, url_filter
+from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, pii, quality_rules, sharding, token_store, topk, url_filter
 from folioscope.session import table
 
 
@@ -17,6 +17,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, slot_col="slot").select("doc_id", "source", "slot", "shard")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"), spark)
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), spark)
 
@@ -51,6 +55,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
+    "op3_pii": op3_pii,
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
