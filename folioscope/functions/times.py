@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def from_epoch(t: Column) -> Column:
     """Seconds or milliseconds since 1970 (over 1e12: milliseconds) as a timestamp without zone."""
-    ms = F.when(t > 1e12, t).otherwise(t * 1000)
+    ms = F.when(t > 1e12, t.cast("double")).otherwise(t.cast("double") * 1000)
     return F.timestamp_millis(ms.cast("long")).cast("timestamp_ntz")
 
 

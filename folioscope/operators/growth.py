@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -230,8 +231,6 @@ _OUT = "total long, hits array<struct<keyword:string,weight:int,count:int,polari
 
 def scored(df: DataFrame, text: str, rules: RuleSet, industries: str | None = None) -> DataFrame:
     """df with growth_total and growth_hits of each row's text (industries: a column of array<string>)."""
-    import pandas as pd
-
     @F.pandas_udf(_OUT)
     def run(texts: pd.Series, names: pd.Series) -> pd.DataFrame:
         out = [rules.score(t, [] if n is None else list(n)) for t, n in zip(texts, names, strict=True)]

@@ -1,6 +1,733 @@
-"""All queries of the relational, text and rule operators, with their SQL."""
+"""All queries of the relational, text and rule operators over the driver's tables, each with SQL that gives the same rows.
+
+The tables stand in for those of report analytics: documents for texts, orders for reports (o_custkey the company, o_orderdate the
+publication), lineitem for hits (weight l_linenumber, count l_quantity), customer, nation and region for the stock master and
+its three levels of industry, events for creation times, conversations for headings.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from folioscope.functions import keys as K
+from folioscope.functions import numbers as N
+from folioscope.functions import text as X
+from folioscope.functions import times as T
+from folioscope.operators import digest as D
+from folioscope.operators import growth, latest, lookup, merge, search, sections, tree
+from folioscope.sources import readers, sinks
+from folioscope.session import table
+from folioscope.streaming import incremental
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+KEYWORDS = (("tion", 3, "pos"), ("ation", 5, "pos"), ("worth", 2, "pos"), ("the", 1, "pos"), ("idiot", -20, "neg"), ("stupid", -10, "neg"), ("er", -1, "neg"), ("onth", -2, "neg"))
+AS_OF, WINDOW = date(1998, 12, 1), (datetime(1995, 1, 1), datetime(1996, 6, 30, 12))
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _masked_sql(text: str = "coalesce(text, '')", source: str = "documents", cols: str = "doc_id") -> str:
+    """CTEs t0..tn: counts of the keywords, longest first, each on what the ones before left."""
+    order = sorted(range(len(KEYWORDS)), key=lambda i: (-len(KEYWORDS[i][0]), i))
+    out, seen = [f"t0 AS (SELECT {cols}, {text} AS x FROM {source})"], ""
+    for n, i in enumerate(order):
+        k = KEYWORDS[i][0]
+        out.append(f"t{n + 1} AS (SELECT {cols}, {seen}CAST((length(x) - length(replace(x, {_lit(k)}, ''))) // {len(k)} AS INTEGER) AS c{n}, replace(x, {_lit(k)}, repeat('█', {len(k)})) AS x FROM t{n})")
+        seen += f"c{n}, "
+    return ", ".join(out)
+
+
+_ORDER = sorted(range(len(KEYWORDS)), key=lambda i: (-len(KEYWORDS[i][0]), i))
+_N = len(KEYWORDS)
+_SCORE = " + ".join(f"{KEYWORDS[i][1]} * c{n}" for n, i in enumerate(_ORDER))
+_HITS = " UNION ALL ".join(f"SELECT doc_id, {_lit(KEYWORDS[i][0])} AS keyword, CAST({KEYWORDS[i][1]} AS INTEGER) AS weight, {_lit(KEYWORDS[i][2])} AS polarity, c{n} AS hit_count FROM t{_N} WHERE c{n} > 0" for n, i in enumerate(_ORDER))
+
+
+def _docs(spark, d):
+    return table(spark, d, "documents").select("doc_id", "text")
+
+
+# ---- keyword scores -----------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_masked_sql()} SELECT doc_id, CAST({_SCORE} AS BIGINT) AS score FROM t{_N}")
+def keyword_score_total(spark, d):
+    return _docs(spark, d).select("doc_id", X.points(X.masked_hits(F.col("text"), X.dictionary(KEYWORDS))).alias("score"))
+
+
+@query(f"WITH {_masked_sql()} {_HITS}")
+def keyword_hits_long(spark, d):
+    h = _docs(spark, d).select("doc_id", F.explode(X.masked_hits(F.col("text"), X.dictionary(KEYWORDS))).alias("h"))
+    return h.select("doc_id", "h.keyword", "h.weight", "h.polarity", F.col("h.count").alias("hit_count"))
+
+
+@query(f"WITH {_masked_sql()}, l AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) SELECT quality, CAST(sum({_SCORE}) AS BIGINT) AS score, count(*) AS n FROM t{_N} LEFT JOIN l USING (doc_id) GROUP BY quality")
+def keyword_score_by_group(spark, d):
+    s = keyword_score_total(spark, d)
+    labels = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return s.join(labels, "doc_id", "left").groupBy("quality").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("n"))
+
+
+_PLAIN = [f"CAST((length(x) - length(replace(x, {_lit(k)}, ''))) // {len(k)} AS INTEGER)" for k, _, _ in KEYWORDS]
+
+
+@query(f"WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\s+', '', 'g') AS x FROM documents) SELECT doc_id, CAST({' + '.join(f'{c} * {w}' for c, (_, w, p) in zip(_PLAIN, KEYWORDS, strict=True) if p == 'pos')} AS BIGINT) AS good, CAST({' + '.join(f'{c} * {w}' for c, (_, w, p) in zip(_PLAIN, KEYWORDS, strict=True) if p == 'neg')} AS BIGINT) AS bad FROM t")
+def keyword_score_plain(spark, d):
+    h = _docs(spark, d).select("doc_id", X.plain_hits(F.col("text"), X.dictionary(KEYWORDS)).alias("h"))
+    of = lambda p: X.points(F.filter("h", lambda x: x["polarity"] == p))
+    return h.select("doc_id", of("pos").alias("good"), of("neg").alias("bad"))
+
+
+@query(f"WITH {_masked_sql()}, h AS ({_HITS}), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY abs(weight * hit_count) DESC, list_position([{', '.join(_lit(KEYWORDS[i][0]) for i in _ORDER)}], keyword)) AS k FROM h) SELECT doc_id, string_agg(keyword || '×' || hit_count || '(' || CASE WHEN weight * hit_count > 0 THEN '+' ELSE '' END || weight * hit_count || ')', '；' ORDER BY k) AS badge FROM r WHERE k <= 4 GROUP BY doc_id")
+def keyword_badge(spark, d):
+    h = _docs(spark, d).select("doc_id", X.masked_hits(F.col("text"), X.dictionary(KEYWORDS)).alias("h")).where(F.size("h") > 0)
+    return h.select("doc_id", D.badge(F.col("h")).alias("badge"))
+
+
+# ---- digest rows --------------------------------------------------------------------------------------------------
+
+_AGG = "a AS (SELECT l_orderkey, CAST(sum(CAST(l_linenumber AS DOUBLE) * l_quantity) AS BIGINT) AS score_total, string_agg(l_returnflag || '(' || CAST(l_quantity AS BIGINT) || ')', '；' ORDER BY -abs(l_linenumber * l_quantity), l_returnflag, l_suppkey, l_extendedprice, l_linenumber) AS hit_list FROM lineitem GROUP BY 1)"
+
+
+def _totals(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_suppkey", "l_extendedprice")
+    return D.hit_totals(li, "l_orderkey", "l_returnflag", "l_linenumber", "l_quantity", ["l_suppkey", "l_extendedprice", "l_linenumber"])
+
+
+def _orders(spark, d):
+    return table(spark, d, "orders")
+
+
+@query(f"WITH {_AGG} SELECT o_orderkey, o_custkey, c_name, o_orderdate, coalesce(score_total, 0) AS score_total FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN a ON o_orderkey = l_orderkey")
+def digest_rows(spark, d):
+    o = _orders(spark, d).select("o_orderkey", "o_custkey", "o_orderdate").withColumn("c_custkey", F.col("o_custkey")).withColumn("l_orderkey", F.col("o_orderkey"))
+    t = _totals(spark, d)
+    c = table(spark, d, "customer").select("c_custkey", "c_name")
+    out = o.join(c, "c_custkey").join(t, "l_orderkey", "left")
+    return out.select("o_orderkey", "o_custkey", "c_name", "o_orderdate", F.coalesce("score_total", F.lit(0).cast("long")).alias("score_total"))
+
+
+@query(f"WITH {_AGG} SELECT l_orderkey, score_total, hit_list FROM a")
+def hits_concat_ordered(spark, d):
+    return _totals(spark, d)
+
+
+@query("SELECT l_orderkey, string_agg(l_returnflag || '|' || l_linenumber || '|' || CAST(l_quantity AS BIGINT) || '|' || l_linestatus, chr(10) ORDER BY -abs(l_linenumber * CAST(l_quantity AS BIGINT)), l_returnflag, l_linenumber, CAST(l_quantity AS BIGINT), l_linestatus) AS details FROM lineitem GROUP BY 1")
+def hits_detail_lines(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", F.col("l_quantity").cast("long").alias("q"), "l_linestatus")
+    return D.hit_details(li, "l_orderkey", "l_returnflag", "l_linenumber", "q", "l_linestatus").select("l_orderkey", D.written_details(F.col("details")).alias("details"))
+
+
+@query("WITH x AS (SELECT l_orderkey, l_linestatus, l_returnflag, l_linenumber, CAST(l_quantity AS BIGINT) AS q, row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY -abs(l_linenumber * CAST(l_quantity AS BIGINT)), l_returnflag, l_linenumber, CAST(l_quantity AS BIGINT)) AS r FROM lineitem) SELECT l_orderkey, l_returnflag AS label, CAST(l_linenumber AS INTEGER) AS weight, CAST(q AS INTEGER) AS hit_count, l_linestatus AS context FROM x WHERE r = 1")
+def hits_detail_parsed(spark, d):
+    p = hits_detail_lines(spark, d).select("l_orderkey", F.explode(D.parsed_details(F.col("details"))).alias("h"))
+    return p.select("l_orderkey", "h.label", "h.weight", F.col("h.count").alias("hit_count"), "h.context")
+
+
+@query("SELECT max(l_orderkey) AS top_key, count(DISTINCT l_suppkey) AS suppliers, CAST(count_if(l_quantity >= 30) AS BIGINT) AS slow, avg(l_quantity) AS mean, min(l_shipdate) AS first_day, max(l_shipdate) AS last_day FROM lineitem")
+def run_counters(spark, d):
+    return table(spark, d, "lineitem").agg(F.max("l_orderkey").alias("top_key"), F.countDistinct("l_suppkey").alias("suppliers"), F.count_if(F.col("l_quantity") >= 30).alias("slow"), F.avg("l_quantity").alias("mean"), F.min("l_shipdate").alias("first_day"), F.max("l_shipdate").alias("last_day"))
+
+
+# ---- latest, de-duplication, ranks --------------------------------------------------------------------------------
+
+_NEWEST = "row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC NULLS LAST, o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST)"
+
+
+def _newest():
+    return [F.year("o_orderdate").desc_nulls_last(), F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").desc_nulls_last()]
+
+
+@query(f"SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, {_NEWEST} AS r FROM orders) WHERE r = 1")
+def latest_per_key(spark, d):
+    return latest.top_per_key(_orders(spark, d).select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], _newest())
+
+
+@query(f"SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, {_NEWEST} AS r FROM orders) WHERE r = 1 AND o_orderdate > TIMESTAMP '1995-01-01' AND o_orderdate <= TIMESTAMP '1996-06-30 12:00:00'")
+def global_latest_in_window(spark, d):
+    o = _orders(spark, d).select("o_custkey", "o_orderkey", "o_orderdate")
+    return latest.globally_latest(o.where(readers.after_until(F.col("o_orderdate"), *WINDOW)), o, "o_custkey", _newest(), "o_orderkey")
+
+
+@query("SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1")
+def latest_by_max_id(spark, d):
+    return latest.latest_by_max_id(_orders(spark, d).select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", "o_orderkey")
+
+
+def _dedupe(tie):
+    return f"SELECT user_id, event_type, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('day', ts) DESC NULLS LAST, event_id {tie}) AS r FROM events) WHERE r = 1"
+
+
+@query(_dedupe("DESC"))
+def dedupe_last_wins(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_type", "event_id", "ts")
+    return latest.dedupe(e, ["user_id", "event_type"], F.date_trunc("day", "ts"), "event_id", "last")
+
+
+@query(_dedupe("ASC"))
+def dedupe_first_wins(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_type", "event_id", "ts")
+    return latest.dedupe(e, ["user_id", "event_type"], F.date_trunc("day", "ts"), "event_id", "first")
+
+
+@query("SELECT event_type, min(event_id) AS event_id FROM events GROUP BY 1")
+def first_seen(spark, d):
+    return latest.first_seen(table(spark, d, "events").select("event_type", "event_id"), ["event_type"], "event_id")
+
+
+@query("SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC NULLS LAST, o_orderdate DESC NULLS LAST, o_orderkey) AS INTEGER) AS rank FROM orders")
+def rank_score_desc(spark, d):
+    o = _orders(spark, d).select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    return D.ranked(o, D.by_score(F.col("o_totalprice"), F.col("o_orderdate"), F.col("o_orderkey")), part=["o_custkey"]).select("o_custkey", "o_orderkey", "rank")
+
+
+@query("SELECT user_id, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts) DESC NULLS LAST, CAST(ts AS DATE) DESC NULLS LAST, event_id) AS INTEGER) AS rank FROM events")
+def rank_time_desc(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", "ts")
+    return D.ranked(e, D.by_time(F.col("ts"), F.to_date("ts"), F.col("event_id")), part=["user_id"]).select("user_id", "event_id", "rank")
+
+
+@query("SELECT * FROM (SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC, o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS rank FROM orders) WHERE rank <= 3")
+def topk_per_group(spark, d):
+    o = _orders(spark, d).select("o_custkey", "o_orderkey", "o_orderdate")
+    return D.ranked(o, D.by_year(F.year("o_orderdate"), F.col("o_orderdate"), F.col("o_orderkey"), F.col("o_custkey")), 3, ["o_custkey"]).select("o_custkey", "o_orderkey", "rank")
+
+
+@query("SELECT o_orderkey, o_totalprice, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderdate DESC, o_orderkey) AS INTEGER) AS rank FROM orders QUALIFY rank <= 10")
+def topk_global(spark, d):
+    o = _orders(spark, d).select("o_orderkey", "o_totalprice", "o_orderdate")
+    return D.ranked(o, D.by_score(F.col("o_totalprice"), F.col("o_orderdate"), F.col("o_orderkey")), 10).select("o_orderkey", "o_totalprice", "rank")
+
+
+# ---- scans and windows --------------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1995-03-15'")
+def scan_eq(spark, d):
+    return _orders(spark, d).where(readers.on_day(F.to_date("o_orderdate"), date(1995, 3, 15))).select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'")
+def scan_between(spark, d):
+    return _orders(spark, d).where(readers.between_days(F.to_date("o_orderdate"), date(1995, 1, 1), date(1995, 12, 31))).select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate > TIMESTAMP '1995-01-01' AND o_orderdate <= TIMESTAMP '1996-06-30 12:00:00'")
+def scan_half_open(spark, d):
+    return _orders(spark, d).where(readers.after_until(F.col("o_orderdate"), *WINDOW)).select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'")
+def scan_to_score(spark, d):
+    o = _orders(spark, d).select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("publish_date"), F.col("o_orderdate").alias("created_at"))
+    return readers.to_score(o, start=datetime(1997, 1, 1)).select(F.col("id").alias("o_orderkey"), F.col("publish_date").alias("o_orderdate"))
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_custkey = 7")
+def scan_by_code(spark, d):
+    o = _orders(spark, d)
+    return readers.scan(o, F.col("o_custkey") == 7, D.by_year(F.year("o_orderdate"), F.col("o_orderdate"), F.col("o_orderkey"), F.col("o_custkey"))).select("o_orderkey", "o_orderdate")
+
+
+def _slice(unit_sql):
+    return f"SELECT {unit_sql} AS period, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1"
+
+
+@query(_slice("strftime(ts, '%Y-%m-%d')"))
+def slice_day(spark, d):
+    return incremental.slice_sizes(table(spark, d, "events"), "ts", "day")
+
+
+@query(_slice("strftime(ts, '%G-W%V')"))
+def slice_iso_week(spark, d):
+    return incremental.slice_sizes(table(spark, d, "events"), "ts", "week")
+
+
+@query(_slice("strftime(ts, '%Y-%m')"))
+def slice_month(spark, d):
+    return incremental.slice_sizes(table(spark, d, "events"), "ts", "month")
+
+
+@query("SELECT strftime(CAST(o_orderdate AS DATE) + 1, '%G-W%V') AS tab, count(*) AS n FROM orders GROUP BY 1")
+def tab_sunday_week(spark, d):
+    o = _orders(spark, d).withColumn("tab", sinks.tab_of("weekly_sunday", F.col("o_orderdate"), F.to_date("o_orderdate"), F.lit(AS_OF)))
+    return o.groupBy("tab").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT month(o_orderdate) || '.' || day(o_orderdate) AS tab, count(*) AS n FROM orders GROUP BY 1")
+def tab_m_d(spark, d):
+    o = _orders(spark, d).withColumn("tab", sinks.tab_of("daily", F.col("o_orderdate"), F.to_date("o_orderdate"), F.lit(AS_OF)))
+    return o.groupBy("tab").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH t AS (SELECT strftime(o_orderdate, '%Y-%m') AS tab, min(o_orderkey) AS index FROM orders GROUP BY 1) SELECT tab, CAST(row_number() OVER (ORDER BY CASE WHEN regexp_full_match(tab, '[0-9]{4}-[0-9]{2}') THEN 0 ELSE 1 END, CASE WHEN regexp_full_match(tab, '[0-9]{4}-[0-9]{2}') THEN tab END DESC NULLS LAST, index, tab) - 1 AS INTEGER) AS place FROM t")
+def tabs_sorted(spark, d):
+    t = _orders(spark, d).groupBy(T.month_label(F.col("o_orderdate")).alias("tab")).agg(F.min("o_orderkey").alias("index"))
+    return sinks.sorted_tabs(t).select("tab", "place")
+
+
+@query("SELECT event_id, make_timestamp(CAST(event_id AS BIGINT) * 1000000 + 1500000000000000) AS from_seconds, make_timestamp((CAST(event_id AS BIGINT) * 1000 + 1500000000000) * 1000) AS from_millis FROM events")
+def epoch_autodetect(spark, d):
+    e = table(spark, d, "events")
+    return e.select("event_id", T.from_epoch(F.col("event_id") + F.lit(1500000000)).alias("from_seconds"), T.from_epoch(F.col("event_id") * 1000 + F.lit(1500000000000)).alias("from_millis"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) AS b, CAST(o_orderdate AS DATE) AS c, CAST(NULL AS DATE) AS e FROM orders")
+def dates_parsed(spark, d):
+    o = _orders(spark, d)
+    f = lambda p: T.to_day(F.date_format("o_orderdate", p))
+    return o.select("o_orderkey", f("yyyy-MM-dd").alias("a"), f("yyyy/M/d").alias("b"), f("yyyyMMdd").alias("c"), T.to_day(F.lit("no date")).alias("e"))
+
+
+# ---- filters ------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 1996")
+def publish_year_filter(spark, d):
+    return _orders(spark, d).where(D.of_publish_year(F.col("o_orderdate"), 1996)).select("o_orderkey")
+
+
+@query("SELECT event_id FROM events WHERE NOT (coalesce(CAST(trunc(value) AS INTEGER), 0) = 0 AND trim(CASE WHEN event_type = 'click' THEN '' ELSE event_type END) = '')")
+def visible_filter(spark, d):
+    hits = F.when(F.col("event_type") == "click", "").otherwise(F.col("event_type"))
+    return table(spark, d, "events").where(D.visible(F.col("value").cast("int"), hits)).select("event_id")
+
+
+@query("SELECT doc_id, NOT starts_with(trim(coalesce(text, '')), '[PARSE_FAILED]') AND (length(trim(coalesce(text, ''))) >= 5000 OR length(trim(coalesce(text, ''))) >= 500) AS complete FROM documents")
+def completeness(spark, d):
+    t, none = F.col("text"), F.lit(None).cast("string")
+    return _docs(spark, d).select("doc_id", X.complete_sections(t, t, none, none, none).alias("complete"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') ORDER BY o_orderkey LIMIT 100")
+def universe_filter(spark, d):
+    c = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return _orders(spark, d).join(c, "o_custkey", "left_semi").orderBy("o_orderkey").limit(100).select("o_orderkey", "o_custkey")
+
+
+_TITLE = "c_name || CASE c_custkey % 5 WHEN 0 THEN '2024年年度报告' WHEN 1 THEN '2023年年度报告摘要' WHEN 2 THEN '关于2022年年度报告的说明' WHEN 3 THEN '2021 年度报告关于' ELSE '公告' END"
+
+
+@query(f"WITH t AS (SELECT c_custkey, {_TITLE} AS title FROM customer) SELECT c_custkey, CAST(nullif(regexp_extract(title, '(20[0-9]{{2}})\\s*年?\\s*年度报告', 1), '') AS INTEGER) AS year FROM t WHERE contains(title, '年度报告') AND NOT contains(title, '摘要') AND (instr(title, '关于') = 0 OR instr(title, '年度报告') < instr(title, '关于'))")
+def title_filter(spark, d):
+    n = F.col("c_custkey") % 5
+    t = F.concat("c_name", F.when(n == 0, "2024年年度报告").when(n == 1, "2023年年度报告摘要").when(n == 2, "关于2022年年度报告的说明").when(n == 3, "2021 年度报告关于").otherwise("公告"))
+    return table(spark, d, "customer").select("c_custkey", t.alias("title")).where(K.title_is_report(F.col("title"))).select("c_custkey", K.title_year(F.col("title")).alias("year"))
+
+
+@query(f"WITH t AS (SELECT c_custkey, {_TITLE} AS title, c_custkey % 2 = 0 AS pdf FROM customer) SELECT c_custkey FROM t WHERE contains(title, '年度报告') AND NOT contains(title, '摘要') AND NOT contains(title, '说明') AND pdf")
+def valid_report_filter(spark, d):
+    n = F.col("c_custkey") % 5
+    t = F.concat("c_name", F.when(n == 0, "2024年年度报告").when(n == 1, "2023年年度报告摘要").when(n == 2, "关于2022年年度报告的说明").when(n == 3, "2021 年度报告关于").otherwise("公告"))
+    url = F.when(F.col("c_custkey") % 2 == 0, "http://x/a.PDF").otherwise("http://x/a.html")
+    return table(spark, d, "customer").where(K.valid_report(t, url)).select("c_custkey")
+
+
+# ---- lookups and unions -------------------------------------------------------------------------------------------
+
+
+@query("SELECT code, coalesce(arg_min(name, o) FILTER (name <> ''), '') AS name FROM (SELECT c_custkey AS code, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS name, 0 AS o FROM customer UNION ALL SELECT s_suppkey, s_name, 1 FROM supplier) GROUP BY code")
+def universe_union(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("code"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_name")).alias("name"))
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("code"), F.col("s_name").alias("name"))
+    return lookup.name_backfill([c, s], "code", "name")
+
+
+@query("SELECT o_custkey AS code, coalesce(c_name, '') AS name FROM (SELECT DISTINCT o_custkey FROM orders) LEFT JOIN customer ON o_custkey = c_custkey")
+def name_backfill(spark, d):
+    o = _orders(spark, d).select(F.col("o_custkey").alias("code"), F.lit("").alias("name")).distinct()
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("code"), F.col("c_name").alias("name"))
+    return lookup.name_backfill([o, c.join(o.select("code"), "code", "left_semi")], "code", "name")
+
+
+_LEVELS = "SELECT c_custkey AS code, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS l1, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE n_name END AS l2 FROM customer JOIN nation ON c_nationkey = n_nationkey"
+_FALL = "SELECT c_custkey AS code, r_name AS l1, n_name AS l2 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 8 <> 0"
+
+
+def _sources(spark, d):
+    c, n, r = (table(spark, d, t) for t in ("customer", "nation", "region"))
+    cn = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    one = cn.select(F.col("c_custkey").alias("code"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")).alias("l1"), F.when(F.col("c_custkey") % 2 == 0, "").otherwise(F.col("n_name")).alias("l2"))
+    two = cn.join(r, F.col("n_regionkey") == F.col("r_regionkey")).where("c_custkey % 8 <> 0").select(F.col("c_custkey").alias("code"), F.col("r_name").alias("l1"), F.col("n_name").alias("l2"))
+    return c.select(F.col("c_custkey").alias("code")), [("master", one), ("reports", two)]
+
+
+def _chain_sql(any_: bool) -> str:
+    test = f"(coalesce(trim(a.l1), '') <> '' {'OR' if any_ else 'AND'} coalesce(trim(a.l2), '') <> '')"
+    return f"WITH a AS ({_LEVELS}), b AS ({_FALL}) SELECT a.code, CASE WHEN {test} THEN a.l1 ELSE b.l1 END AS l1, CASE WHEN {test} THEN a.l2 ELSE b.l2 END AS l2, CASE WHEN {test} THEN 'master' WHEN b.code IS NOT NULL THEN 'reports' END AS found_in FROM a LEFT JOIN b USING (code)"
+
+
+@query(_chain_sql(True))
+def lookup_fallback_struct(spark, d):
+    keys, src = _sources(spark, d)
+    return lookup.chained(keys, "code", src, ["l1", "l2"], "any")
+
+
+@query(_chain_sql(False))
+def lookup_fallback_all(spark, d):
+    keys, src = _sources(spark, d)
+    return lookup.chained(keys, "code", src, ["l1", "l2"], "all")
+
+
+@query(f"WITH b AS ({_FALL}), a AS ({_LEVELS}) SELECT code, l1, l2 FROM b UNION ALL SELECT code, l1, l2 FROM a WHERE code NOT IN (SELECT code FROM b)")
+def map_precedence(spark, d):
+    _, src = _sources(spark, d)
+    return lookup.map_by_precedence([src[1][1], src[0][1]], "code")
+
+
+@query(f"WITH b AS ({_FALL}) SELECT CAST(count_if(b.code IS NOT NULL) AS BIGINT) AS hits, CAST(count_if(b.code IS NULL) AS BIGINT) AS misses, count(*) AS total FROM customer LEFT JOIN b ON c_custkey = code")
+def miss_summary(spark, d):
+    keys, src = _sources(spark, d)
+    j = keys.join(src[1][1].select(F.col("code").alias("k")), F.col("code") == F.col("k"), "left")
+    return lookup.hits_and_misses(j, F.col("k").isNotNull())
+
+
+@query("SELECT o_custkey, count(DISTINCT o_orderpriority) AS names FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1")
+def renamed_keys(spark, d):
+    return lookup.renamed_keys(_orders(spark, d), "o_custkey", "o_orderpriority")
+
+
+@query("SELECT o_orderkey, least(CAST(o_orderdate AS DATE), DATE '1996-01-01') AS lookup_date FROM orders")
+def clamped_dates(spark, d):
+    return _orders(spark, d).select("o_orderkey", lookup.clamped_date(F.to_date("o_orderdate"), F.lit(date(1996, 1, 1))).alias("lookup_date"))
+
+
+@query("SELECT DISTINCT o_custkey, o_orderpriority FROM orders")
+def distinct_pairs(spark, d):
+    return _orders(spark, d).select("o_custkey", "o_orderpriority").distinct()
+
+
+# ---- splits, merges -----------------------------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def semi_split_updates(spark, d):
+    o = _orders(spark, d).where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return merge.split_by_presence(li, o, ["l_orderkey"])[0]
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def anti_split_appends(spark, d):
+    o = _orders(spark, d).where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return merge.split_by_presence(li, o, ["l_orderkey"])[1]
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 150000)")
+def delete_by_join(spark, d):
+    o = _orders(spark, d).where("o_totalprice > 150000").select(F.col("o_orderkey").alias("l_orderkey"))
+    return merge.delete_by_key(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), o, ["l_orderkey"])
+
+
+@query("WITH s AS (SELECT o_custkey AS c_custkey, arg_max(o_orderpriority, o_orderkey) AS c_mktsegment FROM orders GROUP BY 1 UNION ALL SELECT -1, 'NEW') SELECT coalesce(s.c_custkey, c.c_custkey) AS c_custkey, c.c_name, coalesce(s.c_mktsegment, c.c_mktsegment) AS c_mktsegment, c.c_acctbal FROM customer c FULL JOIN s ON c.c_custkey = s.c_custkey")
+def upsert_merge(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    s = _orders(spark, d).select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("c_mktsegment"), F.col("o_orderkey").alias("ordinal"))
+    s = s.union(spark.range(1).select(F.lit(-1).cast("long"), F.lit("NEW"), F.lit(0).cast("long")))
+    return merge.upsert(c, s, ["c_custkey"], ordinal="ordinal")
+
+
+@query("WITH s AS (SELECT * FROM orders WHERE o_orderstatus = 'O'), t AS (SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_quantity FROM lineitem) SELECT * FROM t WHERE l_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT o_orderkey, 1, 0.0::DOUBLE FROM s")
+def replace_by_key(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    s = _orders(spark, d).where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(0.0).alias("l_quantity"))
+    return merge.replace_by_key(li, s, "l_orderkey")
+
+
+@query("SELECT o_orderkey, o_custkey, coalesce(c_mktsegment, o_orderpriority) AS o_orderpriority, c_custkey IS NOT NULL AS touched FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey")
+def broadcast_update(spark, d):
+    o = _orders(spark, d).select("o_orderkey", "o_custkey", "o_orderpriority")
+    v = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("o_orderpriority"))
+    return merge.update_by_key(o, v, "o_custkey", ["o_orderpriority"])
+
+
+# ---- codes, keys, previews ----------------------------------------------------------------------------------------
+
+_CODE = "lpad(CAST((c_custkey * 7919) % 1000000 AS VARCHAR), 6, '0')"
+
+
+@query(f"WITH c AS (SELECT c_custkey, {_CODE} AS k FROM customer), f AS (SELECT *, left(k, 1) AS p FROM c) SELECT c_custkey, CASE WHEN p = '6' THEN 'SSE' WHEN p IN ('0', '3') THEN 'SZSE' WHEN p IN ('8', '4', '9') THEN 'BSE' END AS exchange, CASE WHEN p = '6' THEN 'SSE' WHEN p IN ('0', '3') THEN 'SZSE' ELSE 'BSE' END AS exchange_or_bse, CASE WHEN left(k, 3) IN ('600', '601', '603', '605', '688', '689', '900') THEN 'sse' ELSE 'szse' END AS feed, k || CASE WHEN p IN ('6', '9') THEN '.XSHG' ELSE '.XSHE' END AS symbol, k || CASE WHEN p = '6' OR left(k, 3) = '900' THEN '.SH' WHEN p IN ('4', '8', '9') THEN '.BJ' ELSE '.SZ' END AS symbol_short FROM f")
+def code_classify(spark, d):
+    k = K.normal_code(((F.col("c_custkey") * 7919) % 1000000).cast("string"))
+    return table(spark, d, "customer").select("c_custkey", k.alias("k")).select("c_custkey", K.exchange(F.col("k")).alias("exchange"), K.exchange_or_bse(F.col("k")).alias("exchange_or_bse"), K.column_of(F.col("k")).alias("feed"), K.vendor_suffix(F.col("k")).alias("symbol"), K.vendor_suffix_short(F.col("k")).alias("symbol_short"))
+
+
+@query("SELECT o_orderkey, o_custkey || '-' || year(o_orderdate) AS key, o_custkey || '-' || year(o_orderdate) || '-' || strftime(o_orderdate, '%Y-%m-%d') AS long_key, regexp_replace(o_custkey || '|' || o_orderpriority, '[^0-9A-Za-z]+', '_', 'g') AS nav FROM orders")
+def synthetic_key(spark, d):
+    y = F.year("o_orderdate")
+    return _orders(spark, d).select("o_orderkey", K.row_key(F.col("o_custkey"), y).alias("key"), K.row_key(F.col("o_custkey"), y, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("long_key"), K.nav_key(F.col("o_custkey"), F.col("o_orderpriority")).alias("nav"))
+
+
+@query("SELECT doc_id, CAST(strlen(text) AS INTEGER) AS bytes, CAST(length(text) AS INTEGER) AS chars, left(text, 200) AS preview FROM documents")
+def preview_lengths(spark, d):
+    return _docs(spark, d).select("doc_id", F.octet_length("text").alias("bytes"), F.length("text").alias("chars"), F.left("text", F.lit(200)).alias("preview"))
+
+
+@query("SELECT p_partkey, CASE WHEN trim(p_brand) <> '' THEN trim(p_brand) ELSE p_name END AS picked, coalesce(p_type, '') AS first_present FROM part")
+def present_columns(spark, d):
+    p = table(spark, d, "part")
+    return p.select("p_partkey", K.first_filled(F.col("p_brand"), F.col("p_name")).alias("picked"), merge.coalesce_present(p, ["missing", "p_type", "p_name"]).alias("first_present"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size <= 26 THEN chr(CAST(64 + p_size AS INTEGER)) ELSE chr(CAST(64 + (p_size - 1) // 26 AS INTEGER)) || chr(CAST(65 + (p_size - 1) % 26 AS INTEGER)) END AS letter, regexp_replace(p_type || ':x?', '[\\\\/:*?\"<>|\\r\\n\\t]+', '_', 'g') AS file FROM part")
+def column_letters(spark, d):
+    return table(spark, d, "part").select("p_partkey", X.column_letter(F.col("p_size")).alias("letter"), X.safe_filename(F.concat("p_type", F.lit(":x?"))).alias("file"))
+
+
+# ---- growth rules -------------------------------------------------------------------------------------------------
+
+_PCT = "(CAST(trunc(l_quantity) AS INTEGER) + l_linenumber * 0.5::DOUBLE)"
+_KEY = "l_orderkey, l_linenumber, l_suppkey, l_extendedprice"
+
+
+def _mentions(spark, d):
+    v = F.col("l_quantity").cast("int") + F.col("l_linenumber") * F.lit(0.5)
+    li = table(spark, d, "lineitem").select(*_KEY.split(", "), v.alias("v"))
+    who = F.when(F.col("l_linenumber") % 2 == 0, "本公司").otherwise("")
+    cost = F.when(F.col("l_linenumber") % 3 == 0, "成本").otherwise("收入")
+    return li.withColumn("sentence", F.concat(who, cost, F.lit("同比增长"), N.short_number(F.col("v")), F.lit("%。")))
+
+
+@query(f"SELECT {_KEY}, CASE WHEN {_PCT} >= 20 THEN greatest(1, CAST(ceil(least(trunc({_PCT} * 0.1), 4) * 0.5) AS INTEGER)) END AS points FROM lineitem")
+def growth_rule_points(spark, d):
+    pct = F.regexp_extract("sentence", r"同比增长(\d+(?:\.\d+)?)\s*%", 1).cast("double")
+    return _mentions(spark, d).select(*_KEY.split(", "), N.linear_points(pct, 0.1, 4, 20.0, 0.5).alias("points"))
+
+
+@query(f"SELECT {_KEY}, CASE WHEN {_PCT} >= 40 THEN 8 WHEN {_PCT} >= 20 THEN 3 WHEN {_PCT} >= 5 THEN 1 END AS points FROM lineitem")
+def growth_rule_thresholds(spark, d):
+    return _mentions(spark, d).select(*_KEY.split(", "), N.step_points(F.col("v"), [(20, 3), (5, 1), (40, 8)]).alias("points"))
+
+
+_RULES = growth.RuleSet((growth.GrowthRule(phrase="同比增长", cap=12),))
+_BASE = f"CAST(trunc({_PCT} * 0.1) AS INTEGER)"
+_ADJ = f"CASE WHEN l_linenumber % 2 = 0 THEN {_BASE} WHEN l_linenumber % 3 = 0 THEN -greatest(1, CAST(trunc({_BASE} * 0.5) AS INTEGER)) ELSE {_BASE} END"
+
+
+@query(f"SELECT {_KEY}, CAST(CASE WHEN {_PCT} >= 20 THEN {_ADJ} ELSE 0 END AS BIGINT) AS total FROM lineitem")
+def growth_adjust(spark, d):
+    g = growth.scored(_mentions(spark, d), "sentence", _RULES)
+    return g.select(*_KEY.split(", "), F.col("growth_total").alias("total"))
+
+
+_SEEN = f"WITH m AS (SELECT DISTINCT l_orderkey, {_PCT} AS v, CASE WHEN l_linenumber % 2 = 0 THEN '本公司' ELSE '' END || CASE WHEN l_linenumber % 3 = 0 THEN '成本' ELSE '收入' END AS c, {_ADJ} AS p FROM lineitem WHERE {_PCT} >= 20)"
+
+
+@query(f"{_SEEN} SELECT l_orderkey, CAST(sum(p) AS BIGINT) AS total, CAST(count(DISTINCT v) AS INTEGER) AS labels, CAST(count(*) AS BIGINT) AS mentions FROM m GROUP BY 1")
+def growth_dedupe_agg(spark, d):
+    """A document for each order: the same label in the same clause counts once, labels are aggregated."""
+    text = F.array_join(F.array_sort(F.collect_list("sentence")), "")
+    docs = _mentions(spark, d).groupBy("l_orderkey").agg(text.alias("text"))
+    g = growth.scored(docs, "text", _RULES).where(F.size("growth_hits") > 0)
+    return g.select("l_orderkey", F.col("growth_total").alias("total"), F.size("growth_hits").alias("labels"), F.aggregate("growth_hits", F.lit(0).cast("long"), lambda a, h: a + h["count"]).alias("mentions"))
+
+
+# ---- text ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN coalesce(text, '') ELSE CASE WHEN trim(coalesce(source, '')) <> '' AND trim(coalesce(lang, '')) <> '' THEN source || chr(10) || chr(10) || lang ELSE coalesce(source, '') || coalesce(lang, '') END END AS merged FROM documents")
+def merge_sections(spark, d):
+    doc = table(spark, d, "documents")
+    part = lambda c: F.when(F.col("doc_id") % 3 != 0, F.col(c)).otherwise("  ")
+    return doc.select("doc_id", X.merged_sections([part("source"), part("lang")], F.col("text")).alias("merged"))
+
+
+@query("SELECT doc_id, CASE WHEN length(t) > 500 THEN rtrim(left(t, 500), ' ') || chr(10) || chr(10) || '[...TRUNCATED...]' ELSE t END AS section FROM (SELECT doc_id, trim(CASE WHEN doc_id % 2 = 0 THEN source ELSE coalesce(text, '') END, ' ') AS t FROM documents)")
+def fallback_section(spark, d):
+    doc = table(spark, d, "documents")
+    return doc.select("doc_id", X.section_or(F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(" "), F.concat(F.lit(X.PARSE_FAILED + " reason=x\n"), F.col("text")), 500).alias("section"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 120 THEN rtrim(left(text, 120), ' ') || chr(10) || chr(10) || '[...TRUNCATED...]' ELSE text END AS cut FROM documents")
+def truncate(spark, d):
+    return _docs(spark, d).select("doc_id", X.truncated(F.col("text"), 120).alias("cut"))
+
+
+@query("SELECT doc_id, replace(array_to_string(list_transform(list_filter(string_split(replace(coalesce(text, ''), chr(13), ''), chr(10)), lambda s: trim(s) <> '' AND NOT regexp_full_match(trim(s), '[0-9]{1,4}(\\s*/\\s*[0-9]{1,4})?') AND NOT regexp_full_match(trim(s), '[-+|]{3,}')), lambda s: trim(s)), chr(10)), ' ', '') AS clean FROM documents")
+def line_filter(spark, d):
+    return _docs(spark, d).select("doc_id", X.normalized(F.col("text")).alias("clean"))
+
+
+@query("SELECT doc_id, array_to_string(list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: NOT (regexp_matches(s, '[.．·…]{2,}\\s*[0-9]{1,4}\\s*$') OR (length(trim(s)) <= 30 AND regexp_matches(trim(s), '\\s[0-9]{1,4}$') AND NOT regexp_matches(trim(s), '\\s(19|20)[0-9][0-9]$')))), chr(10)) AS clean FROM documents")
+def toc_strip(spark, d):
+    return _docs(spark, d).select("doc_id", X.without_toc(F.col("text")).alias("clean"))
+
+
+_LINES = "l AS (SELECT doc_id, CAST(generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS INTEGER) AS line_no, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)"
+_TABLE = "(contains(line, '|') AND regexp_matches(line, '[0-9]') AND length(regexp_replace(line, '\\s', '', 'g')) > 2 AND NOT regexp_matches(line, '[。！？]'))"
+
+
+def _lines(spark, d):
+    return _docs(spark, d).select("doc_id", F.posexplode(X.lines(F.col("text"))).alias("line_no", "line"))
+
+
+@query(f"WITH {_LINES}, s AS (SELECT *, trim(line) AS s, regexp_replace(line, '\\s', '', 'g') AS b FROM l), n AS (SELECT *, length(b) AS n, length(regexp_replace(b, '[^0-9]', '', 'g')) AS dg FROM s) SELECT doc_id, line_no, s <> '' AND NOT regexp_matches(s, '[。！？]') AND n > 2 AND ((regexp_matches(s, '[|\\t┃│—-]|\\s{{2,}}') AND dg > 0) OR (n <= 40 AND (dg >= 6 OR (dg >= 3 AND regexp_matches(b, '[,%‰，]')))) OR (n <= 50 AND n >= 10 AND regexp_full_match(b, '[0-9,.%‰()（）+\\-—\\p{{Han}}]+') AND dg > 0)) AS is_row FROM n")
+def table_like_lines(spark, d):
+    return _lines(spark, d).select("doc_id", "line_no", X.table_like(F.col("line")).alias("is_row"))
+
+
+@query(f"WITH {_LINES}, f AS (SELECT *, contains(line, '|') AS fl FROM l), g AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - row_number() OVER (PARTITION BY doc_id, fl ORDER BY line_no) AS g FROM f), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, fl, g ORDER BY line_no) AS k, count(*) OVER (PARTITION BY doc_id, fl, g) AS n FROM g) SELECT doc_id, line_no, CAST(CASE WHEN fl AND n >= 3 AND k = 1 THEN n - 2 ELSE 0 END AS BIGINT) AS dropped FROM r WHERE NOT (fl AND n >= 3) OR k <= 1 OR k > n - 1")
+def compress_runs(spark, d):
+    r = latest.compressed_runs(_lines(spark, d), ["doc_id"], "line_no", F.contains("line", F.lit("|")), 3, 1, 1)
+    return r.select("doc_id", "line_no", F.col("dropped").cast("long").alias("dropped"))
+
+
+_SENT = "list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '[。！？!?；;]'), lambda s: trim(regexp_replace(s, '\\s+', ' ', 'g'))), lambda s: s <> '')"
+
+
+@query(f"SELECT doc_id, CAST(len(s) AS INTEGER) AS sentences, list_extract(s, 1) AS first_sentence FROM (SELECT doc_id, {_SENT} AS s FROM documents)")
+def sentence_context(spark, d):
+    return _docs(spark, d).select("doc_id", X.sentences(F.col("text")).alias("s")).select("doc_id", F.size("s").alias("sentences"), F.try_element_at("s", F.lit(1)).alias("first_sentence"))
+
+
+@query(f"WITH s AS (SELECT doc_id, list_filter({_SENT}, lambda s: contains(s, 'worth')) AS s FROM documents), u AS (SELECT doc_id, unnest(s) AS x, generate_subscripts(s, 1) AS i FROM s), f AS (SELECT doc_id, x, min(i) AS i FROM u GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS r FROM f), j AS (SELECT doc_id, string_agg(x, ' | ' ORDER BY r) AS x FROM k WHERE r <= 3 GROUP BY 1) SELECT doc_id, CASE WHEN length(x) > 4000 THEN rtrim(left(x, 4000), ' ') || '…' ELSE x END AS context FROM j")
+def distinct_sentences(spark, d):
+    return _docs(spark, d).select("doc_id", X.sentences_with(F.col("text"), F.lit("worth")).alias("context")).where("context IS NOT NULL")
+
+
+@query("WITH p AS (SELECT doc_id, text, instr(text, 'ation') - 1 AS i FROM documents WHERE contains(text, 'ation')) SELECT doc_id, CASE WHEN i > 90 THEN '…' ELSE '' END || trim(regexp_replace(substr(text, CAST(greatest(0, i - 90) + 1 AS BIGINT), CAST(least(length(text), i + 90) - greatest(0, i - 90) AS BIGINT)), '\\s+', ' ', 'g')) || CASE WHEN i + 90 < length(text) THEN '…' ELSE '' END AS around FROM p")
+def window_context(spark, d):
+    return _docs(spark, d).where(F.contains("text", F.lit("ation"))).select("doc_id", X.window_around(F.col("text"), F.instr("text", "ation") - 1).alias("around"))
+
+
+@query("WITH t AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS t FROM documents), n AS (SELECT *, length(t) AS n, regexp_matches(t, '[。；！？;!?]') AS prose, length(regexp_replace(t, '[^0-9]', '', 'g')) AS dg, length(t) - length(replace(t, '%', '')) AS pc, length(t) - length(replace(t, '|', '')) AS pp, length(t) - length(replace(t, ',', '')) AS cm FROM t) SELECT doc_id, t <> '' AND ((pp >= 2 AND n >= 140) OR (cm >= 14 AND n >= 260 AND NOT prose) OR (n >= 420 AND dg / greatest(n, 1) > 0.26 AND NOT prose) OR (pc >= 5 AND n >= 260 AND NOT prose)) AS noise FROM n")
+def table_noise(spark, d):
+    return _docs(spark, d).select("doc_id", X.table_noise(F.col("text")).alias("noise"))
+
+
+@query("SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&apos;') AS xml FROM documents")
+def xml_escape(spark, d):
+    return _docs(spark, d).select("doc_id", X.xml_escaped(F.col("text")).alias("xml"))
+
+
+# ---- trees, search, runs ------------------------------------------------------------------------------------------
+
+_H = "h AS (SELECT conv_id, turn AS idx, CAST((turn * 7 + conv_id) % 4 + 1 AS INTEGER) AS level, CAST(turn * 3 AS BIGINT) AS page, 'T' || turn AS title FROM (SELECT conv_id, turn FROM conversations GROUP BY 1, 2))"
+
+
+def _headings(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn").distinct()
+    return c.select("conv_id", F.col("turn").alias("idx"), ((F.col("turn") * 7 + F.col("conv_id")) % 4 + 1).cast("int").alias("level"), (F.col("turn") * 3).alias("page"), F.concat(F.lit("T"), "turn").alias("title"))
+
+
+_PARENT = f"{_H}, p AS (SELECT h.conv_id, h.idx, max(u.idx) AS parent_idx FROM h LEFT JOIN h u ON u.conv_id = h.conv_id AND u.idx < h.idx AND u.level < h.level GROUP BY 1, 2)"
+
+
+@query(f"WITH {_PARENT} SELECT conv_id, idx, parent_idx FROM p")
+def heading_parent(spark, d):
+    return tree.with_parents(_headings(spark, d), "conv_id").select("conv_id", "idx", F.col("parent_idx").cast("long").alias("parent_idx"))
+
+
+@query(f"WITH {_H}, n AS (SELECT h.conv_id, h.idx, h.page, min(u.idx) AS next_idx FROM h LEFT JOIN h u ON u.conv_id = h.conv_id AND u.idx > h.idx AND u.level <= h.level GROUP BY 1, 2, 3) SELECT n.conv_id, n.idx, next_idx, CASE WHEN next_idx IS NULL THEN CAST(1000 AS BIGINT) ELSE greatest(n.page, h.page - 1) END AS end_page FROM n LEFT JOIN h ON h.conv_id = n.conv_id AND h.idx = next_idx")
+def heading_end(spark, d):
+    return tree.with_ends(_headings(spark, d), F.lit(1000).cast("long"), "conv_id").select("conv_id", "idx", "next_idx", "end_page")
+
+
+@query(f"WITH RECURSIVE {_PARENT}, t AS (SELECT p.*, title FROM p JOIN h USING (conv_id, idx)), r AS (SELECT conv_id, idx, title AS path FROM t WHERE parent_idx IS NULL UNION ALL SELECT t.conv_id, t.idx, r.path || ' / ' || t.title FROM t JOIN r ON t.conv_id = r.conv_id AND t.parent_idx = r.idx) SELECT conv_id, idx, path FROM r")
+def tree_path(spark, d):
+    h = tree.with_parents(_headings(spark, d), "conv_id")
+    return tree.with_paths(h, "title", "conv_id").select("conv_id", "idx", "path")
+
+
+_ALIASES = (("one", "T1", None), ("one", "T10", None), ("two", "T2", "T1"), ("none", "Q", None))
+
+
+@query(f"WITH {_H}, a AS (SELECT * FROM (VALUES ('one', 'T1', NULL), ('one', 'T10', NULL), ('two', 'T2', 'T1'), ('none', 'Q', NULL)) v(target, alias, parent)), m AS (SELECT conv_id, idx, target, least(1.0, round(CASE WHEN title = alias THEN 1.0 WHEN contains(title, alias) OR contains(alias, title) THEN 0.85 ELSE 0.0 END + CASE WHEN (contains(title, alias) OR contains(alias, title)) AND coalesce(contains('T1 / ' || title, parent), false) THEN 0.05 ELSE 0.0 END, 4))::DOUBLE AS confidence FROM h, a), k AS (SELECT *, row_number() OVER (PARTITION BY conv_id, target ORDER BY confidence DESC, idx) AS r FROM m WHERE confidence >= 0.6) SELECT conv_id, target, idx, confidence FROM k WHERE r = 1")
+def best_match(spark, d):
+    h = _headings(spark, d).withColumn("path", F.concat(F.lit("T1 / "), "title"))
+    return tree.best_matches(h, _ALIASES, "title", "path", "conv_id")
+
+
+@query("SELECT page_id, CASE WHEN contains(trim(regexp_replace(coalesce(html, ''), '\\s+', ' ', 'g')), 'the of') THEN 'MATCH_EXACT' WHEN contains(trim(regexp_replace(coalesce(url, ''), '\\s+', ' ', 'g')), 'the of') THEN 'MATCH_ALT' WHEN contains(regexp_replace(coalesce(html, ''), '\\s+', '', 'g'), 'theof') OR contains(regexp_replace(coalesce(url, ''), '\\s+', '', 'g'), 'theof') THEN 'MATCH_COMPACT' WHEN length(regexp_replace(coalesce(html, ''), '\\s+', '', 'g')) < 50 AND length(regexp_replace(coalesce(url, ''), '\\s+', '', 'g')) < 50 THEN 'NO_TEXT' WHEN contains(html, 't') AND contains(html, 'h') AND contains(html, 'e') AND contains(html, 'o') AND contains(html, 'f') THEN 'SUSPECT_SPLIT' ELSE 'NOT_FOUND' END AS status FROM pages")
+def search_status(spark, d):
+    return table(spark, d, "pages").select("page_id", search.status(F.col("html"), F.col("url"), "the of").alias("status"))
+
+
+@query("SELECT event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) IS DISTINCT FROM event_type OR row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1 AS is_new FROM events")
+def group_break(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", "event_type")
+    return latest.group_breaks(e, ["user_id"], ["event_id"], "event_type").select("event_id", "is_new")
+
+
+@query("WITH f AS (SELECT user_id, event_id, event_type = 'click' AS c FROM events), g AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, c ORDER BY event_id) AS g FROM f) SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id, c, g ORDER BY event_id) AS INTEGER) AS run_place, count(*) OVER (PARTITION BY user_id, c, g) AS run_size FROM g")
+def run_islands(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", "event_type")
+    return latest.runs(e, ["user_id"], "event_id", F.col("event_type") == "click").select("event_id", "run_place", "run_size")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, coalesce(json_extract_string(props, '$.none'), json_extract_string(props, '$.k')) AS any_k FROM events")
+def json_fields(spark, d):
+    f = lambda p: F.get_json_object("props", p)
+    return table(spark, d, "events").select("event_id", f("$.k").cast("int").alias("k"), F.coalesce(f("$.none"), f("$.k")).alias("any_k"))
+
+
+@query("SELECT doc_id, md5(text) AS digest FROM documents")
+def md5_digest(spark, d):
+    return _docs(spark, d).select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+# ---- streams ------------------------------------------------------------------------------------------------------
+
+
+def _streamed(spark, d, name, make, columns, mode="append"):
+    """The rows that a stream over a table's file gives when it has read all that is there."""
+    import uuid
+
+    from folioscope.session import shared_dir
+
+    at = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    schema = table(spark, d, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events*.parquet")
+    incremental.run_available(make(source), lambda b, i: b.select(*columns).write.mode("append").parquet(f"{at}/out/batch={i}"), f"{at}/state", mode)
+    return spark.read.parquet(f"{at}/out").drop("batch")
+
+
+@query("SELECT event_id, ts FROM events WHERE ts > (SELECT min(ts) FROM events) ")
+def stream_half_open(spark, d):
+    first = table(spark, d, "events").agg(F.min("ts").alias("m")).first()["m"]
+    return _streamed(spark, d, "window", lambda s: s.where(F.col("ts") > F.lit(first)), ["event_id", "ts"])
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS period, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_daily_counts(spark, d):
+    make = lambda s: s.groupBy(T.day_label(F.col("ts")).alias("period"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return _streamed(spark, d, "days", make, ["period", "event_type", "n"], "complete")
+
+
+@query("SELECT DISTINCT event_id FROM events")
+def stream_once_each(spark, d):
+    make = lambda s: incremental.once_each(s.withColumn("t", F.col("ts").cast("timestamp")), ["event_id"], "t", "3650 days")
+    return _streamed(spark, d, "once", make, ["event_id"])
+
+
+@query()
+def section_slices(spark, d):
+    """Sections of report-like texts that are made of the documents' lines."""
+    doc = table(spark, d, "documents")
+    made = F.concat(F.lit("一、主要业务\n"), F.coalesce("text", F.lit("")), F.lit("\n二、行业情况\n"), F.col("source"), F.lit("\n三、未来发展\n"), F.col("lang"))
+    out = sections.sections(doc.select("doc_id", made.alias("report")), "report", {"business": ("主要业务",), "industry": ("行业情况",), "future": ("未来发展",)})
+    return out.select("doc_id", "business", "industry", "future")
+
+
+ORACLE_SQL["section_slices"] = "SELECT doc_id, trim('一、主要业务' || chr(10) || coalesce(text, ''), ' ' || chr(10) || chr(9) || chr(13)) AS business, '二、行业情况' || chr(10) || source AS industry, '三、未来发展' || chr(10) || lang AS future FROM documents"
