@@ -2,8 +2,8 @@
 
 1. Base: e-mail addresses, IPv4 addresses, card numbers and phone numbers by expressions, leftmost and without overlap for
    each kind; matches that fail their check (parts, Luhn, digits) are dropped. Places count code points.
-2. Candidates: identifier-like tokens (a digit or "@" in a run of non-blank characters, with at least MIN_SIGNS of them) with the
-   word before and the word after them. Those words are the lexical patterns; base matches are the seeds.
+2. Candidates: identifier-like tokens (runs of non-blank characters with at least MIN_SIGNS digits or "@") that no base span
+   touches, with the word before and the word after them. Those words are the lexical patterns; base matches are the seeds.
 3. Bootstrapping: patterns and values form a graph. A pattern's confidence is the sum of the scores of its values
    over all occurrences of its word in the corpus, so a word that precedes anything else has next to none; a value's score is the
    noisy-or of its patterns' confidences, and 1 for seeds. ROUNDS rounds, each a join and two aggregations.
@@ -86,9 +86,10 @@ def spans_of(text: Column, pattern: str) -> Column:
         pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(ms)), ms, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
         return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda ms: F.when(F.size(ms) > 0, placed(ms)).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>")))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda ms: F.when(F.size(ms) > 0, placed(ms)).otherwise(F.array().cast(_PLACES)))
 
 
+_PLACES = "array<struct<start:int,end:int,value:string>>"
 _SPANS = "array<struct<start:int,end:int,kind:int,value:string>>"
 
 
@@ -134,15 +135,15 @@ def find(docs: DataFrame, spark: SparkSession | None = None, rounds: int = ROUND
     def beside(t: Column) -> Column:
         before = F.regexp_extract(F.substring(F.col("text"), F.greatest(t["start"] - 60, F.lit(0)) + 1, F.least(t["start"], F.lit(60))), r"(\S+)\s+$", 1)
         after = F.regexp_extract(F.substring(F.col("text"), t["end"] + 1, 60), r"^\s+(\S+)", 1)
-        return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["value"].alias("value"), F.lower(before).alias("left"), F.lower(after).alias("right"))
+        return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["kind"].alias("kind"), t["value"].alias("value"), F.lower(before).alias("left"), F.lower(after).alias("right"))
 
-    scan = kept(base.select("row", "doc_id", "base", F.transform("toks", beside).alias("toks")), spark, "pii-scan")
+    # base spans are the seeds, other identifier-like tokens that no base span touches the candidates
+    apart = F.filter(F.coalesce("toks", F.array().cast(_PLACES)), lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+    unknown = F.transform(apart, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lit(None).cast("int").alias("kind"), t["value"].alias("value")))
+    scan = kept(base.select("row", "doc_id", "base", F.transform(F.concat("base", unknown), beside).alias("toks")), spark, "pii-scan")
 
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>")
-    each = scan.where(F.size("toks") > 0).select("row", "base", F.explode("toks").alias("t")).select("row", "base", "t.*")
-    # a token is a seed if a base span lies in it; its kind is the first such span's
-    inside = F.filter("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    each = each.select("row", "start", "end", "value", "left", "right", F.try_element_at(F.transform(inside, lambda s: s["kind"]), F.lit(1)).alias("kind"))
+    empty = F.array().cast(_SPANS)
+    each = scan.where(F.size("toks") > 0).select("row", F.explode("toks").alias("t")).select("row", "t.*")
     sides = F.array(F.concat(F.lit("L:"), F.col("left")), F.concat(F.lit("R:"), F.col("right")))
     edges = kept(each.select("row", "start", "end", "value", "kind", F.explode(F.filter(sides, lambda p: F.length(p) > 2)).alias("pattern")), spark, "pii-edges")
 
