@@ -3,7 +3,7 @@
 A document's set is its distinct 5-word shingles as 64-bit hashes. For two sets with
 100 * |A n B| >= 80 * |A u B| the symmetric difference has at most (|A| + |B|) / 9 elements.
 
-1. Exact copies are grouped by digest; one of each group goes on.
+1. Exact copies are grouped by digest (64 bits of it name the group) and stand for one set.
 2. Sets are put in bands by size, each 1.25 times the last; a set meets those of its own band and of
    the band below. In a band all hashes are cut into m segments, a few more than the largest possible
    difference of two sets there. A difference of d elements touches at most d segments, so two similar sets
@@ -12,19 +12,23 @@ A document's set is its distinct 5-word shingles as 64-bit hashes. For two sets
    frequencies of segments in a bounded sample of documents, with empty segments last. In bands
    of small sets a segment can also count twice: its one-deletion neighbourhood is indexed, and a probe
    that allows one difference stands for two. Costs never change the result.
-4. Candidates: sets that share a key, at least one probing and one indexed. A bucket of n sets is not
+   A probe takes some segments more than it needs, so similar sets share more than one key.
+4. Sets with fewer shared keys than any similar set would leave are dropped. Candidates: sets that share a key, at least one probing and one indexed. A bucket of n sets is not
    expanded into pairs: all are first verified against its hub (the set with the most shared keys), which settles
    groups of copies. What is left are pairs of sets in different components so far. Similar ones must share a known
    number of elements of their differences to the hub, so they share one among the first few of those in a common
-   order (rare ones first); pairs come from a join on the hub and such an element.
+   order (rare ones first); pairs come from a join on the hub and such an element. Pairs within buckets of at most FEW
+   sets are listed as they are. Before sets move, pairs are tested by sketches (counts of elements in parts of the
+   universe), whose distance bounds the difference from below.
 5. Every candidate is verified on the full sets; components come from label propagation with pointer jumping.
 
 Shuffled are keys and ids; sets and texts move for candidates only. Nothing grows with the corpus on
 the driver.
 
 Defined results: a document with fewer than 5 words has its whole word sequence as one shingle; without
-words (or text) it has none and is linked with nothing; rows of one doc_id belong to one component; rows
-without doc_id are linked among copies but have no component_id when no id is reachable; an empty table gives an empty result.
+words (or text) it has none and is linked with nothing; rows of one doc_id with
+different texts are judged each by its text; rows without doc_id are linked like others and get the smallest id
+reachable, or null; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,13 +45,18 @@ from folioscope.llm._shared import kept, pick
 
 WORDS = 5
 #: Documents whose segments are counted to tell costs, and how often one must be seen there to cost anything.
-SAMPLE, SEEN = 4096, 4
+SAMPLE, SEEN = 16_384, 4
 #: Costs that are sent to the tasks at most.
-MAX_COSTS = 100_000
+MAX_COSTS = 200_000
 #: Largest set that indexes one-deletion neighbourhoods.
 DELETIONS = 40
-CHUNK = 4 << 20
-NO_ID = 1 << 62
+CHUNK = 1 << 20
+#: Members of a bucket whose pairs are listed one by one.
+FEW = 48
+#: Ids (8 bytes each) that may be broadcast; more are shuffled.
+MAX_BROADCAST = 1_000_000
+#: Texts whose digests a task remembers to skip their copies.
+REMEMBERED = 1_000_000
 
 _U = np.uint64
 _rng = np.random.default_rng(5)
@@ -132,13 +141,29 @@ def band_of(n: int) -> int:
     return int(np.searchsorted(LOWS, n, side="right")) - 1
 
 
+def _least_segments(band: int) -> int:
+    high = int(LOWS[band + 1]) - 1
+    return (high + high * 5 // 4) // 9 + 1
+
+
 def segments(band: int) -> int:
     """Segments of a band: the largest difference of two sets that meet there, one, and some to choose from."""
-    high = int(LOWS[band + 1]) - 1
-    most = (high + high * 5 // 4) // 9 + 1
+    most = _least_segments(band)
     return most + (most // 8 + 1 if most > 1 else 0)
 
 
+def room(band: int) -> int:
+    """Differences that a probe allows for beyond those of a similar set."""
+    high = int(LOWS[band + 1]) - 1
+    return (0 if high < 14 else 2) if high <= DELETIONS else (segments(band) - _least_segments(band)) // 2
+
+
+def shares(band: int) -> int:
+    """Keys of a band that similar sets share at least: one, and one more for each segment beyond the needed ones
+    (for every two, where a segment can count twice)."""
+    return 1 + (room(band) // 2 if int(LOWS[band + 1]) - 1 <= DELETIONS else room(band))
+
+
 def _keys(s: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a set in a band's partition: sums by segment, sizes, each element's segment and value."""
     m = segments(band)
@@ -172,11 +197,11 @@ def _probe(s: np.ndarray, band: int, most: int, hot: np.ndarray, freq: np.ndarra
     exact = _named(sums, np.arange(m), band, 0)
     once = _cost(exact, hot, freq) + (size == 0) * 1e9
     if int(LOWS[band + 1]) - 1 > DELETIONS:
-        return np.argsort(once, kind="stable")[: most + 1], none, np.empty(0, _U)
+        return np.argsort(once, kind="stable")[: most + 1 + room(band)], none, np.empty(0, _U)
     less = _named(sums[seg] - g, seg, band, 0)
     twice = _cost(_named(sums, np.arange(m), band, 1), hot, freq) + np.bincount(seg, weights=_cost(less, hot, freq), minlength=m) + (size == 0) * 1e9
     twice = np.maximum(twice + 0.5 + size * 0.01, once)  # a second difference costs some keys in any case
-    order = np.argsort(np.r_[once, twice], kind="stable")[: most + 1]
+    order = np.argsort(np.r_[once, twice], kind="stable")[: most + 1 + room(band)]
     ones, twos = order[order < m], order[order >= m] - m
     return ones, twos, np.r_[_named(sums[twos], twos, band, 1), less[np.isin(seg, twos)]]
 
@@ -211,15 +236,19 @@ _ROWS = "key long, node long, role byte"
 
 
 def _emit(hot: np.ndarray, freq: np.ndarray):
-    """Batches of node, text -> keys; besides a row with each set's size in key."""
+    """Batches of node, text -> keys; besides a row for each set with its size in key, and over that (times 2**32 and 2**48)
+    the numbers of keys that a similar set shares with it in its own band and in the one below."""
 
     def run(batches):
+        met: set = set()
         for batch in batches:
+            batch = _unmet(batch, met)
             nodes = batch.column(0).to_numpy(zero_copy_only=False)
             keys, ids, roles, n = [], [], [], 0
             for i, s in sets_of(batch.column(1)):
                 k, r = rows_of(s, hot, freq) if len(s) else (np.empty(0, _U), np.empty(0, np.int8))
-                keys += [k, np.array([len(s)], _U)]
+                band = band_of(len(s)) if len(s) else 0
+                keys += [k, np.array([len(s) | shares(band) << 32 | shares(max(0, band - 1)) << 48], _U)]
                 roles += [r, np.array([SIZE], np.int8)]
                 ids.append(np.full(len(k) + 1, nodes[i], np.int64))
                 n += len(k) + 1
@@ -232,6 +261,17 @@ def _emit(hot: np.ndarray, freq: np.ndarray):
     return run
 
 
+def _unmet(batch: pa.RecordBatch, met: set) -> pa.RecordBatch:
+    """The rows whose node has not come before."""
+    rows = []
+    for i, v in enumerate(batch.column(0).to_pylist()):
+        if v not in met:
+            rows.append(i)
+            if len(met) < REMEMBERED:
+                met.add(v)
+    return batch if len(rows) == len(batch) else batch.take(pa.array(rows, pa.int64()))
+
+
 def _batch(keys, ids, roles) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(roles))], ["key", "node", "role"])
 
@@ -244,17 +284,60 @@ def _elements(batches):
 
 
 def _frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys that SEEN nodes or more have, MAX_COSTS of them at most, sorted, and how many have them."""
-    found = rows.groupBy("key").agg(F.countDistinct("node").alias("f")).where(F.col("f") >= SEEN).orderBy(F.desc("f"), "key").limit(MAX_COSTS).collect()
+    """Keys that SEEN rows or more have, MAX_COSTS of them at most, sorted, and how many have them."""
+    found = rows.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= SEEN).orderBy(F.desc("f"), "key").limit(MAX_COSTS).collect()
     keys, freq = np.array([r["key"] for r in found], np.int64).view(_U), np.array([r["f"] for r in found], float)
     order = np.argsort(keys)
     return keys[order], freq[order]
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Elements in each of equal parts of the universe (255 counts for more), as many parts as half the elements or so."""
+    bits = min(12, max(5, int(len(s)).bit_length() - 1))
+    return np.minimum(np.bincount((s >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Two sets with these sketches differ in so many elements at least."""
+    x, y = x.astype(np.int64), y.astype(np.int64)
+    while len(x) > len(y):
+        x = x.reshape(-1, 2).sum(1)
+    while len(y) > len(x):
+        y = y.reshape(-1, 2).sum(1)
+    return int(np.abs(x - y).sum())
+
+
 def _set_rows(batches):
     for batch in batches:
-        got = [(i, s.tobytes()) for i, s in sets_of(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for _, x in got], pa.binary())], ["node", "elements"])
+        nodes = batch.column(0).to_numpy(zero_copy_only=False)
+        part: list = []
+        size = 0
+        for i, s in sets_of(batch.column(1)):
+            part.append((nodes[i], len(s), s.tobytes(), sketch(s).tobytes()))
+            size += s.nbytes
+            if size > CHUNK or i == len(nodes) - 1:
+                cols = list(zip(*part, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], ["node", "n", "elements", "sketch"])
+                part, size = [], 0
+
+
+def _possible(batches):
+    """a, b, sizes and sketches -> the pairs that may be linked."""
+    for batch in batches:
+        na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        x, y = batch.column(4), batch.column(5)
+        keep = np.zeros(len(batch), bool)
+        for i in range(len(batch)):
+            if 100 * min(na[i], nb[i]) >= 80 * max(na[i], nb[i]):
+                keep[i] = 9 * apart(np.frombuffer(x[i].as_buffer(), np.uint8), np.frombuffer(y[i].as_buffer(), np.uint8)) <= na[i] + nb[i]
+        yield batch.filter(pa.array(keep)).select([0, 1])
+
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sizes and sketches do not rule out."""
+    s1 = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    s2 = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    return pairs.join(s1, "b").join(s2, "a").select("a", "b", "na", "nb", "x", "y").mapInArrow(_possible, "a long, b long")
 
 
 def _members(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -314,63 +397,88 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
             return label
 
 
+def node_of(text):
+    """64 bits of a text's digest, which stand for the text and all its copies."""
+    return F.xxhash64(F.md5(text.cast("binary")))
+
+
 def join(docs: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, copy_of: a row for each row of docs. copy_of: the smallest id of the same text."""
     spark = spark or docs.sparkSession
     own = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    ids = own.select("doc_id", F.when(~blank, F.md5(F.col("text").cast("binary"))).alias("digest"))
-    of = ids.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    of = of.select(F.col("digest").alias("d"), F.coalesce("rep", F.lit(NO_ID) + F.pmod(F.xxhash64("digest"), F.lit(NO_ID >> 1))).alias("node"))
-    of = kept(of, spark, "join-copies")
-
-    # one row of each digest goes on: the first with the smallest id
-    texts = own.where(~blank).withColumn("d", F.md5(F.col("text").cast("binary"))).join(of, "d").where((F.col("doc_id") == F.col("node")) | F.col("doc_id").isNull() & (F.col("node") >= NO_ID)).select("node", "text")
-    n = of.count()
-    every = max(1, n // SAMPLE)
-    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0)
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    ids = own.select("doc_id", F.when(worded, node_of(F.col("text"))).alias("node"))
+    of = kept(ids.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep")), spark, "join-copies")
+
+    # texts stay where they are read: a task skips copies that it has met, the rest meet in the keys
+    texts = own.where(worded).select(node_of(F.col("text")).alias("node"), "text")
+    every = max(1, of.count() // SAMPLE)
+    some = texts.where(F.pmod("node", F.lit(every)) == 0)
     hot, freq = _frequent(some.mapInArrow(_emit(np.empty(0, _U), np.empty(0)), _ROWS).where(F.col("role") != SIZE))
-    hot_tokens = _frequent(some.mapInArrow(_elements, "key long, node long"))
+    hot_tokens = _frequent(some.where(F.pmod("node", F.lit(4 * every)) == 0).mapInArrow(_elements, "key long, node long"))
     rows = texts.mapInArrow(_emit(hot, freq), _ROWS)
     bucket = W.partitionBy("key")
     is_size = F.col("role") == SIZE
     probing, indexed = F.col("role").isin(BOTH, PROBE).cast("int"), F.col("role").isin(INDEXED, BOTH).cast("int")
     keyed = rows.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).withColumn("p", F.max(probing).over(bucket)).withColumn("i", F.max(indexed).over(bucket))
     shared = kept(keyed.where(is_size | ((F.col("low") < F.col("high")) & (F.col("p") == 1) & (F.col("i") == 1))).select("key", "node", "role"), spark, "join-keys")
-    sizes = shared.where(is_size).groupBy("node").agg(F.max("key").alias("n"))
-    shared = shared.where(~is_size)
+    sizes = kept(shared.where(is_size).groupBy("node").agg(F.max("key").alias("key")).select("node", F.col("key").bitwiseAND((1 << 32) - 1).alias("n"), F.shiftright("key", 32).bitwiseAND((1 << 16) - 1).alias("q_own"), F.shiftright("key", 48).alias("q_below")), spark, "join-sizes")
+    shared = shared.where(~is_size).distinct()
+    for _ in range(2):
+        # who shares too few keys to have a similar set goes, then buckets that are left with one member
+        below = F.col("role") == PROBE
+        enough = shared.groupBy("node", below.alias("below")).agg(F.count(F.lit(1)).alias("c")).join(sizes, "node").where(F.col("c") >= F.when(F.col("below"), F.col("q_below")).otherwise(F.col("q_own")))
+        shared = shared.withColumn("below", below).join(enough.select("node", "below"), ["node", "below"], "left_semi")
+        shared = shared.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).where("low < high")
+        shared = kept(shared.select("key", "node", "role"), spark, "join-shared")
 
     degree = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     ranked = shared.join(degree, "node")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"))).alias("h")).select(F.col("key"), (-F.col("h.minus")).alias("hub"))
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("h"), F.count(F.lit(1)).alias("members")).select("key", F.col("h.node").alias("hub"), "members")
     stars = kept(shared.join(hubs, "key"), spark, "join-stars")
-    pairs = kept(stars.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), spark, "join-pairs")
-    wanted = shared.select("node").distinct()
-    sets = kept(texts.join(wanted, "node", "left_semi").mapInArrow(_set_rows, "node long, elements binary"), spark, "join-sets")
+    wanted = kept(stars.select("node").distinct().join(of, "node"), spark, "join-wanted")
+    if wanted.count() <= MAX_BROADCAST:
+        wanted = F.broadcast(wanted)
+    w = wanted.select(F.col("node").alias("w"), "rep")
+    sets = own.where(worded).select("doc_id", node_of(F.col("text")).alias("node"), "text").join(w, (F.col("node") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    sets = kept(sets.select("node", "text").mapInArrow(_set_rows, "node long, n long, elements binary, sketch binary"), spark, "join-sets")
+    # pairs of a small bucket's members are few; a large one's are compared by way of its hub
+    small = F.col("members") <= FEW
+    pairs = stars.where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max("members").alias("members"))
+    pairs = kept(pairs, spark, "join-pairs")
+    maybe = possible(pairs.where(small).select("a", "b"), sets)
+    pairs = kept(maybe.union(pairs.where(~small).select("a", "b")), spark, "join-maybe")
     near = kept(verified(pairs, sets, *hot_tokens, tokens=True), spark, "join-near")
     comp = components(near.where(LINKED), spark)
 
     # what is left: sets that share a bucket, but not a component; at least one of them is not linked with the hub
     open_ = stars.where("node <> hub").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     several = open_.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("key")
-    left = open_.join(several, "key").select("hub", "node", "comp").distinct()
+    open_ = kept(open_.join(several, "key").select("key", "hub", "node", "role", "comp", "members"), spark, "join-open")
+    x, y = open_.where(small).alias("x"), open_.where(small).alias("y")
+    probes = F.col("x.role").isin(BOTH, PROBE) & F.col("y.role").isin(INDEXED, BOTH) | F.col("y.role").isin(BOTH, PROBE) & F.col("x.role").isin(INDEXED, BOTH)
+    few = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & probes)
+    few = possible(few.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), sets)
+    left = open_.where(~small).select("hub", "node", "comp").distinct()
     far = near.select(F.col("a").alias("hub"), F.col("b").alias("node"), (F.col("either") - F.col("both")).alias("d"), (~F.expr(LINKED)).alias("far"), "tokens")
-    left = left.join(far, ["hub", "node"]).join(sizes, "node").select("hub", "node", "comp", "n", "d", "far", F.posexplode("tokens").alias("at", "token"))
+    left = left.join(far, ["hub", "node"]).join(sizes.select("node", "n"), "node").select("hub", "node", "comp", "n", "d", "far", F.posexplode("tokens").alias("at", "token"))
     left = kept(left, spark, "join-left")
     x, y = left.alias("x"), left.alias("y")
     # elements that the two differences must have in common
     least = F.floor((F.col("x.d") + F.col("y.d") - F.floor((F.col("x.n") + F.col("y.n")) / 9) + 1) / 2)
     alike = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.far") | F.col("y.far"))
     alike = alike & (100 * F.least("x.n", "y.n") >= 80 * F.greatest("x.n", "y.n")) & (F.col("x.at") <= F.col("x.d") - least) & (F.col("y.at") <= F.col("y.d") - least)
-    rest = kept(x.join(y, alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), spark, "join-rest")
+    rest = possible(x.join(y, alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), sets)
+    rest = kept(rest.union(few).distinct(), spark, "join-rest")
     more = kept(verified(rest, sets), spark, "join-more")
     if not more.where(LINKED).isEmpty():
         comp = components(near.where(LINKED).select("a", "b").union(more.where(LINKED).select("a", "b")), spark)
 
-    found = of.join(comp, "node", "left").join(sizes, "node", "left").select("d", "node", F.coalesce("comp", "node").alias("comp"), "n")
-    out = ids.join(found, F.col("digest") == F.col("d"), "left")
-    comp_id = F.when(F.col("d").isNull(), F.col("doc_id")).when(F.col("comp") < NO_ID, F.col("comp"))
-    return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_shingles"), comp_id.alias("component_id"), F.when(F.col("d").isNull(), F.col("doc_id")).when(F.col("node") < NO_ID, F.col("node")).alias("copy_of"))
+    groups = of.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    first = groups.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    found = groups.join(first, "comp").join(sizes, "node").select(F.col("node").alias("k"), "n", "component_id", "rep")
+    out = ids.join(found, F.col("node") == F.col("k"), "left")
+    return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_shingles"), F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("rep")).alias("copy_of"))
 
 
 def one_of_each(docs: DataFrame, spark: SparkSession | None = None) -> DataFrame:
