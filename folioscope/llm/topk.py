@@ -34,7 +34,7 @@ from folioscope.llm._shared import kept, pick
 
 K, EVERY, SCALE = 20, 20, 64
 SAMPLE, PIVOTS, BLOCK, QUERIES = 2048, 16, 8192, 1024
-LEAF, FAN = 96, 24
+LEAF, FAN = 256, 16
 _NONE = -(1 << 62)
 
 
@@ -207,12 +207,20 @@ def top_k(vectors: DataFrame, spark: SparkSession | None = None, k: int = K, eve
     base = kept(rows.mapInArrow(_assign(centres, every), _BASE), spark, "topk-rows")
 
     counts = base.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_query").cast("int")).alias("m")).collect()  # a row for each pivot
-    cut = lambda per, size: F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["cell"], max(1, -(-(r[per] or 0) // size)))]), F.col("cell"))
-    part = lambda n: F.pmod(F.xxhash64("row"), n).cast("int")
     if not counts:
         return spark.createDataFrame([], schema)
-    data = base.withColumn("part", part(cut("n", block)))
-    asks = base.where("is_query").withColumn("part", part(cut("m", queries)))
+    by_cell = lambda values: F.element_at(F.create_map(*[F.lit(x) for c, v in values.items() for x in (c, v)]), F.col("cell"))
+    part = lambda n: F.pmod(F.xxhash64("row"), n).cast("int")
+    data = base.withColumn("part", part(by_cell({r["cell"]: max(1, -(-r["n"] // block)) for r in counts})))
+    # small cells share a query block, whose ball is around the first one's pivot
+    lead, asked, now = {}, {}, None
+    for r in sorted(counts, key=lambda r: r["cell"]):
+        if now is None or asked[now] + r["m"] > queries:
+            now = r["cell"]
+        lead[r["cell"]] = now
+        asked[now] = asked.get(now, 0) + r["m"]
+    more = {c: float(np.sqrt(((centres[c] - centres[g]) ** 2).sum())) for c, g in lead.items()}
+    asks = base.where("is_query").withColumn("away", F.col("away") + by_cell(more)).withColumn("part", part(by_cell({c: max(1, -(-asked[g] // queries)) for c, g in lead.items()}))).withColumn("cell", by_cell(lead))
     key, q_key = ["cell", "part"], [F.col("cell").alias("q_cell"), F.col("part").alias("q_part")]
     result = "q_row long, query_id long, vec_id long, score long"
 
