@@ -40,7 +40,8 @@ from folioscope.session import shared_dir
 END, BLOCK, CHUNK_IDS, LEVEL = 2, 1 << 16, 1 << 20, 1
 MAGIC = b"FBP1"
 NULL_ID = -(1 << 63)
-MEMO = 500_000
+#: Pieces whose ids a worker remembers.
+MEMO = 1_200_000
 _HEAD = struct.Struct("<4sBBIQI")
 
 
@@ -156,11 +157,28 @@ class Encoder:
             if len(memo) > MEMO:
                 memo.clear()
                 new = list(set(pieces))
-            for p, e in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-                memo[p] = array("I", e.ids).tobytes()
+            self._learn(new)
         return b"".join([memo[p] for p in pieces])
 
 
+    def _learn(self, new: list[str]) -> None:
+        # words that begin with a space fall apart again where they were joined, so one call encodes them all
+        words = [p for p in new if p[0] == " " and p[1:].isalpha()]
+        if words:
+            e = self.library.encode("".join(words), add_special_tokens=False)
+            ids, of = np.array(e.ids, "<u4"), np.array(e.word_ids)
+            cuts = np.flatnonzero(np.diff(of)) + 1
+            if len(cuts) == len(words) - 1:
+                raw, ends = ids.tobytes(), [*(cuts * 4).tolist(), len(ids) * 4]
+                at = 0
+                for p, end in zip(words, ends, strict=True):
+                    self.memo[p] = raw[at:end]
+                    at = end
+                new = [p for p in new if p not in self.memo]
+        for p, e in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
+            self.memo[p] = array("I", e.ids).tobytes()
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One for each worker process, so later tasks find what earlier ones met."""
