@@ -76,7 +76,7 @@ def tree(urls: DataFrame, spark: SparkSession, depth: int = DEPTH) -> DataFrame:
     base = kept(base.withColumn("t", F.col("segs")), spark, "url-templates")
     for d in range(depth, 0, -1):  # from the leaves up
         deep = F.size("t") >= d
-        head, own = F.slice("t", 1, d - 1), F.element_at("t", d)
+        head, own = F.slice("t", 1, d - 1), F.get("t", F.lit(d - 1))
         sums = [F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("bad").alias("bad")]
         at = base.where(deep).groupBy("host", head.alias("head"), own.alias("own")).agg(*sums)
         all_ = at.groupBy("host", "head").agg(F.sum("n").alias("an"), F.sum("k").alias("ak"), F.sum("bad").alias("ab"))
