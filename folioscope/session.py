@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -26,8 +27,17 @@ def local_session(app: str = "folioscope", cores: str = "*", partitions: int = 8
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets the session's Python workers import this package from where the driver has it."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), root]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's parquet tables; the path may be in any store that Spark reads."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,6 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     It is the session's ``spark.checkpoint.dir``. Where that is unset (tests, one machine) a
     temporary folder is made once and set for the session.
     """
+    importable(spark)
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = "file://" + tempfile.mkdtemp(prefix=f"folioscope-{os.getpid()}-")
