@@ -35,3 +35,20 @@ def negated(points: Column, ratio: float = 0.5) -> Column:
 
 def digit_share(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"(?U)\d")) / F.greatest(F.length(text), F.lit(1))
+
+
+def industry_multiplier(industries: Column, entries: list[tuple[tuple[str, ...], float]]) -> Column:
+    """The smallest multiplier whose industry fits one of the array's (equal, or one contains the other); 1 without any."""
+    some = F.filter(F.transform(F.coalesce(industries, F.array().cast("array<string>")), F.trim), lambda h: h != "")
+    out = F.lit(1.0)
+    for names, m in entries:
+        if m > 0:
+            fits = F.lit(False)
+            for n in (n.strip() for n in names if n.strip()):
+                fits = fits | F.exists(some, _fits(n))
+            out = F.least(out, F.when(fits, F.lit(float(m))).otherwise(1.0))
+    return out
+
+
+def _fits(name: str):
+    return lambda h: F.contains(h, F.lit(name)) | F.contains(F.lit(name), h)

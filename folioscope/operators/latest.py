@@ -74,3 +74,19 @@ def compressed_runs(df: DataFrame, part: Sequence[str], order: str, flag: Column
     long = F.col("in_run") & (F.col("run_size") >= least)
     keep = ~long | (F.col("run_place") <= head) | (F.col("run_place") > F.col("run_size") - tail)
     return r.where(keep).withColumn("dropped", F.when(long & (F.col("run_place") == head), F.col("run_size") - head - tail).otherwise(0))
+
+
+def merged_short_lines(df: DataFrame, part: Sequence[str], order: str, line: str, most: int = 6, flush: int = 12) -> DataFrame:
+    """Lines with runs of short ones (at most so many characters) joined, ``flush`` of them at a time; order is the first's."""
+    r = runs(df, part, order, F.length(line) <= most)
+    group = F.when(F.col("in_run"), F.floor((F.col("run_place") - 1) / flush)).otherwise(F.col("run_place"))
+    one = r.groupBy(*part, "in_run", "run_id", group.alias("__g"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(line).alias("x")))), lambda e: e["x"]), "")
+    return one.agg(F.min(order).alias(order), text.alias(line)).select(*part, order, line)
+
+
+def rolled_up(hits: DataFrame, keys: Sequence[str], weight: str, polarity: str, context: str, ordinal: str) -> DataFrame:
+    """Hits of equal keys as one: their number, the strongest weight (the first of equal ones), neg if any is, the first context."""
+    w, o = F.col(weight), F.col(ordinal)
+    strongest = F.max_by(w, F.struct(F.abs(w), -o))
+    return hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), strongest.alias("weight"), F.when(F.bool_or(F.col(polarity) == "neg"), "neg").otherwise("pos").alias("polarity"), F.min_by(context, F.when(F.coalesce(F.col(context), F.lit("")) != "", o)).alias("context"))

@@ -31,3 +31,11 @@ def status(text: Column, other: Column, needle: str, least: int = 50) -> Column:
         .when(has_all_characters(F.coalesce(text, F.lit("")), bare), "SUSPECT_SPLIT")
         .otherwise("NOT_FOUND")
     )
+
+
+def keyword_pairs(docs, text: str, keywords: list[tuple[str, int]]):
+    """A row for each document and keyword that it contains: the dictionary is exploded in place, no join is needed."""
+    table = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(w).alias("weight")) for k, w in keywords])
+    rest = [c for c in docs.columns if c != text]
+    found = F.filter(table, lambda k: F.contains(F.coalesce(F.col(text), F.lit("")), k["keyword"]))
+    return docs.select(*rest, F.explode(found).alias("k")).select(*rest, "k.keyword", "k.weight")

@@ -86,3 +86,17 @@ def best_matches(h: DataFrame, aliases: Sequence[tuple[str, str, str | None]], t
     conf = F.least(F.lit(1.0), F.round(base + extra, 4))
     best = rows.withColumn("confidence", conf).where(F.col("confidence") >= accept).groupBy(doc, F.col("a.target").alias("target"))
     return best.agg(F.max(F.struct("confidence", (-F.col(idx)).alias("o"))).alias("m")).select(doc, "target", (-F.col("m.o")).alias(idx), F.col("m.confidence").alias("confidence"))
+
+
+def with_ids(h: DataFrame, first_id: int = 1, doc: str = "doc_id", idx: str = "idx") -> DataFrame:
+    """Adds id and parent_id for storing (h has parent_idx): ids are unique over all documents and repeatable.
+
+    A document's headings are numbered within it, documents get ranges by a running total over the table of documents.
+    """
+    sizes = h.groupBy(doc).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(W.orderBy(doc).rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")
+    starts = sizes.select(F.col(doc).alias("__d"), (before + first_id).alias("__start"))
+    place = F.row_number().over(W.partitionBy(doc).orderBy(idx)) - 1
+    rows = h.withColumn("__place", place).join(starts, F.col(doc) == F.col("__d")).withColumn("id", F.col("__start") + F.col("__place"))
+    ids = F.map_from_entries(F.collect_list(F.struct(F.col(idx), F.col("id"))).over(W.partitionBy(doc)))
+    return rows.withColumn("parent_id", F.try_element_at(ids, F.col("parent_idx").cast(h.schema[idx].dataType))).select(*h.columns, "id", "parent_id")
