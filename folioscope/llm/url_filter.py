@@ -27,7 +27,9 @@ from folioscope.llm._shared import LOWER, UPPER, kept, pick
 
 #: (verdict, host and path): a rule fits its host and all subdomains if the path starts with the rule's.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-DEPTH, PRIOR, BLOCK, SUPPORT, Z = 3, 10.0, 0.5, 3, 1.96
+#: Segments that count, urls that a smoothing counts as, purity above which a template is rejected (clear evidence only), support of
+#: a branch of its own, bound of the z-test.
+DEPTH, PRIOR, BLOCK, SUPPORT, Z = 3, 10.0, 0.8, 3, 1.96
 WILD = "*"
 
 
