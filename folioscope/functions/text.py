@@ -147,9 +147,9 @@ def table_like(line: Column) -> Column:
     s = F.trim(line)
     bare = F.regexp_replace(s, r"(?U)\s+", "")
     n, digits = F.length(bare), F.regexp_count(bare, F.lit(r"(?U)\d"))
-    rows = s.rlike(r"[|\t┃│—-]|\s{2,}") & (digits > 0)
-    short = (n <= 40) & ((digits >= 6) | ((digits >= 3) & bare.rlike("[,%‰，]")))
-    cells = (n <= 50) & (n >= 10) & bare.rlike(r"(?U)^[\d,.%‰()（）+\-—\p{IsHan}]+$") & (digits > 0)
+    rows = s.rlike("[|│┆┊—-]") & (digits > 0)
+    short = (n <= 40) & ((digits >= 6) | ((digits >= 3) & bare.rlike("[,%‰]")))
+    cells = (n <= 50) & bare.rlike(r"^[0-9,.\-+%‰/（）()\x{4e00}-\x{9fff}A-Za-z]{10,}$") & bare.rlike("[0-9]")
     return (s != "") & ~s.rlike("[。！？]") & (n > 2) & (rows | short | cells)
 
 

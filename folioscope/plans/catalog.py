@@ -582,7 +582,7 @@ def _lines(spark, d):
     return _docs(spark, d).select("doc_id", F.posexplode(X.lines(F.col("text"))).alias("line_no", "line"))
 
 
-@query(f"WITH {_LINES}, s AS (SELECT *, trim(line) AS s, regexp_replace(line, '\\s', '', 'g') AS b FROM l), n AS (SELECT *, length(b) AS n, length(regexp_replace(b, '[^0-9]', '', 'g')) AS dg FROM s) SELECT doc_id, line_no, s <> '' AND NOT regexp_matches(s, '[。！？]') AND n > 2 AND ((regexp_matches(s, '[|\\t┃│—-]|\\s{{2,}}') AND dg > 0) OR (n <= 40 AND (dg >= 6 OR (dg >= 3 AND regexp_matches(b, '[,%‰，]')))) OR (n <= 50 AND n >= 10 AND regexp_full_match(b, '[0-9,.%‰()（）+\\-—\\p{{Han}}]+') AND dg > 0)) AS is_row FROM n")
+@query(f"WITH {_LINES}, s AS (SELECT *, trim(line) AS s, regexp_replace(line, '\\s', '', 'g') AS b FROM l), n AS (SELECT *, length(b) AS n, length(regexp_replace(b, '[^0-9]', '', 'g')) AS dg FROM s) SELECT doc_id, line_no, s <> '' AND NOT regexp_matches(s, '[。！？]') AND n > 2 AND ((regexp_matches(s, '[|│┆┊—-]') AND dg > 0) OR (n <= 40 AND (dg >= 6 OR (dg >= 3 AND regexp_matches(b, '[,%‰]')))) OR (n <= 50 AND regexp_full_match(b, '[0-9,.\\-+%‰/（）()\\x{{4e00}}-\\x{{9fff}}A-Za-z]{{10,}}') AND dg > 0)) AS is_row FROM n")
 def table_like_lines(spark, d):
     return _lines(spark, d).select("doc_id", "line_no", X.table_like(F.col("line")).alias("is_row"))
 
