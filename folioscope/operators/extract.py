@@ -72,8 +72,8 @@ def alternative_sections(text: str | None) -> dict[str, str | None] | None:
 def parsed(pages: Sequence[str] | None, clock: Callable[[], float] = time.monotonic, budget: float = BUDGET) -> dict[str, str | None]:
     """Sections and status of a document's pages."""
     out: dict[str, str | None] = dict.fromkeys(FIELDS)
-    have = [p or "" for p in pages or ()]
-    if not any(str(p).strip() for p in have):
+    have = [p if isinstance(p, str) else "" for p in pages or ()]
+    if not any(p.strip() for p in have):
         return out | {"full_mda": S.placeholder(EMPTY), "status": EMPTY}
     end = clock() + budget
     try:

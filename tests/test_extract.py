@@ -13,7 +13,8 @@ def test_parsed():
     assert E.parsed(None)["status"] == E.parsed([None, " "])["status"] == E.EMPTY
     ticks = iter([0.0, 99.0])
     assert E.parsed(PAGES, lambda: next(ticks))["status"] == E.SLOW
-    assert E.parsed([1, 2])["status"] == E.BROKEN  # not texts at all
+    assert E.parsed([1, 2])["status"] == E.EMPTY  # not texts at all
+    assert E.parsed(["普通文字"])["status"] == E.BROKEN
 
 
 def test_alternatives():
