@@ -37,6 +37,8 @@ from folioscope.llm._shared import kept, pick, word_count
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
 SHARDS, SEED = 16, 20240
 DOCS_PER_BLOCK, MAX_BLOCKS, MAX_STRATA = 32, 4096, 4096
+#: Rows of narrow tables (sources, blocks, documents at a cut) that may be broadcast.
+MAX_BROADCAST = 200_000
 
 
 def targets(by_source: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -107,44 +109,65 @@ def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> list[list[
     return out
 
 
-def mix(docs: DataFrame, spark: SparkSession | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, shards: int = SHARDS, seed: int = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each document: doc_id, source, size, source_size, target, copies, taken, shards.
+def _hash(doc_id, text, seed: int):
+    return F.xxhash64(F.lit(seed), doc_id, F.xxhash64(text))
 
-    copies: times the mix takes the document; taken: words that makes; shards: the output shard
-    of each copy; place: its place there. carry: other columns to bring along.
-    """
-    spark = spark or docs.sparkSession
-    own = pick(docs, "doc_id", "source", "text", *[c for c in carry if c not in ("doc_id", "source", "text")])
-    names = [c for c in carry if c not in ("doc_id", "source")]
-    base = own.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")).alias("h"), *[F.col(c).alias(f"carry_{c}") for c in names])
-    base = kept(base, spark, "mix-sizes")
+
+def _plan(base: DataFrame, spark: SparkSession, weights: tuple[int, ...], share: float, cap: int, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(g_source, blocks) of all sources, and all blocks: t_source, t_block, last, missing, epochs, source_size, target, shards."""
     goals = targets(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), weights, share, cap)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
     goals = goals.withColumn("blocks", F.greatest(F.lit(1), F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("n_docs") / DOCS_PER_BLOCK)))).withColumn("epochs", whole)
-    goals = goals.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+    goals = goals.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "g_source")
     goals = kept(goals, spark, "mix-targets")
-
-    goals = goals.withColumnRenamed("source", "g_source")
-    same = F.col("source").eqNullSafe(F.col("g_source"))
-    b = base.join(goals.select("g_source", "blocks"), same).drop("g_source").withColumn("block", F.pmod(F.col("h"), F.col("blocks"))).drop("blocks")
-    words = b.groupBy("source", "block").agg(F.sum("size").alias("words"))
-    words = words.join(goals, same).drop("g_source")
+    words = _blocked(base, goals).groupBy("source", "block").agg(F.sum("size").alias("words"))
+    words = words.join(goals, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
     upto = F.sum("words").over(W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, 0))
     words = words.withColumn("before", upto - F.col("words")).withColumn("missing", F.col("rest") - F.col("before"))
     last = F.when(F.col("missing") >= F.col("words"), F.lit("all")).when(F.col("missing") > 0, F.lit("some")).otherwise(F.lit("none"))
     words = words.withColumn("last", F.when(F.col("words") == 0, F.lit("none")).otherwise(last))
     draws = F.col("epochs") + (F.col("last") != "none").cast("int")
-    order = W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, 0)
-    words = words.withColumn("draws", draws).withColumn("first", F.sum(draws).over(order) - draws).withColumn("stratum", F.pmod(F.xxhash64("source"), F.lit(MAX_STRATA)).cast("int"))
+    words = words.withColumn("draws", draws).withColumn("stratum", F.pmod(F.xxhash64("source"), F.lit(MAX_STRATA)).cast("int"))
     words = kept(words, spark, "mix-blocks")
+    tree = kept(_assign(words, spark, shards, seed).withColumnsRenamed({"source": "t_source", "block": "t_block"}), spark, "mix-draws")
+    return goals.select("g_source", "blocks"), tree
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """To be broadcast if it is counted to be small; else Spark decides."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST else df
+
+
+def _blocked(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """rows (source, h) with their block."""
+    return rows.join(_small(goals.select("g_source", "blocks")), F.col("source").eqNullSafe(F.col("g_source"))).withColumn("block", F.pmod(F.col("h"), F.col("blocks"))).drop("blocks", "g_source")
+
+
+def _in_block():
+    return F.col("source").eqNullSafe(F.col("t_source")) & (F.col("block") == F.col("t_block"))
+
 
-    tree = _assign(words, spark, shards, seed)
-    b2 = b.alias("b").join(tree.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")) & (F.col("b.block") == F.col("t.block")))
-    within = W.partitionBy("t.source", "t.block").orderBy("b.h", "b.doc_id", "b.size").rowsBetween(W.unboundedPreceding, 0)
-    middle = F.sum("b.size").over(within) - F.col("b.size") / 2
-    extra = F.when(F.col("t.last") == "all", 1).when((F.col("t.last") == "some") & (middle <= F.col("t.missing")), 1).otherwise(0)
-    copies = F.when(F.col("b.size") > 0, F.col("t.epochs") + extra).otherwise(0).cast("int")
-    return b2.select("b.doc_id", "b.source", "b.size", "t.source_size", "t.target", copies.alias("copies"), F.col("t.shards").alias("shards"), F.xxhash64(F.lit(seed + 1), "b.h").alias("place"), *[F.col(f"b.carry_{c}").alias(c) for c in names]).withColumn("taken", F.col("copies") * F.col("size")).withColumn("shards", F.slice("shards", F.lit(1), F.col("copies")))
+def _nearer():
+    """Whether a document of the block in which the target is reached brings the total nearer to it."""
+    within = W.partitionBy("t_source", "t_block").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    return F.sum("size").over(within) - F.col("size") / 2 <= F.col("missing")
+
+
+def mix(docs: DataFrame, spark: SparkSession | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """A row for each document: doc_id, source, size, source_size, target, copies, shards, place, taken.
+
+    copies: times the mix takes the document; taken: words that makes; shards: the output shard of each copy; place: its
+    place there.
+    """
+    spark = spark or docs.sparkSession
+    own = pick(docs, "doc_id", "source", "text")
+    base = kept(own.select("doc_id", "source", word_count(F.col("text")).alias("size"), _hash(F.col("doc_id"), F.col("text"), seed).alias("h")), spark, "mix-sizes")
+    goals, tree = _plan(base, spark, weights, share, cap, shards, seed)
+    rows = _blocked(base, goals).join(tree, _in_block())
+    extra = F.when(F.col("last") == "all", 1).when((F.col("last") == "some") & _nearer(), 1).otherwise(0)
+    copies = F.when(F.col("size") > 0, F.col("epochs") + extra).otherwise(0).cast("int")
+    out = rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), "shards", F.xxhash64(F.lit(seed + 1), "h").alias("place"))
+    return out.withColumn("taken", F.col("copies") * F.col("size")).withColumn("shards", F.slice("shards", F.lit(1), F.col("copies")))
 
 
 def _assign(words: DataFrame, spark: SparkSession, shards: int, seed: int) -> DataFrame:
@@ -168,15 +191,34 @@ def _assign(words: DataFrame, spark: SparkSession, shards: int, seed: int) -> Da
     return words.join(got, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("block") == F.col("g_block")), "left").select("source", "block", "last", "missing", "epochs", "source_size", "target", F.coalesce("shards", F.array().cast("array<int>")).alias("shards"))
 
 
-def mixed_documents(docs: DataFrame, spark: SparkSession | None = None, **options) -> DataFrame:
-    """The mix itself: docs' columns, a row for each copy taken. A row's place in its output shard is by hash."""
-    cols = docs.columns
-    out = mix(docs, spark, carry=tuple(cols), **options).where("copies > 0")
-    return out.withColumn("__copy", F.explode("shards")).select(*cols)
+def mixed_documents(docs: DataFrame, spark: SparkSession | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, shards: int = SHARDS, seed: int = SEED, placed: bool = False) -> DataFrame:
+    """The mix itself: docs' columns, a row for each copy that is taken. placed: with out_shard and out_place of each.
 
+    Texts are not shuffled while the blocks (at most MAX_BLOCKS a source) are few enough to be broadcast; what is decided
+    document by document (the blocks in which targets are reached) is decided on ids and sizes.
+    """
+    spark = spark or docs.sparkSession
+    cols = docs.columns
+    inner = [f"c{i}" for i in range(len(cols))]
+    doc_id, source, text = (F.col(f"c{cols.index(c)}") for c in ("doc_id", "source", "text"))
+    rows = docs.toDF(*inner).withColumn("source", source).withColumn("h", _hash(doc_id, text, seed))
+    base = kept(rows.select(doc_id.alias("doc_id"), "source", word_count(text).alias("size"), "h"), spark, "mix-sizes")
+    goals, tree = _plan(base, spark, weights, share, cap, shards, seed)
+    cut = _blocked(base, goals).join(tree.where("last = 'some'"), _in_block()).withColumn("yes", _nearer() & (F.col("size") > 0)).where("yes")
+    chosen = kept(cut.select(F.col("source").alias("y_source"), F.col("h").alias("y_h"), F.col("doc_id").alias("y_id")).distinct(), spark, "mix-chosen")
+    out = _blocked(rows, goals).join(_small(tree), _in_block())
+    out = out.join(_small(chosen), (F.col("h") == F.col("y_h")) & doc_id.eqNullSafe(F.col("y_id")) & F.col("source").eqNullSafe(F.col("y_source")), "left")
+    extra = F.when((F.col("last") == "all") | F.col("y_h").isNotNull(), 1).otherwise(0)
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    copies = F.when(worded, F.col("epochs") + extra).otherwise(0)
+    taken = out.withColumn("out_shard", F.explode(F.slice("shards", F.lit(1), copies))).withColumn("out_place", F.xxhash64(F.lit(seed + 1), "h", "out_shard"))
+    own = ["out_shard", "out_place"] if placed else []
+    return taken.select(*inner, *own).toDF(*cols, *own)
+
+
+def write_mix(docs: DataFrame, path: str, files: int = 1, **options) -> None:
+    """Writes the mix as one folder for each output shard, its rows shuffled; files: parts (and tasks) of a shard."""
+    mixed = mixed_documents(docs, placed=True, **options)
+    part = F.pmod("out_place", F.lit(files))
+    mixed.repartition(F.col("out_shard"), part).sortWithinPartitions("out_shard", "out_place").drop("out_place").write.mode("overwrite").partitionBy("out_shard").parquet(path)
 
-TARGET_SQL = """
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
-w AS (SELECT *, 2 * source_size AS lim, [5, 2, 1][(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1] AS weight FROM s)
-"""

@@ -103,6 +103,13 @@ def test_targets_and_takes(spark, documents, clashing):
     assert M.mix(d.limit(0)).count() == 0
 
 
+def test_written_mix(spark, documents, tmp_path):
+    d = documents([(i, f"one two {i}", "ab"[i % 2]) for i in range(200)])
+    M.write_mix(d, str(tmp_path / "mix"), shards=4, files=2)
+    back = spark.read.parquet(str(tmp_path / "mix"))
+    assert back.count() == M.mixed_documents(d, shards=4).count() and {r[0] for r in back.select("out_shard").distinct().collect()} == {0, 1, 2, 3}
+
+
 def test_splitting_tree():
     quotas = [100, 37, 5, 0, 1]
     parts = M.split_quotas(quotas, 8, 3)
