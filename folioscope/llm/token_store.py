@@ -42,6 +42,8 @@ MAGIC = b"FBP1"
 NULL_ID = -(1 << 63)
 #: Pieces whose ids a worker remembers.
 MEMO = 1_200_000
+#: Texts that are encoded together.
+TOGETHER = 64
 _HEAD = struct.Struct("<4sBBIQI")
 
 
@@ -131,9 +133,21 @@ def chunk_blocks(blob: bytes, first: int = 0, last: int | None = None):
 
 # ---- encoding -----------------------------------------------------------------------------------------------------
 
-#: Characters for which the expression below splits as the tokenizer does.
-_KNOWN = re.compile("[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏΑ-ΡΣ-ωА-я‐-‧ぁ-ゖァ-ヺ一-龥가-힣]")
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: Letters for which the expressions below agree with the tokenizer.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏΑ-ΡΣ-ωА-яぁ-ゖァ-ヺ一-龥가-힣"
+_KNOWN = re.compile(f"[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf×÷‐-‧{_LETTERS}]")
+_PIECES = re.compile(rf" ?[{_LETTERS}]++| ?[0-9]++|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{_LETTERS}]++|\s+(?!\S)|\s+")
+
+
+class _Memo(dict):
+    """piece -> its ids as bytes; a piece that is not there gives itself and is noted as new."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> str:
+        self.new.append(piece)
+        return piece
 
 
 class Encoder:
@@ -145,21 +159,30 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        self.memo = _Memo()
 
     def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _KNOWN.search(text) or any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces, memo = _PIECES.findall(text), self.memo
-        if new := list(set(pieces).difference(memo)):
-            if len(memo) > MEMO:
-                memo.clear()
-                new = list(set(pieces))
+        return self.many([text])[0]
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text; pieces that are new to any of them are learned together."""
+        memo = self.memo
+        if len(memo) > MEMO:
+            memo.clear()
+        out: list = []
+        for text in texts:
+            if not text:
+                out.append(b"")
+            elif _KNOWN.search(text) or any(s in text for s in self.special):
+                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                met = len(memo.new)
+                parts = [memo[p] for p in _PIECES.findall(text)]
+                out.append(b"".join(parts) if len(memo.new) == met else parts)
+        if memo.new:
+            new, memo.new = list(dict.fromkeys(memo.new)), []
             self._learn(new)
-        return b"".join([memo[p] for p in pieces])
-
+        return [x if type(x) is bytes else b"".join([memo[p] if type(p) is str else p for p in x]) for x in out]
 
     def _learn(self, new: list[str]) -> None:
         # words that begin with a space fall apart again where they were joined, so one call encodes them all
@@ -203,14 +226,16 @@ def _pack(path: str, end: int, planes: str, block: int, chunk_ids: int, level: i
 
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
-            for d, t in zip(batch.column(0), batch.column(1), strict=True):
-                own = np.frombuffer(encode(t.as_py()) + tail, "<u4")
-                docs.append(d.as_py())
-                ids.append(own)
-                total += len(own)
-                if total >= chunk_ids:
-                    yield out()
-                    docs, ids, total, chunk = [], [], 0, chunk + 1
+            for at in range(0, len(batch), TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                for d, raw in zip(part.column(0).to_pylist(), encode.many(part.column(1).to_pylist()), strict=True):
+                    own = np.frombuffer(raw + tail, "<u4")
+                    docs.append(d)
+                    ids.append(own)
+                    total += len(own)
+                    if total >= chunk_ids:
+                        yield out()
+                        docs, ids, total, chunk = [], [], 0, chunk + 1
         if docs:
             yield out()
 
