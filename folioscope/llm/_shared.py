@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,18 @@ def kept(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Within, Python gets at most so many rows at a time, which bounds a worker's memory where rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def let(value: Column, body) -> Column:
     """body(value), where value is computed once however often body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioscope.llm._shared import kept, pick
+from folioscope.llm._shared import batches_of, kept, pick
 
 WORDS = 5
 #: Documents whose segments are counted to tell costs, and how often one must be seen there to cost anything.
@@ -50,7 +50,9 @@ SAMPLE, SEEN = 16_384, 4
 MAX_COSTS = 200_000
 #: Largest set that indexes one-deletion neighbourhoods.
 DELETIONS = 40
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+#: Rows that a worker gets at once: texts, or pairs of sets.
+ROWS_AT_ONCE = 1000
 #: Members of a bucket whose pairs are listed one by one.
 FEW = 48
 #: Ids (8 bytes each) that may be broadcast; more are shuffled.
@@ -252,7 +254,7 @@ def _emit(hot: np.ndarray, freq: np.ndarray):
                 roles += [r, np.array([SIZE], np.int8)]
                 ids.append(np.full(len(k) + 1, nodes[i], np.int64))
                 n += len(k) + 1
-                if n > 500_000:
+                if n > 100_000:
                     yield _batch(keys, ids, roles)
                     keys, ids, roles, n = [], [], [], 0
             if n:
@@ -405,6 +407,11 @@ def node_of(text):
 def join(docs: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, copy_of: a row for each row of docs. copy_of: the smallest id of the same text."""
     spark = spark or docs.sparkSession
+    with batches_of(spark, ROWS_AT_ONCE):
+        return _join(docs, spark)
+
+
+def _join(docs: DataFrame, spark: SparkSession) -> DataFrame:
     own = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     ids = own.select("doc_id", F.when(worded, node_of(F.col("text"))).alias("node"))
@@ -421,21 +428,20 @@ def join(docs: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     is_size = F.col("role") == SIZE
     probing, indexed = F.col("role").isin(BOTH, PROBE).cast("int"), F.col("role").isin(INDEXED, BOTH).cast("int")
     keyed = rows.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).withColumn("p", F.max(probing).over(bucket)).withColumn("i", F.max(indexed).over(bucket))
-    shared = kept(keyed.where(is_size | ((F.col("low") < F.col("high")) & (F.col("p") == 1) & (F.col("i") == 1))).select("key", "node", "role"), spark, "join-keys")
-    sizes = kept(shared.where(is_size).groupBy("node").agg(F.max("key").alias("key")).select("node", F.col("key").bitwiseAND((1 << 32) - 1).alias("n"), F.shiftright("key", 32).bitwiseAND((1 << 16) - 1).alias("q_own"), F.shiftright("key", 48).alias("q_below")), spark, "join-sizes")
-    shared = shared.where(~is_size).distinct()
-    for _ in range(2):
-        # who shares too few keys to have a similar set goes, then buckets that are left with one member
-        below = F.col("role") == PROBE
-        enough = shared.groupBy("node", below.alias("below")).agg(F.count(F.lit(1)).alias("c")).join(sizes, "node").where(F.col("c") >= F.when(F.col("below"), F.col("q_below")).otherwise(F.col("q_own")))
-        shared = shared.withColumn("below", below).join(enough.select("node", "below"), ["node", "below"], "left_semi")
-        shared = shared.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).where("low < high")
-        shared = kept(shared.select("key", "node", "role"), spark, "join-shared")
-
-    degree = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    ranked = shared.join(degree, "node")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("h"), F.count(F.lit(1)).alias("members")).select("key", F.col("h.node").alias("hub"), "members")
-    stars = kept(shared.join(hubs, "key"), spark, "join-stars")
+    keyed = keyed.where(is_size | ((F.col("low") < F.col("high")) & (F.col("p") == 1) & (F.col("i") == 1)))
+    shared = kept(keyed.select("key", "node", "role").distinct(), spark, "join-keys")  # rows of a key are together: no shuffle
+    packed = lambda shift, bits: F.shiftright("key", shift).bitwiseAND((1 << bits) - 1)
+    sizes = kept(shared.where(is_size).groupBy("node").agg(F.max("key").alias("key")).select("node", packed(0, 32).alias("n"), packed(32, 16).alias("q_own"), packed(48, 15).alias("q_below")), spark, "join-sizes")
+
+    # who shares too few keys to have a similar set goes, then buckets that are left with one member; the rest get their hub
+    below = F.col("role") == PROBE
+    by_node = W.partitionBy("node")
+    counted = shared.where(~is_size).withColumn("own", F.sum((~below).cast("int")).over(by_node)).withColumn("other", F.sum(below.cast("int")).over(by_node))
+    enough = F.when(below, F.col("other") >= F.col("q_below")).otherwise(F.col("own") >= F.col("q_own"))
+    counted = counted.join(sizes.select("node", "q_own", "q_below"), "node").where(enough).withColumn("degree", F.col("own") + F.col("other"))
+    stars = counted.withColumn("hub", F.max(F.struct("degree", "node")).over(bucket)["node"]).withColumn("members", F.count(F.lit(1)).over(bucket)).withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket))
+    stars = kept(stars.where("low < high").select("key", "node", "role", "hub", "members"), spark, "join-stars")
+
     wanted = kept(stars.select("node").distinct().join(of, "node"), spark, "join-wanted")
     if wanted.count() <= MAX_BROADCAST:
         wanted = F.broadcast(wanted)
