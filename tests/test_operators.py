@@ -1,9 +1,12 @@
 """Relational operators: ties, nulls, empty tables, precedence; text functions; sources, sinks and windows."""
 
 import json
+import random
+import re
 import zipfile
 from datetime import date, datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +105,21 @@ def test_text_functions(spark):
     assert one(spark, text.paragraphs_xhtml(t), t="a\n\n<b") == "<p>a</p>\n<p>&lt;b</p>"
 
 
+def test_reading_lines_of_all_documents(spark, tmp_path):
+    from folioscope.plans import catalog
+
+    rng = random.Random(4)
+    bit = lambda: rng.choice(["x" * rng.choice([1, 4, 5, 19, 20, 21, 24, 25, 26, 44, 45, 46, 90]), "甲", " ", "\u200b", "\n", "a/b.c", "http://h.io/" + "q" * 30])
+    rows = [(i, "".join(bit() for _ in range(rng.randint(1, 9)))) for i in range(400)] + [(900, None), (901, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    lines = lambda t: [s for ln in (t or "").split("\n") if (s := ln.strip(" "))]
+    want = {i: "\n".join(re.sub("([!-~]{20})(?=[!-~]{5})", "\\1\u200b", s) for s in lines(t)) for i, t in rows}
+    assert {r.doc_id: r.clean for r in catalog.QUERIES["reading_lines_whole"](spark, str(tmp_path)).collect()} == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert dict(con.execute(catalog.ORACLE_SQL["reading_lines_whole"]).fetchall()) == want
+
+
 def test_codes(spark):
     c = F.col("c")
     assert [one(spark, keys.normal_code(c), c=x) for x in ("1", "SZ000002", "1234567", "x", None)] == ["000001", "000002", "1234567", None, None]
