@@ -6,12 +6,13 @@
    also with an extension) become wildcards at once. Urls are counted by host and template, so what
    follows sees one row for each distinct template, not for each url.
 3. Merging, from the leaves up: siblings (same host and prefix) are merged into a wildcard when they
-   have little support, or when their labelled rates do not differ from the rate of all siblings by
+   have little support, or when both sides are labelled and their rates do not differ from the rate of all siblings by
    more than the z-test's bound, unless one is literal and differs. Totals of siblings are
-   aggregated and joined back, never gathered in one task.
+   aggregated and joined back, never gathered in one task. A branch with support stays when it or its siblings have no
+   labels: nothing says that they are alike.
 4. Purity: a template's share of blocked urls, smoothed towards its parent's share, that towards its
    host's, that towards all hosts of the same domain suffix, that towards the whole; each smoothing
-   counts as PRIOR urls.
+   counts as PRIOR urls. A host's share says nothing of a first segment without labels, which falls back to the suffix's.
 5. Verdict: the rule's where one fits; otherwise block if the template's smoothed purity is above BLOCK.
 
 Defined results: a null url or one without "://" has an empty host and path, no rule and verdict allow
@@ -86,8 +87,9 @@ def tree(urls: DataFrame, spark: SparkSession, depth: int = DEPTH) -> DataFrame:
         rest_k, rest_b = F.col("ak") - F.col("k"), F.col("ab") - F.col("bad")
         pooled = F.col("ab") / F.col("ak")
         err = F.sqrt(pooled * (1 - pooled) * (1 / F.col("k") + 1 / rest_k))
-        # labelled on both sides and the rates differ: a branch of its own; unlabelled with support: also
-        differs = F.when((F.col("k") > 0) & (rest_k > 0), F.abs(F.col("bad") / F.col("k") - rest_b / rest_k) > Z * err).otherwise((F.col("k") == 0) & (rest_k == 0) & F.lit(False))
+        # labelled on both sides: a branch of its own if the rates differ; else nothing to compare, and one by its support alone
+        # (without siblings the wildcard stands for the same urls)
+        differs = F.when((F.col("k") > 0) & (rest_k > 0), F.abs(F.col("bad") / F.col("k") - rest_b / rest_k) > Z * err).otherwise(F.col("an") > F.col("n"))
         stays = F.coalesce(differs, F.lit(False)) & (F.col("n") >= SUPPORT) & (F.col("own") != WILD)
         keep = j.where(stays).select(F.col("host").alias("h"), F.col("head").alias("p"), F.col("own").alias("o"))
         marked = base.join(keep, deep & (F.col("host") == F.col("h")) & (head == F.col("p")) & (own == F.col("o")), "left")
@@ -100,8 +102,12 @@ def tree(urls: DataFrame, spark: SparkSession, depth: int = DEPTH) -> DataFrame:
     total = by_suffix.agg(F.sum("sk").alias("ak"), F.sum("sb").alias("ab")).first()
     everywhere = float((total["ab"] or 0) + 0.5) / float((total["ak"] or 0) + 2)
     smooth = lambda bad, k, prior: (bad + PRIOR * prior) / (k + PRIOR)
-    hosts = by_host.join(by_suffix, "suffix").select("host", smooth(F.col("hb"), F.col("hk"), smooth(F.col("sb"), F.col("sk"), F.lit(everywhere))).alias("host_purity"))
-    pure = up.join(hosts, "host").select(F.col("host").alias("h"), F.col("t").alias("x"), smooth(F.col("bad"), F.col("k"), F.col("host_purity")).alias("purity"))
+    hosts = by_host.join(by_suffix, "suffix").select("host", "hb", "hk", smooth(F.col("sb"), F.col("sk"), F.lit(everywhere)).alias("suffix_purity"))
+    hosts = hosts.select("host", "suffix_purity", smooth(F.col("hb"), F.col("hk"), F.col("suffix_purity")).alias("host_purity"))
+    branches = up.groupBy(F.col("host").alias("b_host"), F.slice("t", 1, 1).alias("branch")).agg(F.sum("k").alias("branch_k"))
+    up = up.join(branches, (F.col("host") == F.col("b_host")) & (F.slice("t", 1, 1) == F.col("branch")))
+    prior = F.when(F.col("branch_k") > 0, F.col("host_purity")).otherwise(F.col("suffix_purity"))
+    pure = up.join(hosts, "host").select(F.col("host").alias("h"), F.col("t").alias("x"), smooth(F.col("bad"), F.col("k"), prior).alias("purity"))
     return base.join(pure, (F.col("host") == F.col("h")) & (F.col("t") == F.col("x"))).select("host", "segs", F.col("t").alias("template"), "purity")
 
 

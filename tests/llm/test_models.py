@@ -242,6 +242,17 @@ def test_templates(spark):
     assert U.judge(df, rules=()).where("verdict = 'block'").count() == 0
 
 
+def test_unlabelled_branches_stay_apart(spark):
+    """A host that has only /de/ labels says nothing of its /en/ and /es/ urls; nor do few labels merge with them."""
+    for n in (7, 60):
+        urls = [f"http://h.com/{b}/{w}/p" for b, k in (("de", n), ("en", 90), ("es", 30)) for w in ("abc"[i % 3] * 3 for i in range(k))]
+        urls += [f"http://g.com/fr/{i}" for i in range(n)]
+        got = U.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).where("host = 'h.com'").collect()
+        for r in got:
+            branch = r.path.split("/")[1]
+            assert r.template.startswith(f"/{branch}/") and r.verdict == ("block" if branch == "de" else "allow"), r
+
+
 # ---- tokens -------------------------------------------------------------------------------------------------------
 
 
