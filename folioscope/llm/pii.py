@@ -2,13 +2,15 @@
 
 1. Base: e-mail addresses, IPv4 addresses, card numbers and phone numbers by expressions, leftmost and without overlap for
    each kind; matches that fail their check (parts, Luhn, digits) are dropped. Places count code points.
-2. Candidates: identifier-like tokens (runs of non-blank characters with at least MIN_SIGNS digits or "@") that no base span
-   touches, with the word before and the word after them. Those words are the lexical patterns; base matches are the seeds.
+2. Candidates: identifier-like tokens that no base span touches, with the word before and the word after them: runs of
+   non-blank characters with an "@" and something else, or with at least MIN_SIGNS digits; also neighbouring groups of digits
+   and signs on one line as one token ("(555) 123 456"), if they have as many digits together. Those words are the lexical patterns; base matches are the seeds.
 3. Bootstrapping: patterns and values form a graph. A pattern's confidence is the sum of the scores of its values
    over all occurrences of its word in the corpus, so a word that precedes anything else has next to none; a value's score is the
    noisy-or of its patterns' confidences, and 1 for seeds. ROUNDS rounds, each a join and two aggregations.
 4. Values with a score of ACCEPT or more, from patterns with at least SUPPORT different seed values, are found wherever a
-   confident pattern stands beside them; their kind is the one of most of the pattern's seeds.
+   confident pattern stands beside them; their kind is the one of most of the pattern's seeds. Of found spans within
+   another the longer counts.
 
 Base spans are never changed; a found span that overlaps a base span is left out. All of it is column expressions; counts
 of words are aggregated before they are shuffled.
@@ -115,14 +117,17 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-#: A blank-separated token with a digit or "@" and the blank-separated words beside it, if any.
+#: A blank-separated token with a digit or "@"; and several such of digits and signs alone, a blank or two apart.
 _TOKEN = r"\S*[0-9@]\S*"
+_GROUP = r"[().+/#:-]*+[0-9][0-9().,;:+/#-]*+"
+_GROUPS = rf"(?<!\S){_GROUP}(?:[\x20\t\xA0]{{1,2}}{_GROUP}(?!\S))+"
 
 
 def candidates(text: Column) -> Column:
-    """array<struct<start, end, value, left, right>>: identifier-like tokens with the words beside them."""
-
-    return F.filter(spans_of(text, _TOKEN), lambda s: F.length(F.regexp_replace(s["value"], "[^0-9@]", "")) >= MIN_SIGNS)
+    """array<struct<start, end, value>>: identifier-like tokens, and groups of digits as one."""
+    digits = lambda s: F.length(_digits(s["value"])) >= MIN_SIGNS
+    alone = F.filter(spans_of(text, _TOKEN), lambda s: digits(s) | F.contains(s["value"], F.lit("@")) & (F.length(s["value"]) > 1))
+    return F.concat(alone, F.when(text.rlike(_GROUPS), F.filter(spans_of(text, _GROUPS), digits)).otherwise(F.array().cast(_PLACES)))
 
 
 def find(docs: DataFrame, spark: SparkSession | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -167,6 +172,8 @@ def find(docs: DataFrame, spark: SparkSession | None = None, rounds: int = ROUND
     new = edges.where("kind IS NULL").join(good, "pattern").join(score.where(F.col("score") >= ACCEPT), "value")
     new = new.groupBy("row", "start", "end", "value").agg(F.max(F.struct("conf", (-F.col("p_kind")).alias("k"))).alias("top"))
     found = new.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", (-F.col("top.k")).cast("int").alias("kind"), "value"))).alias("more"))
+    within = lambda a, b: (b["start"] <= a["start"]) & (b["end"] >= a["end"]) & (b["end"] - b["start"] > a["end"] - a["start"])
+    found = found.select("row", F.filter("more", lambda a: ~F.exists("more", lambda b: within(a, b))).alias("more"))
     return scan.select("row", "doc_id", "base").join(found, "row", "left").select("doc_id", "base", F.coalesce("more", empty).alias("more"))
 
 

@@ -212,6 +212,17 @@ def test_contexts_find_more(spark, documents):
     assert P.report(documents(rows).limit(0)).count() == 0
 
 
+def test_contexts_find_other_forms(spark, documents):
+    """Addresses without a dotted domain, and numbers in short groups; a single group of few digits is none."""
+    rows = [(i, f"write mailto: u{i}@h{i}.org or call: +1 555 010 {1000 + i} now") for i in range(12)]
+    more = [("mailto: user@localhost please", "email", "user@localhost"), ("so call: (555) 123 456 soon", "phone", "(555) 123 456"), ("mailto: name@intranet", "email", "name@intranet"), ("call: 1234 56 78", "phone", "1234 56 78")]
+    rows += [(50 + i, t) for i, (t, *_) in enumerate(more)] + [(60, "the 12 items @ 34 pay @ home")]
+    got = {r.doc_id: r for r in P.report(documents(rows)).collect()}
+    for i, (t, kind, value) in enumerate(more):
+        assert got[50 + i].spans == f"{kind}:{t.index(value)}:{t.index(value) + len(value)}" and got[50 + i].n_more == 1, t
+    assert got[60].spans == ""
+
+
 def test_masked(spark, documents):
     d = P.find(documents([(1, "é mail a@b.cd or 1.2.3.4!")])).select(P.masked(F.lit("é mail a@b.cd or 1.2.3.4!"), F.col("base")).alias("m"))
     assert d.first()["m"] == "é mail <EMAIL> or <IP>!"
