@@ -208,7 +208,8 @@ def _probe(s: np.ndarray, band: int, most: int, hot: np.ndarray, freq: np.ndarra
     return ones, twos, np.r_[_named(sums[twos], twos, band, 1), less[np.isin(seg, twos)]]
 
 
-INDEXED, BOTH, PROBE, SIZE = 0, 1, 2, 3
+#: PROBE: in the band below; OWN: in the set's own band, by one deletion.
+INDEXED, BOTH, PROBE, SIZE, OWN = 0, 1, 2, 3, 4
 
 
 def rows_of(s: np.ndarray, hot: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,7 +221,7 @@ def rows_of(s: np.ndarray, hot: np.ndarray, freq: np.ndarray) -> tuple[np.ndarra
     ones, _, more = _probe(s, band, 2 * n // 9, hot, freq, own)
     role = np.zeros(m, np.int8)
     role[ones] = BOTH
-    keys, roles = [_named(own[0], np.arange(m), band, 0), more], [role, np.full(len(more), PROBE, np.int8)]
+    keys, roles = [_named(own[0], np.arange(m), band, 0), more], [role, np.full(len(more), OWN, np.int8)]
     if int(LOWS[band + 1]) - 1 <= DELETIONS:
         gone = _named(own[0][own[2]] - own[3], own[2], band, 1)
         keys.append(gone)
@@ -411,6 +412,14 @@ def join(docs: DataFrame, spark: SparkSession | None = None) -> DataFrame:
         return _join(docs, spark)
 
 
+def enough(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The rows of keys whose set shares as many of its own band's keys, or of those below, as a similar set would; with degree."""
+    below, by_node = F.col("role") == PROBE, W.partitionBy("node")
+    counted = shared.where(F.col("role") != SIZE).withColumn("own", F.sum((~below).cast("int")).over(by_node)).withColumn("other", F.sum(below.cast("int")).over(by_node))
+    keep = F.when(below, F.col("other") >= F.col("q_below")).otherwise(F.col("own") >= F.col("q_own"))
+    return counted.join(sizes.select("node", "q_own", "q_below"), "node").where(keep).withColumn("degree", F.col("own") + F.col("other"))
+
+
 def _join(docs: DataFrame, spark: SparkSession) -> DataFrame:
     own = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
@@ -426,7 +435,7 @@ def _join(docs: DataFrame, spark: SparkSession) -> DataFrame:
     rows = texts.mapInArrow(_emit(hot, freq), _ROWS)
     bucket = W.partitionBy("key")
     is_size = F.col("role") == SIZE
-    probing, indexed = F.col("role").isin(BOTH, PROBE).cast("int"), F.col("role").isin(INDEXED, BOTH).cast("int")
+    probing, indexed = F.col("role").isin(BOTH, PROBE, OWN).cast("int"), F.col("role").isin(INDEXED, BOTH).cast("int")
     keyed = rows.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).withColumn("p", F.max(probing).over(bucket)).withColumn("i", F.max(indexed).over(bucket))
     keyed = keyed.where(is_size | ((F.col("low") < F.col("high")) & (F.col("p") == 1) & (F.col("i") == 1)))
     shared = kept(keyed.select("key", "node", "role").distinct(), spark, "join-keys")  # rows of a key are together: no shuffle
@@ -434,11 +443,7 @@ def _join(docs: DataFrame, spark: SparkSession) -> DataFrame:
     sizes = kept(shared.where(is_size).groupBy("node").agg(F.max("key").alias("key")).select("node", packed(0, 32).alias("n"), packed(32, 16).alias("q_own"), packed(48, 15).alias("q_below")), spark, "join-sizes")
 
     # who shares too few keys to have a similar set goes, then buckets that are left with one member; the rest get their hub
-    below = F.col("role") == PROBE
-    by_node = W.partitionBy("node")
-    counted = shared.where(~is_size).withColumn("own", F.sum((~below).cast("int")).over(by_node)).withColumn("other", F.sum(below.cast("int")).over(by_node))
-    enough = F.when(below, F.col("other") >= F.col("q_below")).otherwise(F.col("own") >= F.col("q_own"))
-    counted = counted.join(sizes.select("node", "q_own", "q_below"), "node").where(enough).withColumn("degree", F.col("own") + F.col("other"))
+    counted = enough(shared, sizes)
     stars = counted.withColumn("hub", F.max(F.struct("degree", "node")).over(bucket)["node"]).withColumn("members", F.count(F.lit(1)).over(bucket)).withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket))
     stars = kept(stars.where("low < high").select("key", "node", "role", "hub", "members"), spark, "join-stars")
 
@@ -462,7 +467,7 @@ def _join(docs: DataFrame, spark: SparkSession) -> DataFrame:
     several = open_.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("key")
     open_ = kept(open_.join(several, "key").select("key", "hub", "node", "role", "comp", "members"), spark, "join-open")
     x, y = open_.where(small).alias("x"), open_.where(small).alias("y")
-    probes = F.col("x.role").isin(BOTH, PROBE) & F.col("y.role").isin(INDEXED, BOTH) | F.col("y.role").isin(BOTH, PROBE) & F.col("x.role").isin(INDEXED, BOTH)
+    probes = F.col("x.role").isin(BOTH, PROBE, OWN) & F.col("y.role").isin(INDEXED, BOTH) | F.col("y.role").isin(BOTH, PROBE, OWN) & F.col("x.role").isin(INDEXED, BOTH)
     few = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & probes)
     few = possible(few.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), sets)
     left = open_.where(~small).select("hub", "node", "comp").distinct()

@@ -146,6 +146,42 @@ def test_join_edges(spark, documents):
     assert one.columns == d.columns and sorted((r.doc_id for r in one.where("doc_id IS NOT NULL").collect())) == [1, 2, 4, 7]
 
 
+def test_pairs_at_the_limit_share_enough(spark):
+    """Random pairs of 18 to 36 shingles at the limit of similarity, where many segments are frequent: no set is pruned."""
+    rng = np.random.default_rng(3)
+    rows, sizes, node, pairs = [], [], 0, []
+    for trial in range(3000):
+        common = int(rng.integers(16, 33))
+        either = 100 * common // 80
+        more = int(rng.integers(0, either - common + 1))
+        u = rng.integers(0, 1 << 63, either, dtype=np.uint64) * np.uint64(2)
+        if trial % 2:  # one difference in each of the segments in use but one, others empty in both
+            common, more, either, m = 24, 4, 30, J.segments(J.band_of(28))
+            used = rng.permutation(m)[:7]
+            at = np.r_[used, rng.choice(used, 17, p=rng.dirichlet(np.ones(7))), rng.permutation(used[1:])]
+            u = (((at << 32) + rng.integers(0, 1 << 32, 30)) // m).astype(np.uint64) << np.uint64(32) | rng.integers(0, 1 << 32, 30, dtype=np.uint64)
+        x, y = np.sort(u[: common + more]), np.sort(np.r_[u[:common], u[common + more :]])
+        if len(np.unique(u)) < either or not 18 <= min(len(x), len(y)) <= max(len(x), len(y)) <= 36:
+            continue
+        keys = np.unique(np.concatenate([J._named(J._keys(s, b)[0], np.arange(J.segments(b)), b, 0) for s in (x, y) for b in (J.band_of(len(s)), J.band_of(len(s)) - 1)]))
+        hot = keys[rng.random(len(keys)) < rng.choice([0, 0.3, 0.6, 0.9])]
+        freq = rng.choice([4.0, 50.0, 3000.0], len(hot))
+        found = [set(zip(*map(np.ndarray.tolist, J.rows_of(s, hot, freq)), strict=True)) for s in (x, y)]
+        meet = {k for k, _ in found[0]} & {k for k, _ in found[1]}
+        of = {k: [r for f in found for q, r in f if q == k] for k in meet}
+        meet = {k for k, rs in of.items() if any(r not in (J.INDEXED, J.SIZE) for r in rs) and any(r in (J.INDEXED, J.BOTH) for r in rs)}
+        for s, f in zip((x, y), found, strict=True):
+            band = J.band_of(len(s))
+            rows += [(k - (1 << 64) if k >> 63 else k, node, r) for k, r in f if k in meet]
+            sizes.append((node, len(s), J.shares(band), J.shares(band - 1)))
+            node += 1
+        pairs.append((node - 2, node - 1))
+    left = {}
+    for r in J.enough(spark.createDataFrame(rows, J._ROWS), spark.createDataFrame(sizes, "node long, n long, q_own long, q_below long")).collect():
+        left.setdefault(r.node, set()).add(r.key)
+    assert len(pairs) > 1000 and all(left.get(a, set()) & left.get(b, set()) for a, b in pairs)
+
+
 def test_sketches_bound_from_below():
     rng = np.random.default_rng(1)
     for n in (5, 90, 3000):
