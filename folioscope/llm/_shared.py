@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from folioscope.session import shared_dir
 
+BATCH_BYTES = 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,14 +34,19 @@ def kept(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
 
 @contextmanager
 def batches_of(spark: SparkSession, rows: int):
-    """Within, Python gets at most so many rows at a time, which bounds a worker's memory where rows are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    """Within, Python gets at most so many rows and BATCH_BYTES at a time, which bounds a worker's memory where rows are large.
+
+    The settings are the session's; what is planned within must be executed within.
+    """
+    now = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    was = {k: spark.conf.get(k) for k in now}
+    for k, v in now.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(name, was)
+        for k, v in was.items():
+            spark.conf.set(k, v)
 
 
 def let(value: Column, body) -> Column:

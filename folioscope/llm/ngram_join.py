@@ -3,26 +3,31 @@
 A document's set is its distinct 5-word shingles as 64-bit hashes. For two sets with
 100 * |A n B| >= 80 * |A u B| the symmetric difference has at most (|A| + |B|) / 9 elements.
 
-1. Exact copies are grouped by digest (64 bits of it name the group) and stand for one set.
+1. Exact copies are grouped by digest and stand for one set. A group is named by 64 bits of its 128-bit digest; digests
+   that share those bits are looked for and get other names.
 2. Sets are put in bands by size, each 1.25 times the last; a set meets those of its own band and of
    the band below. In a band all hashes are cut into m segments, a few more than the largest possible
    difference of two sets there. A difference of d elements touches at most d segments, so two similar sets
    agree on any subset of segments that is larger than their difference.
-3. All segments of a set are indexed; it probes a subset that is just large enough. Which one is decided by cost: the
-   frequencies of segments in a bounded sample of documents, with empty segments last. In bands
+3. All segments of a set that hold elements are indexed; it probes a subset of them that is just large enough. Which one is
+   decided by cost: the frequencies of segments in a bounded sample of documents. In bands
    of small sets a segment can also count twice: its one-deletion neighbourhood is indexed, and a probe
    that allows one difference stands for two. Costs never change the result.
-   A probe takes some segments more than it needs, so similar sets share more than one key.
-4. Sets with fewer shared keys than any similar set would leave are dropped. Candidates: sets that share a key, at least one probing and one indexed. A bucket of n sets is not
+   A probe takes some segments more than it needs, so similar sets share more than one key. Empty segments are no keys. The few sets
+   whose elements fall into so few segments that a similar set could agree with them on empty ones alone are indexed by
+   elements besides: by as many of their least hashes that similar sets have one of them in common.
+4. Sets with fewer shared keys than any similar set would leave are dropped (not from buckets that a set with too few segments
+   probes). Candidates: sets that share a key, at least one probing and one indexed. A bucket of n sets is not
    expanded into pairs: all are first verified against its hub (the set with the most shared keys), which settles
-   groups of copies. What is left are pairs of sets in different components so far. Similar ones must share a known
-   number of elements of their differences to the hub, so they share one among the first few of those in a common
-   order (rare ones first); pairs come from a join on the hub and such an element. Pairs within buckets of at most FEW
-   sets are listed as they are. Before sets move, pairs are tested by sketches (counts of elements in parts of the
-   universe), whose distance bounds the difference from below.
+   groups of copies; what is left of a bucket gets another hub, PEELS times at most. Then there are pairs of sets in different
+   components left. Similar ones must share a known number of elements of their differences to the hub, so they share one among
+   the first few of those in a common order (rare ones first); pairs come from a join on the hub and such an element,
+   in which one side leaves out the hub's largest component. Before sets move, pairs are tested by sketches (counts of elements
+   in parts of the universe), whose distance bounds the difference from below.
 5. Every candidate is verified on the full sets; components come from label propagation with pointer jumping.
 
-Shuffled are keys and ids; sets and texts move for candidates only. Nothing grows with the corpus on
+Shuffled are keys and ids; sets and texts move for candidates only. Keys that are frequent in the sample are spread over SALTS
+tasks; hubs come from aggregates that are joined back, so Spark may split a hot bucket. Nothing grows with the corpus on
 the driver.
 
 Defined results: a document with fewer than 5 words has its whole word sequence as one shingle; without
@@ -37,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -53,8 +58,12 @@ DELETIONS = 40
 CHUNK = 1 << 19
 #: Rows that a worker gets at once: texts, or pairs of sets.
 ROWS_AT_ONCE = 1000
-#: Members of a bucket whose pairs are listed one by one.
-FEW = 48
+#: Hubs that a bucket gets after its first one.
+PEELS = 2
+#: Keys that one in so many sampled documents has are spread over so many tasks.
+HOT_SHARE, SALTS = 64, 64
+#: Digests that share their 64 bits with others; more than any corpus has (n * n / 2**65 of n texts).
+MAX_CLASHES = 10_000
 #: Ids (8 bytes each) that may be broadcast; more are shuffled.
 MAX_BROADCAST = 1_000_000
 #: Texts whose digests a task remembers to skip their copies.
@@ -189,56 +198,73 @@ def _cost(keys: np.ndarray, hot: np.ndarray, freq: np.ndarray) -> np.ndarray:
     return np.where(hot[at] == keys, freq[at], 0)
 
 
-def _probe(s: np.ndarray, band: int, most: int, hot: np.ndarray, freq: np.ndarray, of: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _probe(s: np.ndarray, band: int, most: int, hot: np.ndarray, freq: np.ndarray, of: tuple) -> tuple[np.ndarray, np.ndarray, int]:
     """Segments that a set probes in a band so that no set within ``most`` differences is missed.
 
-    Returns the exact keys' segments, those that allow one difference, and the keys that those need besides.
+    Returns the exact keys' segments, the keys that those need besides which allow one difference, and how many differences
+    all segments of the set would stand: one each, two where they have several elements and the band counts twice.
     """
     sums, size, seg, g = of
-    m, none = len(sums), np.empty(0, np.int64)
-    exact = _named(sums, np.arange(m), band, 0)
-    once = _cost(exact, hot, freq) + (size == 0) * 1e9
+    full = np.flatnonzero(size)
+    exact = _named(sums[full], full, band, 0)
+    once = _cost(exact, hot, freq)
     if int(LOWS[band + 1]) - 1 > DELETIONS:
-        return np.argsort(once, kind="stable")[: most + 1 + room(band)], none, np.empty(0, _U)
+        return full[np.argsort(once, kind="stable")[: most + 1 + room(band)]], np.empty(0, _U), len(full)
     less = _named(sums[seg] - g, seg, band, 0)
-    twice = _cost(_named(sums, np.arange(m), band, 1), hot, freq) + np.bincount(seg, weights=_cost(less, hot, freq), minlength=m) + (size == 0) * 1e9
-    twice = np.maximum(twice + 0.5 + size * 0.01, once)  # a second difference costs some keys in any case
+    twice = _cost(_named(sums[full], full, band, 1), hot, freq) + np.bincount(seg, weights=_cost(less, hot, freq), minlength=len(sums))[full]
+    twice = np.maximum(twice + 0.5 + size[full] * 0.01, once)[size[full] > 1]  # a second difference costs some keys in any case
     order = np.argsort(np.r_[once, twice], kind="stable")[: most + 1 + room(band)]
-    ones, twos = order[order < m], order[order >= m] - m
-    return ones, twos, np.r_[_named(sums[twos], twos, band, 1), less[np.isin(seg, twos)]]
+    ones, twos = full[order[order < len(full)]], full[size[full] > 1][order[order >= len(full)] - len(full)]
+    return ones, np.r_[_named(sums[twos], twos, band, 1), less[np.isin(seg, twos)]], len(full) + len(twice)
 
 
-#: PROBE: in the band below; OWN: in the set's own band, by one deletion.
-INDEXED, BOTH, PROBE, SIZE, OWN = 0, 1, 2, 3, 4
+#: PROBE: in the band below; OWN: in the set's own band, by one deletion; ELEMENT: an element of a set that has too few segments.
+INDEXED, BOTH, PROBE, SIZE, OWN, ELEMENT = 0, 1, 2, 3, 4, 5
+#: Added to a role: a probe of a set with too few segments to share as many keys as others; a frequent key.
+SHORT, HOT = 8, 16
 
 
-def rows_of(s: np.ndarray, hot: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and roles of a set."""
+def rows_of(s: np.ndarray, hot: np.ndarray, freq: np.ndarray, split: np.ndarray = np.empty(0, _U)) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and roles of a set. split: frequent keys."""
     n = len(s)
     band = band_of(n)
     own = _keys(s, band)
-    m = len(own[0])
-    ones, _, more = _probe(s, band, 2 * n // 9, hot, freq, own)
-    role = np.zeros(m, np.int8)
-    role[ones] = BOTH
-    keys, roles = [_named(own[0], np.arange(m), band, 0), more], [role, np.full(len(more), OWN, np.int8)]
+    size = own[1]
+    full, most = np.flatnonzero(size), 2 * n // 9
+    ones, more, stands = _probe(s, band, most, hot, freq, own)
+    short = SHORT * (stands < most + 1 + room(band))
+    role = np.zeros(len(size), np.int8)
+    role[ones] = BOTH + short
+    keys, roles = [_named(own[0][full], full, band, 0), more], [role[full], np.full(len(more), OWN + short, np.int8)]
     if int(LOWS[band + 1]) - 1 <= DELETIONS:
-        gone = _named(own[0][own[2]] - own[3], own[2], band, 1)
+        several = size[own[2]] > 1
+        gone = _named((own[0][own[2]] - own[3])[several], own[2][several], band, 1)
         keys.append(gone)
         roles.append(np.zeros(len(gone), np.int8))
+    # without a common key all segments of both sets would have to differ
+    few = stands <= most or 4 * len(full) <= n
     if band and n <= (high := int(LOWS[band]) - 1) * 5 // 4:
         below = _keys(s, band - 1)
-        ones, _, more = _probe(s, band - 1, (n + high) // 9, hot, freq, below)
+        most = (n + high) // 9
+        ones, more, stands = _probe(s, band - 1, most, hot, freq, below)
         more = np.r_[_named(below[0][ones], ones, band - 1, 0), more]
         keys.append(more)
-        roles.append(np.full(len(more), PROBE, np.int8))
-    return np.concatenate(keys), np.concatenate(roles)
+        roles.append(np.full(len(more), PROBE + SHORT * (stands < most + 1 + room(band - 1)), np.int8))
+        few |= stands <= most
+    if few:
+        least = s[: n - (4 * n + 4) // 5 + 1]
+        keys.append(_mix(least + _times(3, 3)))
+        roles.append(np.full(len(least), ELEMENT, np.int8))
+    key, role = np.concatenate(keys), np.concatenate(roles)
+    if len(split):
+        role = role + HOT * _members(key, split).astype(np.int8)
+    return key, role
 
 
 _ROWS = "key long, node long, role byte"
 
 
-def _emit(hot: np.ndarray, freq: np.ndarray):
+def _emit(hot: np.ndarray, freq: np.ndarray, split: np.ndarray = np.empty(0, _U)):
     """Batches of node, text -> keys; besides a row for each set with its size in key, and over that (times 2**32 and 2**48)
     the numbers of keys that a similar set shares with it in its own band and in the one below."""
 
@@ -249,7 +275,7 @@ def _emit(hot: np.ndarray, freq: np.ndarray):
             nodes = batch.column(0).to_numpy(zero_copy_only=False)
             keys, ids, roles, n = [], [], [], 0
             for i, s in sets_of(batch.column(1)):
-                k, r = rows_of(s, hot, freq) if len(s) else (np.empty(0, _U), np.empty(0, np.int8))
+                k, r = rows_of(s, hot, freq, split) if len(s) else (np.empty(0, _U), np.empty(0, np.int8))
                 band = band_of(len(s)) if len(s) else 0
                 keys += [k, np.array([len(s) | shares(band) << 32 | shares(max(0, band - 1)) << 48], _U)]
                 roles += [r, np.array([SIZE], np.int8)]
@@ -400,111 +426,168 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
             return label
 
 
-def node_of(text):
-    """64 bits of a text's digest, which stand for the text and all its copies."""
-    return F.xxhash64(F.md5(text.cast("binary")))
+def node_of(text: Column, clashes: list[bytes] | None = None) -> Column:
+    """64 bits of a text's digest, which stand for the text and all its copies. clashes: digests that need another name."""
+    digest = F.md5(text.cast("binary"))
+    name = F.xxhash64(digest)
+    return F.when(digest.isin(clashes), F.xxhash64(digest, F.lit(len(clashes)))).otherwise(name) if clashes else name
+
+
+def _clashes(ids: DataFrame) -> list[bytes]:
+    """Digests (of node, low, high: the least and largest digest by name) that do not have a name of their own."""
+    found = ids.where("low <> high").select(F.explode(F.array("low", "high"))).limit(MAX_CLASHES).collect()
+    return sorted({r[0] for r in found})
 
 
 def join(docs: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, copy_of: a row for each row of docs. copy_of: the smallest id of the same text."""
     spark = spark or docs.sparkSession
     with batches_of(spark, ROWS_AT_ONCE):
-        return _join(docs, spark)
+        ids, found, _ = _join(docs, spark)
+    out = ids.join(found.drop("first").withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left")
+    alone = F.col("k").isNull()
+    return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(alone, F.col("doc_id")).otherwise(F.col("rep")).alias("copy_of"))
+
+
+def _probing(role: str = "role") -> Column:
+    return F.pmod(role, F.lit(SHORT)).isin(BOTH, PROBE, OWN, ELEMENT)
 
 
 def enough(shared: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The rows of keys whose set shares as many of its own band's keys, or of those below, as a similar set would; with degree."""
-    below, by_node = F.col("role") == PROBE, W.partitionBy("node")
+    """The rows of keys whose set shares as many of its own band's keys, or of those below, as a similar set would; with degree.
+
+    Rows of elements, and of buckets that a set with too few segments probes, all stay.
+    """
+    below, by_node = F.pmod("role", F.lit(SHORT)) == PROBE, W.partitionBy("node")
     counted = shared.where(F.col("role") != SIZE).withColumn("own", F.sum((~below).cast("int")).over(by_node)).withColumn("other", F.sum(below.cast("int")).over(by_node))
     keep = F.when(below, F.col("other") >= F.col("q_below")).otherwise(F.col("own") >= F.col("q_own"))
-    return counted.join(sizes.select("node", "q_own", "q_below"), "node").where(keep).withColumn("degree", F.col("own") + F.col("other"))
+    sure = shared.where(F.col("role") > SHORT).select(F.col("key").alias("sure")).distinct()
+    counted = counted.join(sure, F.col("key") == F.col("sure"), "left").join(sizes.select("node", "q_own", "q_below"), "node")
+    return counted.where(keep | (F.col("role") == ELEMENT) | F.col("sure").isNotNull()).withColumn("degree", F.col("own") + F.col("other"))
+
 
+def _with_hubs(rows: DataFrame) -> DataFrame:
+    """rows (key, node, degree and others) of keys with several nodes, with the key's hub: that of the highest degree."""
+    hubs = rows.groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"), F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    return rows.join(hubs.select(F.col("key").alias("k"), "hub"), F.col("key") == F.col("k")).drop("k")
 
-def _join(docs: DataFrame, spark: SparkSession) -> DataFrame:
+
+def _open(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """rows (key, node and others) but hubs, of keys whose nodes are in several components; with comp."""
+    rows = rows.where("node <> hub").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = rows.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select(F.col("key").alias("k"))
+    return rows.join(several, F.col("key") == F.col("k"), "left_semi")
+
+
+def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, list[bytes]]:
+    """ids (doc_id, node), sets (node, rep, n, component_id, first: the node that stands for its component), and clashing digests."""
     own = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    ids = own.select("doc_id", F.when(worded, node_of(F.col("text"))).alias("node"))
-    of = kept(ids.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep")), spark, "join-copies")
+    clashes: list[bytes] = []
+    while True:
+        digest = F.md5(F.col("text").cast("binary"))
+        of = own.where(worded).groupBy(node_of(F.col("text"), clashes).alias("node")).agg(F.min("doc_id").alias("rep"), F.min(digest).alias("low"), F.max(digest).alias("high"))
+        of = kept(of, spark, "join-copies")
+        if not (more := _clashes(of)):
+            break
+        clashes = sorted({*clashes, *more})
+    of = of.select("node", "rep")
+    node = node_of(F.col("text"), clashes)
+    ids = own.select("doc_id", F.when(worded, node).alias("node"))
 
     # texts stay where they are read: a task skips copies that it has met, the rest meet in the keys
-    texts = own.where(worded).select(node_of(F.col("text")).alias("node"), "text")
+    texts = own.where(worded).select(node.alias("node"), "text")
     every = max(1, of.count() // SAMPLE)
     some = texts.where(F.pmod("node", F.lit(every)) == 0)
     hot, freq = _frequent(some.mapInArrow(_emit(np.empty(0, _U), np.empty(0)), _ROWS).where(F.col("role") != SIZE))
     hot_tokens = _frequent(some.where(F.pmod("node", F.lit(4 * every)) == 0).mapInArrow(_elements, "key long, node long"))
-    rows = texts.mapInArrow(_emit(hot, freq), _ROWS)
-    bucket = W.partitionBy("key")
-    is_size = F.col("role") == SIZE
-    probing, indexed = F.col("role").isin(BOTH, PROBE, OWN).cast("int"), F.col("role").isin(INDEXED, BOTH).cast("int")
-    keyed = rows.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).withColumn("p", F.max(probing).over(bucket)).withColumn("i", F.max(indexed).over(bucket))
-    keyed = keyed.where(is_size | ((F.col("low") < F.col("high")) & (F.col("p") == 1) & (F.col("i") == 1)))
-    shared = kept(keyed.select("key", "node", "role").distinct(), spark, "join-keys")  # rows of a key are together: no shuffle
+    rows = texts.mapInArrow(_emit(hot, freq, hot[freq >= max(SEEN, SAMPLE // HOT_SHARE)]), _ROWS)
+    is_hot, role = F.col("role") >= HOT, F.pmod("role", F.lit(HOT)).cast("byte")
+    bucket = W.partitionBy("key", F.when(is_hot, F.pmod("node", F.lit(SALTS))).otherwise(F.lit(0)))
+    is_size, indexed = F.col("role") == SIZE, F.pmod("role", F.lit(SHORT)).isin(INDEXED, BOTH, ELEMENT).cast("int")
+    keyed = rows.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).withColumn("p", F.max(_probing().cast("int")).over(bucket)).withColumn("i", F.max(indexed).over(bucket))
+    keyed = keyed.where(is_size | is_hot | ((F.col("low") < F.col("high")) & (F.col("p") == 1) & (F.col("i") == 1)))
+    shared = kept(keyed.select("key", "node", role.alias("role")).distinct(), spark, "join-keys")
     packed = lambda shift, bits: F.shiftright("key", shift).bitwiseAND((1 << bits) - 1)
-    sizes = kept(shared.where(is_size).groupBy("node").agg(F.max("key").alias("key")).select("node", packed(0, 32).alias("n"), packed(32, 16).alias("q_own"), packed(48, 15).alias("q_below")), spark, "join-sizes")
+    sizes = kept(shared.where(F.col("role") == SIZE).groupBy("node").agg(F.max("key").alias("key")).select("node", packed(0, 32).alias("n"), packed(32, 16).alias("q_own"), packed(48, 15).alias("q_below")), spark, "join-sizes")
 
     # who shares too few keys to have a similar set goes, then buckets that are left with one member; the rest get their hub
-    counted = enough(shared, sizes)
-    stars = counted.withColumn("hub", F.max(F.struct("degree", "node")).over(bucket)["node"]).withColumn("members", F.count(F.lit(1)).over(bucket)).withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket))
-    stars = kept(stars.where("low < high").select("key", "node", "role", "hub", "members"), spark, "join-stars")
+    counted = kept(enough(shared, sizes).select("key", "node", "degree").distinct(), spark, "join-enough")
+    stars = kept(_with_hubs(counted), spark, "join-stars")
 
     wanted = kept(stars.select("node").distinct().join(of, "node"), spark, "join-wanted")
     if wanted.count() <= MAX_BROADCAST:
         wanted = F.broadcast(wanted)
     w = wanted.select(F.col("node").alias("w"), "rep")
-    sets = own.where(worded).select("doc_id", node_of(F.col("text")).alias("node"), "text").join(w, (F.col("node") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    sets = kept(sets.select("node", "text").mapInArrow(_set_rows, "node long, n long, elements binary, sketch binary"), spark, "join-sets")
-    # pairs of a small bucket's members are few; a large one's are compared by way of its hub
-    small = F.col("members") <= FEW
-    pairs = stars.where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max("members").alias("members"))
-    pairs = kept(pairs, spark, "join-pairs")
-    maybe = possible(pairs.where(small).select("a", "b"), sets)
-    pairs = kept(maybe.union(pairs.where(~small).select("a", "b")), spark, "join-maybe")
-    near = kept(verified(pairs, sets, *hot_tokens, tokens=True), spark, "join-near")
-    comp = components(near.where(LINKED), spark)
-
-    # what is left: sets that share a bucket, but not a component; at least one of them is not linked with the hub
-    open_ = stars.where("node <> hub").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = open_.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("key")
-    open_ = kept(open_.join(several, "key").select("key", "hub", "node", "role", "comp", "members"), spark, "join-open")
-    x, y = open_.where(small).alias("x"), open_.where(small).alias("y")
-    probes = F.col("x.role").isin(BOTH, PROBE, OWN) & F.col("y.role").isin(INDEXED, BOTH) | F.col("y.role").isin(BOTH, PROBE, OWN) & F.col("x.role").isin(INDEXED, BOTH)
-    few = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & probes)
-    few = possible(few.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), sets)
-    left = open_.where(~small).select("hub", "node", "comp").distinct()
-    far = near.select(F.col("a").alias("hub"), F.col("b").alias("node"), (F.col("either") - F.col("both")).alias("d"), (~F.expr(LINKED)).alias("far"), "tokens")
-    left = left.join(far, ["hub", "node"]).join(sizes.select("node", "n"), "node").select("hub", "node", "comp", "n", "d", "far", F.posexplode("tokens").alias("at", "token"))
-    left = kept(left, spark, "join-left")
-    x, y = left.alias("x"), left.alias("y")
+    sets = own.where(worded).select("doc_id", node.alias("node"), "text").join(w, (F.col("node") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    sets = kept(sets.select("node", "text").mapInArrow(_set_rows, "node long, n long, elements binary, sketch binary").dropDuplicates(["node"]), spark, "join-sets")
+
+    # each bucket's members are compared with its hub, then what is left of the bucket with a hub among that, and so on
+    left, links, comp = stars, None, None
+    for turn in range(1 + PEELS):
+        pairs = left.where("node <> hub")
+        if comp is not None:
+            pairs = pairs.join(comp.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left").where(F.col("comp") != F.coalesce("hub_comp", "hub"))
+        pairs = possible(pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), sets)
+        new = kept(verified(pairs, sets).where(LINKED).select("a", "b"), spark, "join-links")
+        if turn and new.isEmpty():
+            break
+        links = new if links is None else kept(links.union(new), spark, "join-links")
+        comp = components(links, spark)
+        rest = _open(left.drop("comp"), comp)
+        left = kept(_with_hubs(rest.drop("hub")) if turn < PEELS else rest, spark, "join-left")
+
+    # pairs of different components that still share a bucket: by what sets them apart from the bucket's first hub
+    hubs = stars.select("key", "node", F.col("hub").alias("hub1"))
+    apart_ = left.where("node <> hub").select("key", "node", "comp").join(hubs, ["key", "node"])
+    apart_ = kept(apart_.select(F.col("hub1").alias("hub"), "node", "comp").distinct(), spark, "join-apart")
+    told = kept(verified(apart_.select(F.col("hub").alias("a"), F.col("node").alias("b")), sets, *hot_tokens, tokens=True), spark, "join-told")
+    told = told.select(F.col("a").alias("hub"), F.col("b").alias("node"), (F.col("either") - F.col("both")).alias("d"), "tokens")
+    mains = apart_.groupBy("hub", "comp").count().groupBy("hub").agg(F.max(F.struct("count", "comp"))["comp"].alias("main"))
+    told = told.join(apart_, ["hub", "node"]).join(mains, "hub").join(sizes.select("node", "n"), "node")
+    told = kept(told.select("hub", "node", "comp", (F.col("comp") == F.col("main")).alias("is_main"), "n", "d", F.posexplode("tokens").alias("at", "token")), spark, "join-tokens")
+    x, y = told.where("NOT is_main").alias("x"), told.alias("y")
     # elements that the two differences must have in common
     least = F.floor((F.col("x.d") + F.col("y.d") - F.floor((F.col("x.n") + F.col("y.n")) / 9) + 1) / 2)
-    alike = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.far") | F.col("y.far"))
+    alike = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.token") == F.col("y.token")) & (F.col("y.is_main") | (F.col("x.node") < F.col("y.node"))) & (F.col("x.comp") != F.col("y.comp"))
     alike = alike & (100 * F.least("x.n", "y.n") >= 80 * F.greatest("x.n", "y.n")) & (F.col("x.at") <= F.col("x.d") - least) & (F.col("y.at") <= F.col("y.d") - least)
-    rest = possible(x.join(y, alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), sets)
-    rest = kept(rest.union(few).distinct(), spark, "join-rest")
-    more = kept(verified(rest, sets), spark, "join-more")
-    if not more.where(LINKED).isEmpty():
-        comp = components(near.where(LINKED).select("a", "b").union(more.where(LINKED).select("a", "b")), spark)
+    rest = x.join(y, alike).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    more = kept(verified(possible(rest, sets), sets).where(LINKED).select("a", "b"), spark, "join-more")
+    if not more.isEmpty():
+        comp = components(links.union(more), spark)
 
     groups = of.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    first = groups.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    found = groups.join(first, "comp").join(sizes, "node").select(F.col("node").alias("k"), "n", "component_id", "rep")
-    out = ids.join(found, F.col("node") == F.col("k"), "left")
-    return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_shingles"), F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("rep")).alias("copy_of"))
+    # a component is named by its smallest id, and stands for itself by the set of that id
+    first = groups.groupBy("comp").agg(F.min("rep").alias("component_id"), F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node"))["node"].alias("first"))
+    found = kept(groups.join(first, "comp").join(sizes, "node").select("node", "rep", "n", "component_id", "first"), spark, "join-found")
+    return ids, found, clashes
 
 
 def one_of_each(docs: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """docs with one row of each component: that of the smallest doc_id. Rows without words all stay."""
+    """docs with one row of each component: one with the text and the id of its smallest doc_id (null counts as largest).
+
+    Rows without words all stay. Of rows of one id with different texts each is judged by its text.
+    """
     spark = spark or docs.sparkSession
     cols = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(cols))])
     doc_id, text = F.col(f"c{cols.index('doc_id')}"), F.col(f"c{cols.index('text')}")
-    first = join(rows.select(doc_id.alias("doc_id"), text.alias("text")), spark)
-    keep = first.where("n_shingles = 0 OR doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("keep_id")).distinct()
+    with batches_of(spark, ROWS_AT_ONCE):
+        ids, found, clashes = _join(rows.select(doc_id.alias("doc_id"), text.alias("text")), spark)
+    stay = found.where("node = first").select(F.col("node").alias("k"), "rep")
+    # exact repetitions of the row that stays, if any, are aggregated; all others stay where they are read
+    times = ids.join(stay, (F.col("node") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).groupBy("k", "rep").agg(F.count(F.lit(1)).alias("times"))
+    stay = kept(times, spark, "join-stay")
+    if stay.count() <= MAX_BROADCAST:
+        stay = F.broadcast(stay)
     blank = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept_rows = rows.join(keep, doc_id.eqNullSafe(F.col("keep_id")), "left_semi")
-    # rows of one id are one group: the first of them stays
-    number = F.row_number().over(W.partitionBy(doc_id).orderBy(F.xxhash64(text)))
-    return kept_rows.withColumn("again", number).where((F.col("again") == 1) | blank | doc_id.isNull()).drop("again").toDF(*cols)
+    node = F.when(~blank, node_of(text, clashes))
+    marked = rows.withColumn("__node", node).join(stay, (F.col("__node") == F.col("k")) & doc_id.eqNullSafe(F.col("rep")), "left")
+    out = marked.where(blank | (F.col("times") == 1)).select(*rows.columns)
+    if not stay.where("times > 1").isEmpty():
+        again = marked.where("times > 1").dropDuplicates(["k", "rep"]).select(*rows.columns)
+        out = out.union(again)
+    return out.toDF(*cols)
 
 
 SQL = r"""

@@ -110,9 +110,10 @@ def family(rng, words, n, edits):
     return out
 
 
-@pytest.mark.parametrize("few", [J.FEW, 3])
-def test_join_against_all_pairs(spark, documents, clashing, monkeypatch, few):
-    monkeypatch.setattr(J, "FEW", few)
+@pytest.mark.parametrize("peels", [J.PEELS, 0])
+def test_join_against_all_pairs(spark, documents, clashing, monkeypatch, peels):
+    monkeypatch.setattr(J, "PEELS", peels)
+    monkeypatch.setattr(J, "HOT_SHARE", 4000)
     rng = random.Random(6)
     word = lambda: rng.choice("abcdefgh") + rng.choice("xyz") + str(rng.randrange(40))
     texts = []
@@ -143,7 +144,36 @@ def test_join_edges(spark, documents):
     assert got == sorted([(1, 0, 1), (2, 0, 2), (None, 2, 4), (9, 2, 4), (4, 2, 4), (4, 2, 4), (7, 1, 7)], key=str)
     assert J.join(d.limit(0)).count() == 0
     one = J.one_of_each(d)
-    assert one.columns == d.columns and sorted((r.doc_id for r in one.where("doc_id IS NOT NULL").collect())) == [1, 2, 4, 7]
+    assert one.columns == d.columns and sorted((r.doc_id or 0, r.text) for r in one.where("text <> ''").collect()) == [(4, "A B C D E F"), (4, "other words in the same id"), (7, "x")]
+    assert one.where("coalesce(text, '') = ''").count() == 2
+    # an id on a copy and on a text of its own; repeated rows; groups without an id
+    d = documents([(1, "a b c d e f"), (5, "a b c d e f"), (5, "only here"), (5, "only here"), (5, "only here"), (None, "g h i"), (None, "g h i"), (None, "g h i j k"), (8, None), (8, None)])
+    assert sorted(((r.doc_id or 0, r.text or "") for r in J.one_of_each(d).collect())) == [(0, "g h i"), (0, "g h i j k"), (1, "a b c d e f"), (5, "only here"), (8, ""), (8, "")]
+
+
+def test_names_that_clash(spark, documents, monkeypatch):
+    """Texts whose digests share their 64 bits are still two sets."""
+    name = J.node_of
+    monkeypatch.setattr(J, "node_of", lambda text, clashes=None: F.when(F.lit(not clashes) & text.startswith("clash"), F.lit(7)).otherwise(name(text, clashes)))
+    d = documents([(1, "clash of a b c d e"), (2, "clash of v w x y z"), (3, "other"), (4, "clash of a b c d e")])
+    assert sorted(tuple(r)[:3] for r in J.join(d).collect()) == [(1, 3, 1), (2, 3, 2), (3, 1, 3), (4, 3, 1)]
+
+
+def test_hub_far_from_its_family(spark, documents, monkeypatch):
+    """Buckets whose first hub is linked with none of them get others; rows that a step makes grow with the sets, not with their pairs."""
+    rng = random.Random(9)
+    made, keep = {}, J.kept
+
+    def kept(df, s, tag):
+        made[n, tag] = out = keep(df, s, tag)
+        return out
+
+    monkeypatch.setattr(J, "kept", kept)
+    for n in (30, 150):
+        base = [f"w{i}" for i in range(200)]
+        docs = list(enumerate([" ".join(base[:150] + [f"q{i}" for i in range(60)]), *family(rng, base, n, [1, 2, 3, 4, 5, 6, 7])]))
+        assert sorted(tuple(r)[:3] for r in J.join(documents(docs)).collect()) == brute_join(docs)
+    assert made[150, "join-tokens"].count() <= 8 * max(500, made[30, "join-tokens"].count())
 
 
 def test_pairs_at_the_limit_share_enough(spark):
@@ -163,13 +193,18 @@ def test_pairs_at_the_limit_share_enough(spark):
         x, y = np.sort(u[: common + more]), np.sort(np.r_[u[:common], u[common + more :]])
         if len(np.unique(u)) < either or not 18 <= min(len(x), len(y)) <= max(len(x), len(y)) <= 36:
             continue
+        if trial % 3 == 0:  # so few segments in use that only empty ones may be alike
+            m = J.segments(J.band_of(len(x)))
+            at = rng.choice(rng.permutation(m)[: rng.integers(2, 7)], either)
+            u = (((at << 32) + rng.integers(0, 1 << 32, either)) // m).astype(np.uint64) << np.uint64(32) | rng.integers(0, 1 << 32, either, dtype=np.uint64)
+            x, y = np.sort(u[: common + more]), np.sort(np.r_[u[:common], u[common + more :]])
         keys = np.unique(np.concatenate([J._named(J._keys(s, b)[0], np.arange(J.segments(b)), b, 0) for s in (x, y) for b in (J.band_of(len(s)), J.band_of(len(s)) - 1)]))
         hot = keys[rng.random(len(keys)) < rng.choice([0, 0.3, 0.6, 0.9])]
         freq = rng.choice([4.0, 50.0, 3000.0], len(hot))
         found = [set(zip(*map(np.ndarray.tolist, J.rows_of(s, hot, freq)), strict=True)) for s in (x, y)]
         meet = {k for k, _ in found[0]} & {k for k, _ in found[1]}
         of = {k: [r for f in found for q, r in f if q == k] for k in meet}
-        meet = {k for k, rs in of.items() if any(r not in (J.INDEXED, J.SIZE) for r in rs) and any(r in (J.INDEXED, J.BOTH) for r in rs)}
+        meet = {k for k, rs in of.items() if any(r % J.SHORT not in (J.INDEXED, J.SIZE) for r in rs) and any(r % J.SHORT in (J.INDEXED, J.BOTH, J.ELEMENT) for r in rs)}
         for s, f in zip((x, y), found, strict=True):
             band = J.band_of(len(s))
             rows += [(k - (1 << 64) if k >> 63 else k, node, r) for k, r in f if k in meet]
