@@ -454,16 +454,22 @@ def _probing(role: str = "role") -> Column:
 
 
 def enough(shared: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The rows of keys whose set shares as many of its own band's keys, or of those below, as a similar set would; with degree.
+    """The rows of keys whose set shares as many of its own band's keys, or of those below, as a similar set would.
 
-    Rows of elements, and of buckets that a set with too few segments probes, all stay.
+    Rows of elements, and of buckets that a set with too few segments probes, all stay (sure). degree: keys of the set; below:
+    whether the key is of the band below.
     """
-    below, by_node = F.pmod("role", F.lit(SHORT)) == PROBE, W.partitionBy("node")
-    counted = shared.where(F.col("role") != SIZE).withColumn("own", F.sum((~below).cast("int")).over(by_node)).withColumn("other", F.sum(below.cast("int")).over(by_node))
-    keep = F.when(below, F.col("other") >= F.col("q_below")).otherwise(F.col("own") >= F.col("q_own"))
-    sure = shared.where(F.col("role") > SHORT).select(F.col("key").alias("sure")).distinct()
-    counted = counted.join(sure, F.col("key") == F.col("sure"), "left").join(sizes.select("node", "q_own", "q_below"), "node")
-    return counted.where(keep | (F.col("role") == ELEMENT) | F.col("sure").isNotNull()).withColumn("degree", F.col("own") + F.col("other"))
+    sure = shared.where(F.col("role") > SHORT).select(F.col("key").alias("k")).distinct()
+    rows = shared.where(F.col("role") != SIZE).join(sure, F.col("key") == F.col("k"), "left")
+    below = F.min((F.pmod("role", F.lit(SHORT)) == PROBE).cast("int"))  # a band's keys are its own: no key is both
+    rows = rows.groupBy("key", "node").agg(below.alias("below"), F.max((F.col("role") == ELEMENT) | F.col("k").isNotNull()).alias("sure"))
+    return _pruned(rows.join(sizes.select("node", "q_own", "q_below"), "node"))
+
+
+def _pruned(rows: DataFrame) -> DataFrame:
+    by_node = W.partitionBy("node")
+    rows = rows.withColumn("own", F.sum(1 - F.col("below")).over(by_node)).withColumn("other", F.sum("below").over(by_node)).withColumn("degree", F.col("own") + F.col("other"))
+    return rows.where(F.col("sure") | F.when(F.col("below") == 1, F.col("other") >= F.col("q_below")).otherwise(F.col("own") >= F.col("q_own"))).drop("own", "other")
 
 
 def _with_hubs(rows: DataFrame) -> DataFrame:
@@ -476,7 +482,8 @@ def _open(rows: DataFrame, comp: DataFrame) -> DataFrame:
     """rows (key, node and others) but hubs, of keys whose nodes are in several components; with comp."""
     rows = rows.where("node <> hub").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     several = rows.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select(F.col("key").alias("k"))
-    return rows.join(several, F.col("key") == F.col("k"), "left_semi")
+    # of the keys that sets of other components have: as many as a similar one would share
+    return _pruned(rows.join(several, F.col("key") == F.col("k"), "left_semi"))
 
 
 def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, list[bytes]]:
@@ -512,7 +519,7 @@ def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, l
     sizes = kept(shared.where(F.col("role") == SIZE).groupBy("node").agg(F.max("key").alias("key")).select("node", packed(0, 32).alias("n"), packed(32, 16).alias("q_own"), packed(48, 15).alias("q_below")), spark, "join-sizes")
 
     # who shares too few keys to have a similar set goes, then buckets that are left with one member; the rest get their hub
-    counted = kept(enough(shared, sizes).select("key", "node", "degree").distinct(), spark, "join-enough")
+    counted = kept(enough(shared, sizes), spark, "join-enough")
     stars = kept(_with_hubs(counted), spark, "join-stars")
 
     wanted = kept(stars.select("node").distinct().join(of, "node"), spark, "join-wanted")
