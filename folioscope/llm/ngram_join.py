@@ -510,11 +510,12 @@ def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, l
     hot_tokens = _frequent(some.where(F.pmod("node", F.lit(4 * every)) == 0).mapInArrow(_elements, "key long, node long"))
     rows = texts.mapInArrow(_emit(hot, freq, hot[freq >= max(SEEN, SAMPLE // HOT_SHARE)]), _ROWS)
     is_hot, role = F.col("role") >= HOT, F.pmod("role", F.lit(HOT)).cast("byte")
-    bucket = W.partitionBy("key", F.when(is_hot, F.pmod("node", F.lit(SALTS))).otherwise(F.lit(0)))
+    rows = rows.withColumn("salt", F.when(is_hot, F.pmod("node", F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+    bucket = W.partitionBy("key", "salt")
     is_size, indexed = F.col("role") == SIZE, F.pmod("role", F.lit(SHORT)).isin(INDEXED, BOTH, ELEMENT).cast("int")
     keyed = rows.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).withColumn("p", F.max(_probing().cast("int")).over(bucket)).withColumn("i", F.max(indexed).over(bucket))
     keyed = keyed.where(is_size | is_hot | ((F.col("low") < F.col("high")) & (F.col("p") == 1) & (F.col("i") == 1)))
-    shared = kept(keyed.select("key", "node", role.alias("role")).distinct(), spark, "join-keys")
+    shared = kept(keyed.groupBy("key", "salt", "node", role.alias("role")).agg(F.max("low")).select("key", "node", "role"), spark, "join-keys")  # rows of a key and salt are together: no shuffle
     packed = lambda shift, bits: F.shiftright("key", shift).bitwiseAND((1 << bits) - 1)
     sizes = kept(shared.where(F.col("role") == SIZE).groupBy("node").agg(F.max("key").alias("key")).select("node", packed(0, 32).alias("n"), packed(32, 16).alias("q_own"), packed(48, 15).alias("q_below")), spark, "join-sizes")
 
