@@ -473,8 +473,17 @@ def _pruned(rows: DataFrame) -> DataFrame:
 
 
 def _with_hubs(rows: DataFrame) -> DataFrame:
-    """rows (key, node, degree and others) of keys with several nodes, with the key's hub: that of the highest degree."""
-    hubs = rows.groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"), F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    """rows (key, node, degree and others) of keys with several nodes, with the key's hub.
+
+    First that is the node of the highest degree; then, twice, the one that most keys have chosen: so few nodes are hubs of many
+    keys, and a node meets few hubs.
+    """
+    votes = None
+    for _ in range(3):
+        of = rows if votes is None else rows.join(votes, F.col("node") == F.col("voted"), "left")
+        rank = [F.coalesce("votes", F.lit(0)).alias("votes")] if votes is not None else []
+        hubs = of.groupBy("key").agg(F.max(F.struct(*rank, "degree", "node"))["node"].alias("hub"), F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+        votes = hubs.groupBy(F.col("hub").alias("voted")).agg(F.count(F.lit(1)).alias("votes"))
     return rows.join(hubs.select(F.col("key").alias("k"), "hub"), F.col("key") == F.col("k")).drop("k")
 
 
