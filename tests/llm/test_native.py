@@ -223,6 +223,34 @@ def test_contexts_find_other_forms(spark, documents):
     assert got[60].spans == ""
 
 
+def test_found_values_induce_patterns(spark, documents):
+    """"ring:" stands beside no base span; values that "call:" tells make it a pattern in a later round, which finds one more."""
+    rows = [(i, f"so please call: +1 555 010 {1000 + i} now, {i}th") for i in range(12)]
+    rows += [(20 + i, f"so please call: 555-0{i}99-88 now") for i in range(4)] + [(30 + i, f"or better ring: 555-0{i}99-88, today") for i in range(4)]
+    rows += [(40, "or better ring: (777-12-34); tomorrow"), (41, "a list of 99887766 things")]
+    d = documents(rows)
+    late = {r.doc_id: [(m.start, m.end, m.value) for m in r.more] for r in P.find(d).collect()}
+    early = {r.doc_id: r.more for r in P.find(d, rounds=1).collect()}
+    at = rows[-2][1].index("777") - 1
+    assert late[40] == [(at, at + 11, "(777-12-34)")] and late[41] == [] and early[40] == [] and all(len(late[k]) == 1 for k in (20, 23, 30, 33))
+
+
+def test_patterns_of_two_words(spark, documents):
+    """"number" stands before anything, "phone number" before phone numbers."""
+    rows = [(i, f"phone number +1 555 010 {1000 + i} and number {100000 + i} of many, number {200000 + i} too, number {300000 + i} again") for i in range(12)]
+    got = {r.doc_id: r.spans for r in P.report(documents([*rows, (50, "phone number 555-77-88-99 is it")])).collect()}
+    assert got[50] == "phone:13:25" and all(got[i].count(",") == 0 for i in range(12))
+
+
+def test_long_texts_of_any_form(spark, documents):
+    """Linear time and no deep recursion, also where an expression would like to go back."""
+    texts = ["a@" + "b." * 50_000 + "c", "x" * 1_000_000, "1 2 " * 30_000, "12 " * 30_000 + "1.2.3.4", "4111111111111111, " * 4_000, "@" * 50_000, "+1" + " " * 100_000, "1." * 30_000, "\"(" * 50_000 + "1234"]
+    got = {r.doc_id: r for r in P.report(documents(list(enumerate(texts)))).collect()}
+    for i in (0, 4):
+        assert got[i].base_sha256 == hashlib.sha256(",".join(s for _, _, s in base(texts[i])).encode()).hexdigest()
+    assert got[0].n_email == 1 and got[4].n_card == 4_000 and got[3].n_ip == 1
+
+
 def test_masked(spark, documents):
     d = P.find(documents([(1, "é mail a@b.cd or 1.2.3.4!")])).select(P.masked(F.lit("é mail a@b.cd or 1.2.3.4!"), F.col("base")).alias("m"))
     assert d.first()["m"] == "é mail <EMAIL> or <IP>!"
