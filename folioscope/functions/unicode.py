@@ -13,10 +13,10 @@ _INVISIBLE = re.compile("[​‌‍⁠﻿­]")
 
 
 def compatible(text: Column) -> Column:
-    """NFKC without invisible characters; null stays null."""
+    """NFKC without invisible characters; null stays null. ASCII texts are their own form, so a batch's others alone are looked at."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else _INVISIBLE.sub("", unicodedata.normalize("NFKC", t)))
+        return s.map(lambda t: t if t is None or t.isascii() else _INVISIBLE.sub("", unicodedata.normalize("NFKC", t)))
 
     return run(text)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from folioscope.operators.latest import running_total
+
 
 def hit_totals(hits: DataFrame, key: str, label: str, weight: str, count: str, ties: Sequence[str] = (), sep: str = "；") -> DataFrame:
     """Per key: score_total and the labels with their counts, strongest first (ties by label and the given columns)."""
@@ -64,7 +66,7 @@ def by_year(year: Column, day: Column, row_id: Column, code: Column) -> list[Col
 def ranked(df: DataFrame, order: Sequence[Column], k: int | None = None, part: Sequence[str] = ()) -> DataFrame:
     """Rows with their rank from 1. The first k only, if given: that is a top-k plan, without a part; else a window.
 
-    Without a part and k all rows get a number in one sequence, which takes a range-partitioned sort and offsets, not one task.
+    Without a part and k all rows get a number in one sequence, from a range-partitioned sort and offsets, not one task; the order should be total.
     """
     if part:
         out = df.withColumn("rank", F.row_number().over(W.partitionBy(*part).orderBy(*order)))
@@ -72,7 +74,7 @@ def ranked(df: DataFrame, order: Sequence[Column], k: int | None = None, part: S
     if k is not None:
         top = df.orderBy(*order).limit(k)
         return top.withColumn("rank", F.row_number().over(W.orderBy(*order)))
-    return df.orderBy(*order)
+    return running_total(df, order, out="rank").withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def badge(hits: Column, most: int = 4) -> Column:

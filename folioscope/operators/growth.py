@@ -233,7 +233,14 @@ def scored(df: DataFrame, text: str, rules: RuleSet, industries: str | None = No
     """df with growth_total and growth_hits of each row's text (industries: a column of array<string>)."""
     @F.pandas_udf(_OUT)
     def run(texts: pd.Series, names: pd.Series) -> pd.DataFrame:
-        out = [rules.score(t, [] if n is None else list(n)) for t, n in zip(texts, names, strict=True)]
+        seen: dict = {}  # a batch's equal sentences are scored once
+
+        def once(t: str | None, n: tuple) -> tuple:
+            if (t, n) not in seen:
+                seen[t, n] = rules.score(t, list(n))
+            return seen[t, n]
+
+        out = [once(t, () if n is None else tuple(n)) for t, n in zip(texts, names, strict=True)]
         return pd.DataFrame({"total": [t for t, _ in out], "hits": [[vars(h) for h in hs] for _, hs in out]})
 
     names = F.col(industries) if industries else F.array().cast("array<string>")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from folioscope.session import shared_dir
+
 
 def newest_first(year: Column, published: Column, created: Column, row_id: Column) -> list[Column]:
     """The order of reports of one company: year, publication, creation, id; all descending, nulls last."""
@@ -85,8 +88,28 @@ def merged_short_lines(df: DataFrame, part: Sequence[str], order: str, line: str
     return one.agg(F.min(order).alias(order), text.alias(line)).select(*part, order, line)
 
 
-def rolled_up(hits: DataFrame, keys: Sequence[str], weight: str, polarity: str, context: str, ordinal: str) -> DataFrame:
-    """Hits of equal keys as one: their number, the strongest weight (the first of equal ones), neg if any is, the first context."""
-    w, o = F.col(weight), F.col(ordinal)
-    strongest = F.max_by(w, F.struct(F.abs(w), -o))
+def running_total(df: DataFrame, order: Sequence[Column], amount: Column | None = None, out: str = "before") -> DataFrame:
+    """Adds the sum of amount (1 by default) over all rows before the row in a total order.
+
+    No task sees all rows: they are written in ranges of the order, totals of ranges (a row for each file) are summed up and added
+    to the sums within each range.
+    """
+    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/ranges-{uuid.uuid4().hex}"
+    df.withColumn("__amount", F.lit(1).cast("long") if amount is None else amount.cast("long")).repartitionByRange(*order).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("__range", F.input_file_name())
+    ranges = rows.groupBy("__range").agg(F.sum("__amount").alias("__n"))
+    up = F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")
+    starts = ranges.select(F.col("__range").alias("__file"), up.alias("__start"))
+    own = F.sum("__amount").over(W.partitionBy("__range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)) - F.col("__amount")
+    total = rows.withColumn("__own", own).join(F.broadcast(starts), F.col("__range") == F.col("__file"))  # a row for each file
+    return total.withColumn(out, F.col("__start") + F.col("__own")).select(*df.columns, out)
+
+
+def rolled_up(hits: DataFrame, keys: Sequence[str], weight: str, polarity: str, context: str, ordinal: str | Sequence[str]) -> DataFrame:
+    """Hits of equal keys as one: their number, the strongest weight (the first of equal ones), neg if any is, the first context.
+
+    ordinal: the columns that order the hits; together they must tell any two hits apart that differ in weight or context.
+    """
+    w, o = F.col(weight), F.struct(*([ordinal] if isinstance(ordinal, str) else ordinal))
+    strongest = F.min_by(w, F.struct(-F.abs(w), o))
     return hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), strongest.alias("weight"), F.when(F.bool_or(F.col(polarity) == "neg"), "neg").otherwise("pos").alias("polarity"), F.min_by(context, F.when(F.coalesce(F.col(context), F.lit("")) != "", o)).alias("context"))

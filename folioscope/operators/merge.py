@@ -76,3 +76,14 @@ def split_by_presence(source: DataFrame, target: DataFrame, on: Sequence[str]) -
     """(rows whose key the target has, rows to append)."""
     k = target.select(*on).distinct()
     return source.join(k, list(on), "left_semi"), source.join(k, list(on), "left_anti")
+
+
+def missing(wanted: DataFrame, have: DataFrame, key: str) -> DataFrame:
+    """How many different keys are not there, and whether all are: one row (missing, covered)."""
+    lost = wanted.select(key).where(F.col(key).isNotNull()).distinct().join(have.select(key), key, "left_anti")
+    return lost.agg(F.count(F.lit(1)).alias("missing")).withColumn("covered", F.col("missing") == 0)
+
+
+def shared(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """The different keys that both have."""
+    return a.select(key).distinct().join(b.select(key), key, "left_semi")

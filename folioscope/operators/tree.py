@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from folioscope.operators.latest import running_total
+
 LEVELS = 4
 
 
@@ -94,8 +96,8 @@ def with_ids(h: DataFrame, first_id: int = 1, doc: str = "doc_id", idx: str = "i
     A document's headings are numbered within it, documents get ranges by a running total over the table of documents.
     """
     sizes = h.groupBy(doc).agg(F.count(F.lit(1)).alias("__n"))
-    before = F.sum("__n").over(W.orderBy(doc).rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")
-    starts = sizes.select(F.col(doc).alias("__d"), (before + first_id).alias("__start"))
+    sizes = running_total(sizes, [F.col(doc)], F.col("__n"), "__before")
+    starts = sizes.select(F.col(doc).alias("__d"), (F.col("__before") + first_id).alias("__start"))
     place = F.row_number().over(W.partitionBy(doc).orderBy(idx)) - 1
     rows = h.withColumn("__place", place).join(starts, F.col(doc) == F.col("__d")).withColumn("id", F.col("__start") + F.col("__place"))
     ids = F.map_from_entries(F.collect_list(F.struct(F.col(idx), F.col("id"))).over(W.partitionBy(doc)))

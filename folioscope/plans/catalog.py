@@ -319,10 +319,10 @@ def completeness(spark, d):
     return _docs(spark, d).select("doc_id", X.complete_sections(t, t, none, none, none).alias("complete"))
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') ORDER BY o_orderkey LIMIT 100")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def universe_filter(spark, d):
     c = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    return _orders(spark, d).join(c, "o_custkey", "left_semi").orderBy("o_orderkey").limit(100).select("o_orderkey", "o_custkey")
+    return _orders(spark, d).join(c, "o_custkey", "left_semi").select("o_orderkey", "o_custkey")
 
 
 _TITLE = "c_name || CASE c_custkey % 5 WHEN 0 THEN '2024年年度报告' WHEN 1 THEN '2023年年度报告摘要' WHEN 2 THEN '关于2022年年度报告的说明' WHEN 3 THEN '2021 年度报告关于' ELSE '公告' END"
@@ -732,4 +732,4 @@ def section_slices(spark, d):
 
 ORACLE_SQL["section_slices"] = "SELECT doc_id, trim('一、主要业务' || chr(10) || coalesce(text, ''), ' ' || chr(10) || chr(9) || chr(13)) AS business, '二、行业情况' || chr(10) || source AS industry, '三、未来发展' || chr(10) || lang AS future FROM documents"
 
-from folioscope.plans import catalog_more  # noqa: E402, F401  adds its queries to the same tables
+from folioscope.plans import catalog_more, catalog_sets  # noqa: E402, F401  add their queries to the same tables

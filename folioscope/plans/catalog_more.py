@@ -26,13 +26,12 @@ def keyword_contains(spark, d):
     return search.keyword_pairs(_docs(spark, d), "text", [(k, w) for k, w, _ in KEYWORDS])
 
 
-@query("WITH h AS (SELECT l_orderkey, l_returnflag, CAST(l_linenumber * CASE WHEN l_linestatus = 'F' THEN -1 ELSE 1 END AS INTEGER) AS w, l_linestatus AS s, l_linenumber * 100000000 + l_suppkey * 1000 + CAST(l_quantity AS BIGINT) AS o FROM lineitem), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY abs(w) DESC, o) AS k FROM h) SELECT l_orderkey, l_returnflag, count(*) AS count, max(w) FILTER (k = 1) AS weight, CASE WHEN bool_or(s = 'F') THEN 'neg' ELSE 'pos' END AS polarity, arg_min(s, o) AS context FROM r GROUP BY 1, 2")
+@query("WITH h AS (SELECT l_orderkey, l_returnflag, CAST(l_linenumber * CASE WHEN l_linestatus = 'F' THEN -1 ELSE 1 END AS INTEGER) AS w, l_linestatus AS s, l_linenumber AS a, l_suppkey AS b, l_quantity AS c, l_extendedprice AS d FROM lineitem), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY abs(w) DESC, a, b, c, d, s) AS k, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY a, b, c, d, s) AS n FROM h) SELECT l_orderkey, l_returnflag, count(*) AS count, max(w) FILTER (k = 1) AS weight, CASE WHEN bool_or(s = 'F') THEN 'neg' ELSE 'pos' END AS polarity, max(s) FILTER (n = 1) AS context FROM r GROUP BY 1, 2")
 def hits_rolled_up(spark, d):
     li = table(spark, d, "lineitem")
     w = (F.col("l_linenumber") * F.when(F.col("l_linestatus") == "F", -1).otherwise(1)).cast("int")
-    o = F.col("l_linenumber") * F.lit(100000000).cast("long") + F.col("l_suppkey") * 1000 + F.col("l_quantity").cast("long")
-    h = li.select("l_orderkey", "l_returnflag", w.alias("w"), F.when(F.col("l_linestatus") == "F", "neg").otherwise("pos").alias("p"), "l_linestatus", o.alias("o"))
-    return latest.rolled_up(h, ["l_orderkey", "l_returnflag"], "w", "p", "l_linestatus", "o")
+    h = li.withColumn("w", w).withColumn("p", F.when(F.col("l_linestatus") == "F", "neg").otherwise("pos"))
+    return latest.rolled_up(h, ["l_orderkey", "l_returnflag"], "w", "p", "l_linestatus", ["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus"])
 
 
 @query("SELECT c_custkey, CASE WHEN contains(c_mktsegment, 'BUILD') OR contains('BUILD', c_mktsegment) THEN 0.15 WHEN contains(c_mktsegment, 'AUTO') THEN 0.5 ELSE 1.0 END::DOUBLE AS multiplier FROM customer")

@@ -30,9 +30,9 @@ def sync_tab(tab: DataFrame, rows: DataFrame) -> DataFrame:
 
 def key_rows(tab: DataFrame, order: str) -> DataFrame:
     """key -> row number in the sheet (from 2); of equal keys the later row; blank keys are skipped."""
-    from pyspark.sql import Window as W
+    from folioscope.operators.latest import running_total
 
-    n = tab.withColumn("row", F.row_number().over(W.orderBy(order)) + 1)
+    n = running_total(tab, [F.col(order)], out="row").withColumn("row", (F.col("row") + 2).cast("int"))
     return n.where(F.trim("key") != "").groupBy("key").agg(F.max("row").alias("row"))
 
 
@@ -89,3 +89,16 @@ def write_epub(path: str, title: str, chapters: Iterable[tuple[str, str]]) -> No
         items = "".join(f'<item id="{n}" href="{n}.xhtml" media-type="application/xhtml+xml"/>' for n in names)
         spine = "".join(f'<itemref idref="{n}"/>' for n in names)
         z.writestr("content.opf", f'<?xml version="1.0"?><package xmlns="http://www.idpf.org/2007/opf" version="3.0" unique-identifier="id"><metadata xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:identifier id="id">{escape(title)}</dc:identifier><dc:title>{escape(title)}</dc:title><dc:language>zh</dc:language></metadata><manifest>{items}</manifest><spine>{spine}</spine></package>')
+
+
+def targets_first(tabs: DataFrame, targets: DataFrame, key: str, order: str, index: str) -> DataFrame:
+    """Tabs that are targets first, in the targets' order, then the others in their own. Adds place (from 0).
+
+    Tabs of a workbook are few; the window is one task.
+    """
+    from pyspark.sql import Window as W
+
+    at = targets.select(F.col(key).alias("__key"), F.col(order).alias("__order"))
+    rows = tabs.join(at, F.col(key) == F.col("__key"), "left")
+    by = W.orderBy(F.col("__key").isNull(), "__order", index)
+    return rows.withColumn("place", F.row_number().over(by) - 1).select(*tabs.columns, "place")
