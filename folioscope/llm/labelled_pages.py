@@ -35,6 +35,8 @@ BODIES = (
     f"<p>{FILL}</p><table><tr><td>{SHORT}</td><td>{SHORT}</td></tr></table><h3>{SHORT}</h3><p>{FILL}</p>",
     f"{FILL}<br>{FILL}<br>{FILL}",
     f"<div>{FILL}</div><div>{FILL} {FILL}</div><div>{SHORT}</div>",
+    f"<section><h2>{SHORT}</h2><p>{FILL}</p></section><section><h2>{SHORT}</h2><p>{FILL} {FILL}</p></section>",
+    f"<p>{FILL}</p><ol><li>{FILL}</li><li>{SHORT}</li><li>{FILL}</li></ol><div><p>{FILL}</p></div>",
     f"<figure><figcaption>{SHORT}</figcaption></figure><p>{FILL}</p><dl><dt>{SHORT}</dt><dd>{FILL}</dd></dl>",
 )
 
@@ -65,6 +67,9 @@ SIDES = (
     f'<div class="toc tags meta byline author"><a href="/t">{SHORT}</a></div>',
 )
 
+#: Names of classes and ids each of which tells by itself that an element isn't main text.
+MARKED = "menu navbar navigation header banner masthead footer copyright sidebar widget ad ads advert advertisement sponsored promo cookie notice consent dialog alert notification subscribe newsletter signup comments comment reply discussion commentlist responses related recommended share social breadcrumb breadcrumbs pagination pager popup modal overlay login search".split()
+
 
 def pages() -> list[str]:
     """All labelled pages: every holder and body with sides before, after and within the holder, in turn."""
@@ -83,4 +88,9 @@ def pages() -> list[str]:
         out.append(f"<html><body>{side}{open_}<!--keep-->{body}<!--/keep-->{close}{side}</body></html>")
         open_, close = HOLDERS[i % 8]
         out.append(f"<html><body>{open_}{side}<!--keep-->{body}<!--/keep-->{side}{close}</body></html>")
+    for i, name in enumerate(MARKED):
+        body, (open_, close) = BODIES[i % len(BODIES)], HOLDERS[i % len(HOLDERS)]
+        tag, inner = ("div", "section", "ul", "p", "span")[i % 5], (f"<p>{FILL}</p>", f"{FILL}", f"<li>{SHORT}</li><li>{SHORT}</li>", f"{FILL} {SHORT}", SHORT)[i % 5]
+        side = f'<{tag} {("class", "id")[i % 2]}="{name}">{inner}</{tag}>'
+        out.append(f"<html><body>{side}{open_}<!--keep-->{body}<!--/keep-->{side}{close}{side}</body></html>")
     return out
