@@ -324,6 +324,81 @@ def test_unlabelled_branches_stay_apart(spark):
             assert r.template.startswith(f"/{branch}/") and r.verdict == ("block" if branch == "de" else "allow"), r
 
 
+def brute_tree(urls):
+    """(host, segments) -> (template, purity) of urls (host, segments, label), with plain loops."""
+    base = {}
+    for h, segs, y in urls:
+        c = base.setdefault((h, segs), [0, 0, 0])
+        c[0] += 1
+        c[1] += y is not None
+        c[2] += y or 0
+    t = {key: key[1] for key in base}
+    add = lambda a, b: [x + y for x, y in zip(a, b, strict=True)]
+    for d in range(max(len(s) for _, s in base), 0, -1):
+        at = {}
+        for key, c in base.items():
+            if len(t[key]) >= d:
+                k = (key[0], t[key][: d - 1], t[key][d - 1])
+                at[k] = add(at.get(k, [0, 0, 0]), c)
+        stays = set()
+        for (h, p, o), (n, k, bad) in at.items():
+            kin = [c for (h2, p2, _), c in at.items() if (h2, p2) == (h, p)]
+            an, ak, ab = (sum(c[i] for c in kin) for i in range(3))
+            if k and ak > k:
+                err = math.sqrt(ab / ak * (1 - ab / ak) * (1 / k + 1 / (ak - k)))
+                own = abs(bad / k - (ab - bad) / (ak - k)) > U.Z * err
+            else:
+                own = an > n and (len(kin) < U.VARIABLE or U.VARIABLE * n >= an)
+            if own and n >= U.SUPPORT and o != "*":
+                stays.add((h, p, o))
+        for key in base:
+            if len(t[key]) >= d and (key[0], t[key][: d - 1], t[key][d - 1]) not in stays:
+                t[key] = (*t[key][: d - 1], "*", *t[key][d:])
+    count, kinds = {}, {}
+    for (h, s), c in base.items():
+        for i in range(len(t[h, s]) + 1):
+            for node in {(h.rsplit(".", 1)[-1], h, *t[h, s][:i])} | ({(h.rsplit(".", 1)[-1],)} if i == 0 else set()):
+                count[node] = add(count.get(node, [0, 0, 0]), c)
+                kinds.setdefault(node, set()).update([s[:i]] * bool(c[1]))
+
+    def prior(node):
+        if not node:
+            return 0.5
+        kin = [(c, max(1, len(kinds[other])) if len(node) > 2 else 1) for other, c in count.items() if len(other) == len(node) and other[:-1] == node[:-1] and other != node and c[1]]
+        return (sum(m * c[2] / c[1] for c, m in kin) + U.BRANCHES * prior(node[:-1])) / (sum(m for _, m in kin) + U.BRANCHES)
+
+    out = {}
+    for h, s in base:
+        node = (h.rsplit(".", 1)[-1], h, *t[h, s])
+        _, k, bad = count[node]
+        out[h, s] = (t[h, s], (bad + U.PRIOR * prior(node)) / (k + U.PRIOR))
+    return out
+
+
+def test_tree_against_loops(spark):
+    rng = random.Random(4)
+    urls = []
+    for _ in range(1500):
+        h = rng.choice(["a.com", "b.com", "c.net", "d.net"])
+        segs = tuple(rng.choice(["x", "y", "*", *(f"s{i}" for i in range(30))] if rng.random() < 0.4 else ["x", "y"]) for _ in range(rng.randint(0, 4)))
+        urls.append((h, segs, rng.choice([None, None, int(segs[:1] == ("x",)) if rng.random() < 0.9 else 0])))
+    got = U.tree(spark.createDataFrame(urls, "host string, segs array<string>, label int"), spark).collect()
+    want = brute_tree(urls)
+    assert len(got) == len(want)
+    for r in got:
+        template, purity = want[r.host, tuple(r.segs)]
+        assert tuple(r.template) == template and abs(r.purity - purity) < 1e-9, r
+
+
+def test_urls_without_a_rule_are_blocked_on_evidence(spark):
+    """Beside many branches that are all blocked, an unlabelled one is rejected; so is a branch's own root; deep segments count."""
+    rules = tuple(("block", f"h.io/b{i}/") for i in range(12)) + tuple(("allow", f"g.io/b{i}/") for i in range(12)) + (("block", "d.io/1/2/3/4/5/6/7/bad/1"), ("allow", "d.io/1/2/3/4/5/6/7/good/1"))
+    urls = [f"http://{h}.io/b{i}/{j}" for h in "hg" for i in range(12) for j in range(8)] + [f"http://{h}.io/new/{j}" for h in "hg" for j in range(8)] + ["http://h.io/b1", "http://g.io/b1"]
+    urls += [f"http://d.io/1/2/3/4/5/6/7/{b}/{n}{i}/" for b in ("bad", "good") for n in "12" for i in range(30)]
+    got = U.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=rules).where("rule IS NULL").collect()
+    assert {(r.host, r.path.split("/")[1], r.path.split("/")[8] if r.host == "d.io" else "", r.verdict) for r in got} == {("h.io", "new", "", "block"), ("g.io", "new", "", "allow"), ("h.io", "b1", "", "block"), ("g.io", "b1", "", "allow"), ("d.io", "1", "bad", "block"), ("d.io", "1", "good", "allow")}
+
+
 # ---- tokens -------------------------------------------------------------------------------------------------------
 
 
