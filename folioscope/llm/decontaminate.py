@@ -4,12 +4,13 @@ Words are maximal runs of characters other than U+0000..U+002F, U+003A..U+0060 a
 after A-Z became a-z. A window is 13 consecutive words of an item; an item with fewer words, but
 not none, is one window. A document word inside any occurrence of a window is hit.
 
-Plan: every window contains a gram that starts at a multiple of 11 in its item (three words
-long; whole items of one or two words are such grams themselves). The hashes of those grams are a
+Plan: every window contains a gram of GRAM words that starts at a multiple of 7 in its item (shorter
+whole items are such grams themselves). The hashes of those grams are a
 set of proven size: counted first, put into the plan as a hash set up to MAX_SET, joined to the
 exploded grams beyond that (Spark then picks broadcast or shuffle by size). One scan of the
-documents finds the places whose gram is in the set. For each of the few hits the document is laid
-against the item at that offset and words are compared one by one, so nothing rests on hashes.
+documents finds the places whose gram is in the set. The windows around each of the few places, as strings of their words, are
+joined to the items' windows, so nothing rests on hashes and words that many items and documents share
+short of a window make no rows. Windows that many documents have meet one row for each; ids of items are joined to distinct windows.
 
 Defined results: null, empty or wordless texts have no words and no hits; wordless items have no
 windows; items of the same id count once; repeated documents get equal rows; empty tables give
@@ -23,10 +24,12 @@ from pyspark.sql import functions as F
 
 from folioscope.llm._shared import ascii_lower, kept, let, pick
 
-N, GRAM = 13, 3
+N, GRAM = 13, 7
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Hashes that may stand in the plan. Beyond that they are a table that is joined.
 MAX_SET = 20_000
+#: Windows of items that may be broadcast; more are shuffled.
+MAX_BROADCAST = 200_000
 #: One document word in so many must be hit for the document to count as contaminated.
 SHARE = 20
 
@@ -80,11 +83,29 @@ def _anchors(items: DataFrame, k: int) -> DataFrame:
     return rows.select("item", "at", _gram(F.col("words"), F.col("at"), k).alias("exact"), let(low, lambda ws: _gram(ws, F.col("at"), k)).alias("rough"))
 
 
+def _window(words: str, start: Column, n: Column) -> Column:
+    """Words have no spaces, so equal strings are equal windows."""
+    return F.array_join(F.slice(words, start + 1, n), " ")
+
+
+def _around(at: str, words: str, widths: list[int]) -> Column:
+    """array<struct<s, w>>: windows of words of these widths that have a gram at one of the places: short ones begin with it."""
+    n = F.size(words)
+
+    def near(p: Column) -> Column:
+        short = [F.when(p + w <= n, F.array(F.struct(p.alias("s"), F.lit(w).alias("w")))) for w in widths if w < N]
+        first, last = F.greatest(p - (N - GRAM), F.lit(0)), F.least(p, n - N)
+        long = [F.when(first <= last, F.transform(F.sequence(first, F.greatest(first, last)), lambda s: F.struct(s.alias("s"), F.lit(N).alias("w"))))] if N in widths else []
+        return F.concat(*[F.coalesce(x, F.array().cast("array<struct<s:int,w:int>>")) for x in (*short, *long)])
+
+    return F.array_distinct(F.flatten(F.transform(at, near)))
+
+
 def hits(docs: DataFrame, bench: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Per document: row, doc_id, n_words, hit (places of hit words, from 0, ascending), items (ids, sorted as strings)."""
     spark = spark or docs.sparkSession
     items = kept(items_of(bench), spark, "bench-items")
-    lengths = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(GRAM)).alias("k")).distinct().collect())  # at most 1, 2, 3
+    lengths = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(GRAM)).alias("k")).distinct().collect())  # 1 to GRAM
     anchors = None
     for k in lengths:
         a = _anchors(items, k).withColumn("k", F.lit(k))
@@ -121,23 +142,18 @@ def hits(docs: DataFrame, bench: DataFrame, spark: SparkSession | None = None) -
     scan = kept(scan, spark, "bench-scan")
 
     texts = scan.where(F.size("at") > 0).select("row", "at", words_of(ascii_lower(F.col("text"))).alias("ws"))
-    lines = None
-    for k in lengths:
-        g = texts.select("row", F.explode(F.transform("at", _with_gram("ws", k))).alias("x"))
-        lined = g.join(anchors.where(F.col("k") == k), F.col("x.g") == F.col("exact")).select("row", "item", (F.col("x.p") - F.col("at")).alias("off"))
-        lines = lined if lines is None else lines.union(lined)
-    lines = lines.distinct().join(items, "item").join(texts.select("row", "ws"), "row")
-
-    def covered(eq: Column) -> Column:
-        """Places of the item's words that lie in a window all of whose words are equal."""
-        n = F.size(eq)
-        w = F.least(n, F.lit(N))
-        starts = F.filter(F.sequence(F.lit(0), n - w), lambda s: F.forall(F.slice(eq, s + 1, w), lambda x: x))
-        return F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + w - 1))))
-
-    eq = F.transform("words", lambda w, i: F.coalesce((F.col("off") + i >= 0) & (F.try_element_at("ws", F.greatest(F.col("off") + i, F.lit(0)) + 1) == w), F.lit(False)))
-    seen = lines.select("row", "item_id", F.transform(let(eq, covered), lambda i: (i + F.col("off")).cast("int")).alias("hit")).where(F.size("hit") > 0)
-    per = seen.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    widths = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(N)).alias("w")).distinct().collect())  # 1 to N
+    windows = texts.select("row", "ws", F.explode(_around("at", "ws", widths)).alias("x")).select("row", "x.s", "x.w", _window("ws", F.col("x.s"), F.col("x.w")).alias("g"))
+    own = items.withColumn("w", F.least(F.size("words"), F.lit(N)))
+    own = own.select("item_id", "words", "w", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("w"))).alias("s"))
+    own = kept(own.select("item_id", _window("words", F.col("s"), F.col("w")).alias("g")).distinct(), spark, "bench-windows")
+    known = own.select("g").distinct()
+    if known.count() <= MAX_BROADCAST:
+        known = F.broadcast(known)
+    met = kept(windows.join(known, "g", "left_semi"), spark, "bench-met")
+    hit = met.groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("s"), F.col("s") + F.col("w") - 1))))).alias("hit"))
+    named = met.select("row", "g").distinct().join(own, "g").select("row", F.col("item_id").cast("string").alias("item")).distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    per = hit.join(named, "row")
     return scan.select("row", "doc_id", F.col("n").cast("long").alias("n_words")).join(per, "row", "left").select("row", "doc_id", "n_words", F.coalesce("hit", F.array().cast("array<int>")).alias("hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
@@ -157,19 +173,15 @@ def clean(docs: DataFrame, bench: DataFrame, spark: SparkSession | None = None,
     cols = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(cols))])
     text, doc_id = F.col(f"c{cols.index('text')}"), F.col(f"c{cols.index('doc_id')}")
-    bad = hits(rows.select(doc_id.alias("doc_id"), text.alias("text")), bench, spark)
+    # by text, not by id alone: rows of the same id may have different texts
+    h = hits(rows.select(F.struct(doc_id.alias("k"), F.xxhash64(text).alias("x")).alias("doc_id"), text.alias("text")), bench, spark)
     n = F.size("hit")
-    bad = bad.where((n > 0) & (share * n >= F.col("n_words"))).select(F.col("doc_id").alias("bad_id"), "hit", "n_words")
+    bad = kept(h.where((n > 0) & (share * n >= F.col("n_words"))).select("doc_id.*", "hit").dropDuplicates(["k", "x"]), spark, "bench-bad")
+    same = doc_id.eqNullSafe(F.col("k")) & (F.xxhash64(text) == F.col("x"))
     if not spans:
-        # by text, not by id alone: rows of the same id may have different texts
-        bad_rows = rows.select(doc_id.alias("k"), F.xxhash64(text).alias("x"), text.alias("text")).join(bad.select("bad_id").distinct(), F.col("k").eqNullSafe(F.col("bad_id")), "left_semi")
-        again = hits(bad_rows.select(F.struct("k", "x").alias("doc_id"), "text").distinct(), bench, spark)
-        again = again.where((F.size("hit") > 0) & (share * F.size("hit") >= F.col("n_words"))).select("doc_id.*")
-        out = rows.join(again, doc_id.eqNullSafe(F.col("k")) & (F.xxhash64(text) == F.col("x")), "left_anti")
-        return out.toDF(*cols)
-    keyed = hits(rows.select(F.struct(doc_id.alias("k"), F.xxhash64(text).alias("x")).alias("doc_id"), text.alias("text")).distinct(), bench, spark)
-    keyed = keyed.where((n > 0) & (share * n >= F.col("n_words"))).select("doc_id.*", "hit")
-    got = rows.join(keyed, doc_id.eqNullSafe(F.col("k")) & (F.xxhash64(text) == F.col("x")), "left")
+        names = bad.select("k", "x")
+        return rows.join(F.broadcast(names) if names.count() <= MAX_BROADCAST else names, same, "left_anti").toDF(*cols)
+    got = rows.join(bad, same, "left")
     left = F.array_join(F.filter(words_of(ascii_lower(text)), lambda w, i: ~F.array_contains("hit", i)), " ")
     fixed = F.when(F.col("hit").isNull(), text).otherwise(left)
     return got.select(*[fixed.alias(f"c{i}") if c == "text" else F.col(f"c{i}") for i, c in enumerate(cols)]).toDF(*cols)

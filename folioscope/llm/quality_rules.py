@@ -28,7 +28,7 @@ from folioscope.llm._shared import let, pick
 #: Labelled rows to fit on at most, the lowest by hash. Scores cover all documents.
 SAMPLE = 20_000
 THRESHOLD, FOLDS = 0.3, 5
-TREES, DEPTH, BINS, MAX_RULES = 40, 3, 32, 240
+TREES, DEPTH, BINS = 18, 3, 32
 
 
 def statistics(text: Column) -> dict[str, Column]:
@@ -179,8 +179,6 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 7) -> Model:
             seen.add(key)
             cols.append(h)
             rules.append(p)
-        if len(rules) >= MAX_RULES:
-            break
     if not rules:
         return fit(x[:0], y[:0], names)
     r = np.stack(cols, 1).astype(np.float64)

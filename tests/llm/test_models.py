@@ -243,7 +243,7 @@ def test_quality_held_out(spark, documents):
     assert sum(r.predicted == int(r.doc_id % 3 > 0) for r in held) >= 0.97 * len(held)
     kept = Q.accepted(d, labels)
     assert kept.columns == d.columns and kept.count() == sum(r.predicted for r in out.values())
-    assert len(model.rules) < Q.MAX_RULES and 0 < len(model.rules)
+    assert 0 < len(model.rules) < Q.TREES * (2 ** (Q.DEPTH + 1) - 2)
 
 
 def test_quality_compiled_like_numpy(spark, documents):
@@ -263,6 +263,30 @@ def test_quality_without_labels(spark, documents):
     assert Q.score(d.limit(0), Q.train(d, none)).count() == 0
 
 
+def test_splits_are_the_best_ones():
+    """A tree's first split is the one that trying all cuts of all statistics finds."""
+    rng = np.random.default_rng(5)
+    for _ in range(10):
+        x, y = rng.integers(0, 9, (60, 3)).astype(float), rng.normal(size=60)
+        y += (x[:, 1] > 4) * rng.choice([0, 2])
+        names, cuts, found = ["a", "b", "c"], [np.unique(x[:, j]) for j in range(3)], []
+        Q._grow(x, y, names, cuts, 1, (), 5, found, np.zeros(60), np.arange(60))
+        loss = {(names[j], c): sum(((s - s.mean()) ** 2).sum() for s in (y[x[:, j] <= c], y[x[:, j] > c])) for j in range(3) for c in cuts[j] if 5 <= (x[:, j] <= c).sum() <= 55}
+        name, _, cut = found[0][-1]
+        assert abs(loss[name, cut] - min(loss.values())) < 1e-9
+
+
+def test_lasso_is_optimal():
+    """Where a weight is 0 the slope is within the penalty; elsewhere it is the penalty."""
+    rng = np.random.default_rng(6)
+    r = (rng.random((400, 12)) < 0.4).astype(float)
+    y = (rng.random(400) < 1 / (1 + np.exp(1 - 2 * r[:, 2] + 1.5 * r[:, 5]))).astype(float)
+    b, w = Q.lasso_logistic(r, y, 0.02, 4000)
+    e = 1 / (1 + np.exp(-(r @ w + b))) - y
+    slope = r.T @ e / len(y)
+    assert abs(e.mean()) < 1e-4 and np.all(np.abs(slope) <= 0.02 + 1e-4) and np.allclose(slope[w != 0], -0.02 * np.sign(w[w != 0]), atol=1e-4)
+
+
 def test_lasso_is_sparse():
     rng = np.random.default_rng(0)
     r = (rng.random((500, 30)) < 0.5).astype(float)

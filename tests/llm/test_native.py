@@ -171,6 +171,22 @@ def test_clean_and_empty(spark, documents):
     assert DC.report(d, b.limit(0)).where("contaminated").count() == 0 and DC.report(d.limit(0), b).count() == 0
 
 
+def test_common_openings_make_few_rows(spark, documents, monkeypatch):
+    """Items and documents that begin alike, but have no window in common, are never paired."""
+    made, keep = {}, DC.kept
+
+    def kept(df, s, tag):
+        made[tag] = out = keep(df, s, tag)
+        return out
+
+    monkeypatch.setattr(DC, "kept", kept)
+    opening = "which of the following statements is true about"
+    b = spark.createDataFrame([(i, f"{opening} " + " ".join(f"i{i}x{j}" for j in range(20))) for i in range(200)], "item_id long, text string")
+    d = documents([(i, f"{opening} " + " ".join(f"d{i}x{j}" for j in range(30))) for i in range(200)] + [(900, f"x {opening} " + " ".join(f"i7x{j}" for j in range(20)))])
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in DC.report(d, b).collect()}
+    assert got.pop(900) == (28, 1) and set(got.values()) == {(0, 0)} and made["bench-met"].count() == 16
+
+
 # ---- personal data ------------------------------------------------------------------------------------------------
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
