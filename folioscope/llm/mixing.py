@@ -8,16 +8,18 @@
 3. Blocks: a source's documents fall by hash into blocks. Blocks are drawn in permuted order
    without replacement: whole epochs first, then a last epoch up to the block in which the
    target is reached. In that block documents are drawn, again in permuted order, while that
-   brings the total nearer to the target. Prefix sums run over blocks of a source and over
-   documents of that one block, never over all documents of a source.
+   brings the total nearer to the target. Prefix sums run over blocks of a source, over SUBS parts of
+   that one block and over documents of a part, never over all documents of a source or a block.
 4. Splitting tree: the quotas (numbers of block draws of each source) are split between two halves
    of the output shards by a multivariate hypergeometric draw, each half again, and so on down to
    single shards. So every shard holds an exact random part of every source's draws, and the
    draws of shards are disjoint.
 5. Within its shard a document stands at a place given by a hash: a local shuffle.
 
-Everything is seeded and depends on the rows alone, so reruns agree. Only the quotas of sources (at
-most MAX_STRATA rows; beyond that sources share quotas by hash) come to the driver.
+Everything is seeded and depends on the rows alone, so reruns agree. Only the quotas of sources come to the driver, one each
+up to MAX_STRATA sources. Beyond that neighbouring sources share a row there, and the permuted order of their draws, of which shards
+take runs, splits it between them: a hypergeometric draw again, so each source's own quota stays exact. Sources are a narrow
+table of one row each; ranks and levels of it take one task.
 
 Defined results: null or blank text has size 0 and takes 0; null sources form one source; repeated rows
 count each; an empty table gives an empty result.
@@ -37,6 +39,8 @@ from folioscope.llm._shared import kept, pick, word_count
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
 SHARDS, SEED = 16, 20240
 DOCS_PER_BLOCK, MAX_BLOCKS, MAX_STRATA = 32, 4096, 4096
+#: Parts of the block in which a target is reached, by the leading bits of the hash that orders it.
+SUBS = 4096
 #: Rows of narrow tables (sources, blocks, documents at a cut) that may be broadcast.
 MAX_BROADCAST = 200_000
 
@@ -119,6 +123,9 @@ def _plan(base: DataFrame, spark: SparkSession, weights: tuple[int, ...], share:
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
     goals = goals.withColumn("blocks", F.greatest(F.lit(1), F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("n_docs") / DOCS_PER_BLOCK)))).withColumn("epochs", whole)
     goals = goals.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "g_source")
+    rank, all_ = F.row_number().over(W.orderBy(F.col("g_source").asc_nulls_last())) - 1, F.count(F.lit(1)).over(W.partitionBy())
+    goals = goals.withColumn("rank", rank).withColumn("n_sources", all_)
+    goals = goals.withColumn("stratum", F.when(F.col("n_sources") <= MAX_STRATA, F.col("rank")).otherwise(F.floor(F.col("rank") * MAX_STRATA / F.col("n_sources"))).cast("int")).drop("rank", "n_sources")
     goals = kept(goals, spark, "mix-targets")
     words = _blocked(base, goals).groupBy("source", "block").agg(F.sum("size").alias("words"))
     words = words.join(goals, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
@@ -127,7 +134,7 @@ def _plan(base: DataFrame, spark: SparkSession, weights: tuple[int, ...], share:
     last = F.when(F.col("missing") >= F.col("words"), F.lit("all")).when(F.col("missing") > 0, F.lit("some")).otherwise(F.lit("none"))
     words = words.withColumn("last", F.when(F.col("words") == 0, F.lit("none")).otherwise(last))
     draws = F.col("epochs") + (F.col("last") != "none").cast("int")
-    words = words.withColumn("draws", draws).withColumn("stratum", F.pmod(F.xxhash64("source"), F.lit(MAX_STRATA)).cast("int"))
+    words = words.withColumn("draws", draws)
     words = kept(words, spark, "mix-blocks")
     tree = kept(_assign(words, spark, shards, seed).withColumnsRenamed({"source": "t_source", "block": "t_block"}), spark, "mix-draws")
     return goals.select("g_source", "blocks"), tree
@@ -147,10 +154,18 @@ def _in_block():
     return F.col("source").eqNullSafe(F.col("t_source")) & (F.col("block") == F.col("t_block"))
 
 
-def _nearer():
-    """Whether a document of the block in which the target is reached brings the total nearer to it."""
-    within = W.partitionBy("t_source", "t_block").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    return F.sum("size").over(within) - F.col("size") / 2 <= F.col("missing")
+def _nearer(cut: DataFrame) -> DataFrame:
+    """The documents of blocks in which targets are reached, with yes: whether the document brings the total nearer to it."""
+    part = F.shiftright("h", 64 - SUBS.bit_length() + 1)
+    cut = cut.withColumn("sub", part)
+    block = ["t_source", "t_block"]
+    parts = cut.groupBy(*block, "sub").agg(F.sum("size").alias("n"))
+    upto = F.sum("n").over(W.partitionBy(*block).orderBy("sub").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")
+    parts = parts.select(F.col("t_source").alias("p_source"), F.col("t_block").alias("p_block"), F.col("sub").alias("p_sub"), upto.alias("until"))
+    cut = cut.join(parts, F.col("t_source").eqNullSafe(F.col("p_source")) & (F.col("t_block") == F.col("p_block")) & (F.col("sub") == F.col("p_sub")))
+    within = W.partitionBy(*block, "sub").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    yes = F.col("until") + F.sum("size").over(within) - F.col("size") / 2 <= F.col("missing")
+    return cut.withColumn("yes", yes).drop("p_source", "p_block", "p_sub", "until", "sub")
 
 
 def mix(docs: DataFrame, spark: SparkSession | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -164,7 +179,9 @@ def mix(docs: DataFrame, spark: SparkSession | None = None, weights: tuple[int,
     base = kept(own.select("doc_id", "source", word_count(F.col("text")).alias("size"), _hash(F.col("doc_id"), F.col("text"), seed).alias("h")), spark, "mix-sizes")
     goals, tree = _plan(base, spark, weights, share, cap, shards, seed)
     rows = _blocked(base, goals).join(tree, _in_block())
-    extra = F.when(F.col("last") == "all", 1).when((F.col("last") == "some") & _nearer(), 1).otherwise(0)
+    cut = _nearer(rows.where("last = 'some'"))
+    rows = rows.where("last <> 'some'").withColumn("yes", F.col("last") == "all").unionByName(cut)
+    extra = F.col("yes").cast("int")
     copies = F.when(F.col("size") > 0, F.col("epochs") + extra).otherwise(0).cast("int")
     out = rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), "shards", F.xxhash64(F.lit(seed + 1), "h").alias("place"))
     return out.withColumn("taken", F.col("copies") * F.col("size")).withColumn("shards", F.slice("shards", F.lit(1), F.col("copies")))
@@ -204,7 +221,7 @@ def mixed_documents(docs: DataFrame, spark: SparkSession | None = None, weights:
     rows = docs.toDF(*inner).withColumn("source", source).withColumn("h", _hash(doc_id, text, seed))
     base = kept(rows.select(doc_id.alias("doc_id"), "source", word_count(text).alias("size"), "h"), spark, "mix-sizes")
     goals, tree = _plan(base, spark, weights, share, cap, shards, seed)
-    cut = _blocked(base, goals).join(tree.where("last = 'some'"), _in_block()).withColumn("yes", _nearer() & (F.col("size") > 0)).where("yes")
+    cut = _nearer(_blocked(base, goals).join(_small(tree.where("last = 'some'")), _in_block())).where(F.col("yes") & (F.col("size") > 0))
     chosen = kept(cut.select(F.col("source").alias("y_source"), F.col("h").alias("y_h"), F.col("doc_id").alias("y_id")).distinct(), spark, "mix-chosen")
     out = _blocked(rows, goals).join(_small(tree), _in_block())
     out = out.join(_small(chosen), (F.col("h") == F.col("y_h")) & doc_id.eqNullSafe(F.col("y_id")) & F.col("source").eqNullSafe(F.col("y_source")), "left")
@@ -222,3 +239,21 @@ def write_mix(docs: DataFrame, path: str, files: int = 1, **options) -> None:
     part = F.pmod("out_place", F.lit(files))
     mixed.repartition(F.col("out_shard"), part).sortWithinPartitions("out_shard", "out_place").drop("out_place").write.mode("overwrite").partitionBy("out_shard").parquet(path)
 
+
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source_size, target: a row for each document."""
+    rows = pick(docs, "doc_id", "source", "text").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    goals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")))
+    goals = goals.select(F.col("source").alias("g_source"), "source_size", "target")
+    return rows.join(goals, F.col("source").eqNullSafe(F.col("g_source"))).select("doc_id", "size", "source_size", "target")
+
+
+_TIGHT = "OVER (ORDER BY lim / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+SIZED_SQL = rf"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+r AS (SELECT *, {list(WEIGHTS)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS weight, source_size * {CAP} AS lim FROM s),
+l AS (SELECT *, row_number() OVER (ORDER BY lim / weight, source NULLS LAST) AS o, (sum(source_size) OVER () * {SHARE}::DOUBLE - coalesce(sum(lim) {_TIGHT}, 0)) / (sum(weight) OVER () - coalesce(sum(weight) {_TIGHT}, 0)) AS level FROM r),
+f AS (SELECT *, level * weight >= lim AS is_full FROM l),
+t AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(lim AS DOUBLE) ELSE weight * (SELECT arg_min(level, o) FROM f WHERE NOT is_full) END AS target FROM f)
+SELECT doc_id, size, source_size, target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source"""

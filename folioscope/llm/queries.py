@@ -52,6 +52,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spark)
 
 
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sized(table(spark, sf_dir, "documents"))
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.ruled(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
@@ -63,10 +71,14 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_token_bitplanes": op9_token_bitplanes,
     "op10_decontamination": op10_decontamination,
+    "mix_targets": mix_targets,
+    "url_rules": url_rules,
 }
 ORACLE_SQL = {
     "op2_sharding": sharding.sql(),
     "op4_exact_topk": topk.SQL,
     "op6_ngram_jaccard_join": ngram_join.SQL,
     "op10_decontamination": decontaminate.SQL,
+    "mix_targets": mixing.SIZED_SQL,
+    "url_rules": url_filter.RULES_SQL,
 }
