@@ -426,6 +426,16 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
             return label
 
 
+def _joined(comp: DataFrame, links: DataFrame, spark: SparkSession) -> DataFrame:
+    """comp (node, comp) after more links: only the components that these touch are looked at."""
+    label = lambda side: F.coalesce(f"{side}_comp", side)
+    of = lambda side: comp.select(F.col("node").alias(side), F.col("comp").alias(f"{side}_comp"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(label("a").alias("a"), label("b").alias("b")).where("a <> b").distinct()
+    root = components(kept(between, spark, "join-between"), spark)
+    moved = comp.join(root.select(F.col("node").alias("comp"), F.col("comp").alias("root")), "comp", "left").select("node", F.coalesce("root", "comp").alias("comp"))
+    return kept(moved.union(root.join(comp.select("node"), "node", "left_anti").select("node", "comp")), spark, "join-comps")
+
+
 def node_of(text: Column, clashes: list[bytes] | None = None) -> Column:
     """64 bits of a text's digest, which stand for the text and all its copies. clashes: digests that need another name."""
     digest = F.md5(text.cast("binary"))
@@ -540,7 +550,7 @@ def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, l
     sets = kept(sets.select("node", "text").mapInArrow(_set_rows, "node long, n long, elements binary, sketch binary").dropDuplicates(["node"]), spark, "join-sets")
 
     # each bucket's members are compared with its hub, then what is left of the bucket with a hub among that, and so on
-    left, links, comp = stars, None, None
+    left, comp = stars, None
     for turn in range(1 + PEELS):
         pairs = left.where("node <> hub")
         if comp is not None:
@@ -549,8 +559,7 @@ def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, l
         new = kept(verified(pairs, sets).where(LINKED).select("a", "b"), spark, "join-links")
         if turn and new.isEmpty():
             break
-        links = new if links is None else kept(links.union(new), spark, "join-links")
-        comp = components(links, spark)
+        comp = components(new, spark) if comp is None else _joined(comp, new, spark)
         rest = _open(left.drop("comp"), comp)
         left = kept(_with_hubs(rest.drop("hub")) if turn < PEELS else rest, spark, "join-left")
 
@@ -571,7 +580,7 @@ def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, l
     rest = x.join(y, alike).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = kept(verified(possible(rest, sets), sets).where(LINKED).select("a", "b"), spark, "join-more")
     if not more.isEmpty():
-        comp = components(links.union(more), spark)
+        comp = _joined(comp, more, spark)
 
     groups = of.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     # a component is named by its smallest id, and stands for itself by the set of that id
