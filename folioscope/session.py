@@ -9,6 +9,10 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+#: Temporary folders by application.
+_OWN: dict[str, str] = {}
+
+
 def local_session(app: str = "folioscope", cores: str = "*", partitions: int = 8, memory: str = "4g") -> SparkSession:
     """A local session for tests and benchmarks; on a cluster, bring your own."""
     spark = (
@@ -45,11 +49,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     It is the session's ``spark.checkpoint.dir``. Where that is unset (tests, one machine) a
-    temporary folder is made once and set for the session.
+    temporary folder is made once for the session; on a cluster that is an error.
     """
     importable(spark)
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix=f"folioscope-{os.getpid()}-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix=f"folioscope-{os.getpid()}-")
+        at = _OWN[app]
     return at.rstrip("/")
