@@ -52,23 +52,53 @@ def test_top_k_of_few(spark):
     assert [r.score for r in K.top_k(big).collect()] == [int(3e7 * 64) * int(2e7 * 64) - 64 * 64]
 
 
+def below(node):
+    return node.rows if not node.children else np.concatenate([below(c) for c in node.children])
+
+
+@pytest.mark.parametrize("shape", ["plain", "repeated", "one"])
+def test_cover_tree(shape):
+    rng = np.random.default_rng(0)
+    x = {"plain": rng.integers(-90, 90, (700, 5)), "repeated": rng.integers(-1, 2, (700, 2)), "one": np.ones((30, 3))}[shape].astype(float)
+    tree = K.cover_tree(x, 90)
+    tree = K.unpacked(x, K.packed(tree, len(x)))
+    levels = {}
+
+    def check(node):
+        assert sorted(below(node)) == sorted(set(below(node)))
+        assert math.isclose(node.radius, np.sqrt(((x[below(node)] - node.centre) ** 2).sum(1)).max(), abs_tol=1e-9)
+        levels.setdefault(node.level, set()).add(node.point)
+        for c in node.children:
+            assert c.level < node.level and np.linalg.norm(x[c.point] - node.centre) <= 2.0**node.level  # covering
+            check(c)
+        assert not node.children or node.point in [c.point for c in node.children]  # nesting
+
+    check(tree)
+    assert sorted(below(tree)) == list(range(len(x)))
+    for level in levels:  # separation, of those too that stand at a level by nesting
+        points = sorted({p for at, ps in levels.items() if at >= level for p in ps})
+        d = np.sqrt(((x[points][:, None] - x[points][None]) ** 2).sum(2)) + np.eye(len(points)) * 1e9
+        assert d.min() > 2.0**level
+    assert len({p for ps in levels.values() for p in ps}) == min(90, len(np.unique(x, axis=0)))
+
+
 def test_tree_bounds_hold():
     rng = np.random.default_rng(0)
     x = rng.integers(-90, 90, (700, 5)).astype(float)
-    a, b = K.Node(x, np.arange(300)), K.Node(x, np.arange(300, 700))
+    assert (x[:300] @ x[300:].T).max() <= K.reach(K.cover_tree(x[:300], 20), K.cover_tree(x[300:], 20))
 
-    def rows(n):
-        return n.rows
 
-    def check(n):
-        assert all(np.sqrt(((x[r] - n.centre) ** 2).sum()) <= n.radius + 1e-9 for r in rows(n))
-        if n.children:
-            assert sorted(np.concatenate([c.rows for c in n.children])) == sorted(n.rows)
-        for c in n.children:
-            check(c)
-
-    check(a)
-    assert (x[:300] @ x[300:].T).max() <= K.reach(a, b)
+def test_search_rules_out_most_of_clustered_rows():
+    rng = np.random.default_rng(1)
+    centre = rng.normal(size=(40, 16)) * 200
+    x = np.floor(centre[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)) * 4)
+    q, met = x[::20], []
+    got = K.search(q, np.arange(0, 4000, 20), K.cover_tree(q, 50), x, np.arange(4000), K.cover_tree(x, 80), 20, np.full(len(q), -np.inf), met)
+    assert sum(met) < 0.5 * len(q) * len(x)
+    scores = q @ x.T
+    scores[np.arange(len(q)), np.arange(0, 4000, 20)] = -np.inf
+    best = -np.sort(-scores, axis=1)[:, :20]
+    assert all((np.sort(got[2][got[0] == i])[::-1] == best[i]).all() for i in range(len(q)))
 
 
 # ---- n-gram join --------------------------------------------------------------------------------------------------
