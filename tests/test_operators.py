@@ -191,6 +191,28 @@ def test_sections(spark):
     assert sections.discussion(["x"])["full_mda"].startswith("[PARSE_FAILED]")
 
 
+def test_chapter_heading():
+    find = sections.chapter_heading
+    assert find("尾页\n第三节 管理层讨论与分析\n一、") == 3 and find("经营情况讨论和分析") == 0 and find("第三章管理层讨论与分析") == 0
+    assert find("第 三 节  管理层讨论与分析") == 0 and find("前 第三节 管理层讨论与分析 公司概况") == 2
+    for page in ("", "重要提示\n管理层讨论与分析", "请详见\n第三节 管理层讨论与分析", "见“第三节 管理层讨论与分析”", "《管理层讨论与分析》", "参阅第三节管理层讨论和分析", "管理层讨论与分析如下", "字" * 61 + "第三节管理层讨论与分析"):
+        assert find(page) is None
+
+
+def test_outlook():
+    body = "一、主要业务\n甲\n十一、公司未来发展的展望\n" + "二、战略\n" + "字" * 300
+    assert sections.outlook(body + "\n（四）可能面对的风险\n险") == body[body.index("十一、") :]
+    assert sections.outlook(body + "\n十二、报告期内接待调研\n访") == body[body.index("十一、") :]
+    assert sections.outlook("一、未来规划\n短") is None and sections.outlook("一、未来规划\n短", 1) == "一、未来规划\n短" and sections.outlook("") is None
+
+
+def test_discussion_without_heading():
+    pages = ["x"] * 6 + ["请详见第三节“管理层讨论与分析”", "尾\n一、报告期内公司从事的主要业务\n甲", "第四节 公司治理\n尾"]
+    assert sections.discussion(pages)["full_mda"] == "报告期内公司从事的主要业务\n甲"
+    pages = ["x"] * 6 + ["第三节 管理层讨论与分析\n甲", "第三节 管理层讨论与分析\n乙", "第四节 公司治理"]
+    assert sections.discussion(pages)["full_mda"] == "第三节 管理层讨论与分析\n甲\n第三节 管理层讨论与分析\n乙"
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "m.csv").write_text("﻿code,industry\n1,A\n2,\n1,B\n", encoding="utf-8")
     assert rows(readers.csv_map(spark, str(tmp_path / "m.csv"))) == [("000001", "B", None)]
