@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -19,12 +20,43 @@ CRAWL, GENERATED, SENT = "last_crawl_end_iso", "last_generated_iso", "last_sent_
 class State:
     """A small JSON file with times by key. Writing keeps all other keys and replaces the file in one step."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, spark: SparkSession | None = None):
+        """spark: the file is in any store that Spark reaches; without, on this machine's disk."""
+        self.path, self.spark = path, spark
+
+    def _load(self):
+        if self.spark is None:
+            return json_or(self.path, {})
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        at = hadoop.Path(self.path)
+        if not at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at):
+            return {}
+        try:
+            return json.loads(self.spark.read.text(self.path, wholetext=True).first()[0])
+        except (TypeError, ValueError):
+            return {}
+
+    def _save(self, text: str) -> None:
+        tmp = f"{self.path}.{uuid.uuid4().hex}"
+        if self.spark is None:
+            with open(tmp, "w", encoding="utf-8") as f:
+                f.write(text)
+            os.replace(tmp, self.path)
+            return
+        hadoop, conf = self.spark._jvm.org.apache.hadoop.fs, self.spark._jsc.hadoopConfiguration()
+        new, at = hadoop.Path(tmp), hadoop.Path(self.path)
+        fs = at.getFileSystem(conf)
+        out = fs.create(new, True)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        kind = getattr(hadoop, "Options$Rename")
+        over = self.spark.sparkContext._gateway.new_array(kind, 1)
+        over[0] = kind.valueOf("OVERWRITE")
+        hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(new), fs.makeQualified(at), over)
 
     def get(self, *names: str) -> datetime | None:
         """The first of the keys that holds a time."""
-        d = json_or(self.path, {})
+        d = self._load()
         for n in names:
             try:
                 v = d.get(n)
@@ -37,12 +69,9 @@ class State:
         return None
 
     def put(self, name: str, t: datetime) -> None:
-        d = json_or(self.path, {})
+        d = self._load()
         d = (d if isinstance(d, dict) else {}) | {name: t.replace(microsecond=0).isoformat()}
-        tmp = f"{self.path}.{os.getpid()}"
-        with open(tmp, "w", encoding="utf-8") as f:
-            json.dump(d, f, ensure_ascii=False)
-        os.replace(tmp, self.path)
+        self._save(json.dumps(d, ensure_ascii=False))
 
 
 def crawl_window(state: State, now: datetime, days: int) -> tuple[datetime, datetime]:

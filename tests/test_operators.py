@@ -191,6 +191,24 @@ def test_sections(spark):
     assert sections.discussion(["x"])["full_mda"].startswith("[PARSE_FAILED]")
 
 
+def test_state_through_spark(spark, tmp_path):
+    at = f"file://{tmp_path}/state.json"
+    state = incremental.State(at, spark)
+    assert state.get(incremental.SENT) is None
+    state.put(incremental.SENT, datetime(2024, 5, 10, 12))
+    state.put(incremental.CRAWL, datetime(2024, 5, 11))
+    assert incremental.State(at, spark).get(incremental.SENT) == datetime(2024, 5, 10, 12) == incremental.State(f"{tmp_path}/state.json").get(incremental.SENT)
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")) == ["state.json"]
+    (tmp_path / "broken.json").write_text("{")
+    assert incremental.State(f"file://{tmp_path}/broken.json", spark).get(incremental.SENT) is None
+
+
+def test_windowed_counts(spark):
+    rows = spark.createDataFrame([(datetime(2024, 1, 1, 3), "a"), (datetime(2024, 1, 1, 9), "a"), (datetime(2024, 1, 2, 1), "a"), (datetime(2024, 1, 1, 1), None), (None, "a")], "ts timestamp, kind string")
+    out = incremental.windowed_counts(rows, "ts", [F.col("kind")]).groupBy("kind").agg(F.sort_array(F.collect_list("n")).alias("n"))
+    assert {r.kind: r.n for r in out.collect()} == {"a": [1, 2], None: [1]}
+
+
 def test_chapter_heading():
     find = sections.chapter_heading
     assert find("尾页\n第三节 管理层讨论与分析\n一、") == 3 and find("经营情况讨论和分析") == 0 and find("第三章管理层讨论与分析") == 0
