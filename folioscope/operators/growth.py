@@ -17,13 +17,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.text import TABLE_WORDS as _TABLE_WORDS
+
 # They decide where clauses end and what forces points to be positive.
 CLAUSE_ENDS = "。；;"
 BOXES = "□☑☒■√✔"
 BOX_WORDS = ("适用", "不适用")
 YOY = ("同比增长", "同期增长", "同比增幅")
 PERCENT = re.compile(r"(\d+(?:\.\d+)?)\s*%")
-TABLE_WORDS = re.compile("单位[:：]|同比增减|金额|占比|毛利率|营业收入|营业成本|现金流|项目|合计|本期数|上期数")
+TABLE_WORDS = re.compile(_TABLE_WORDS)
 NARRATIVE = re.compile("[。；！？;!?]")
 SPACE = re.compile(r"\s+")
 
