@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, pii, quality_rules, sharding, token_store, topk, url_filter
+from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, pii, quality_rules, sharding, token_store, topk, url_filter, window_dedup
 from folioscope.session import table
 
 
@@ -52,6 +53,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spark)
 
 
+def op12_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = window_dedup.without_repeats(table(spark, sf_dir, "documents"), spark)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sized(table(spark, sf_dir, "documents"))
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_token_bitplanes": op9_token_bitplanes,
     "op10_decontamination": op10_decontamination,
+    "op12_window_dedup": op12_window_dedup,
     "mix_targets": mix_targets,
     "url_rules": url_rules,
 }
@@ -79,6 +86,7 @@ ORACLE_SQL = {
     "op4_exact_topk": topk.SQL,
     "op6_ngram_jaccard_join": ngram_join.SQL,
     "op10_decontamination": decontaminate.SQL,
+    "op12_window_dedup": window_dedup.SQL,
     "mix_targets": mixing.SIZED_SQL,
     "url_rules": url_filter.RULES_SQL,
 }
