@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, pii, quality_rules, sharding, token_store, topk, url_filter, window_dedup
+from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, pii, quality_rules, sharding, spelling, token_store, topk, url_filter, window_dedup
 from folioscope.session import table
 
 
@@ -58,6 +58,10 @@ def op12_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), spark)
+
+
 def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sized(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op9_token_bitplanes": op9_token_bitplanes,
     "op10_decontamination": op10_decontamination,
     "op12_window_dedup": op12_window_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
     "mix_targets": mix_targets,
     "url_rules": url_rules,
 }
@@ -87,6 +92,7 @@ ORACLE_SQL = {
     "op6_ngram_jaccard_join": ngram_join.SQL,
     "op10_decontamination": decontaminate.SQL,
     "op12_window_dedup": window_dedup.SQL,
+    "op13_spelling_variants": spelling.SQL,
     "mix_targets": mixing.SIZED_SQL,
     "url_rules": url_filter.RULES_SQL,
 }
