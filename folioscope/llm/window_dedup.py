@@ -6,7 +6,8 @@ word that a repeated window covers is removed. Windows are judged on the input,
 
 Plan: super-k-mers. The least hash of SEED consecutive words in a window is its minimiser. Consecutive windows that share one travel as
 one packed string of all their words to the bucket of that minimiser, about nine windows in a string of 28 words, so equal windows
-always meet. Within a bucket windows are sorted and compared as they are, so hashes decide on places only, never on equality.
+always meet. The CODES most frequent words are packed in two bytes each, others stand as they are after them: equal windows are
+equal packed, and only they. Within a bucket windows are sorted and compared as they are, so hashes decide on places only, never on equality.
 A string that a task has already sent from an earlier place is not sent again: it is a mark of repeated windows at once, so a text that a
 third of all documents share comes to its bucket once for each task. Word sequences that are frequent in the whole corpus are
 counted first and are minimisers only in windows that have nothing else, so a line that all documents share does not gather all
@@ -20,22 +21,28 @@ document for the order of places, each keeps its own result, and equal rows get
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm._shared import pick
+from folioscope.llm._shared import kept, pick
 
-WINDOW, SEED = 20, 4
+WINDOW, SEED = 20, 3
 #: Windows in one string at most: longer runs (one word again and again) are cut.
 RUN = 64
 #: Bytes of text that a task looks at together.
 CHUNK = 4 << 20
 #: A sequence of words is frequent from this share of all sequences on, or a share of 1 in SPREAD for each shuffle partition if that is less.
 FREQUENT, SPREAD = 1 / 4096, 16
+#: Words with a code of two bytes; OTHER stands for all others.
+CODES = OTHER = 65_535
+#: Ids of documents that are broadcast to leave texts without repeats out of a shuffle; more of them are joined.
+MAX_BROADCAST = 1_000_000
 #: The id that a null counts as.
 LAST = (1 << 63) - 1
 
@@ -111,45 +118,68 @@ def _batches(rows: Iterable[tuple], schema: pa.Schema, most: int = 20_000) -> It
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), schema, strict=True)], schema=schema)
 
 
-def frequent_seeds(keyed: DataFrame, share: float) -> np.ndarray:
-    """Hashes of word sequences that make up at least ``share`` of all, and none of less than half of it.
+def statistics(keyed: DataFrame, share: float, spark: SparkSession) -> tuple[np.ndarray, list[bytes]]:
+    """Hashes of the word sequences that make up at least ``share`` of all, and none of less than half of it; the words that get codes.
 
-    Each chunk of texts reports those of at least half the share within it; the others can add up to half the share at most.
+    Each chunk of texts reports the sequences of at least half the share within it (what others leave out adds up to half the share at most),
+    and the words that it has more than a few times.
     """
-    schema = pa.schema([("seed", pa.int64()), ("n", pa.int64()), ("total", pa.int64())])
+    schema = pa.schema([("seed", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
 
     def count(batches):
         def found():
             for rows in _chunks(batches, ("text",)):
-                x = [s for s in (seeds(t.split()) for (t,) in rows) if len(s)]
-                if x:
-                    all_ = np.concatenate(x)
-                    values, times = np.unique(all_, return_counts=True)
-                    heavy = times >= share / 2 * len(all_)
-                    yield (None, None, len(all_))
-                    yield from zip(values[heavy].astype(np.int64).tolist(), times[heavy].tolist(), [0] * int(heavy.sum()), strict=True)
+                texts = [t.split() for (t,) in rows]
+                x = np.concatenate([seeds(ws) for ws in texts])
+                values, times = np.unique(x, return_counts=True)
+                heavy = times >= share / 2 * len(x)
+                yield (None, None, len(x))
+                yield from ((v, None, n) for v, n in zip(values[heavy].astype(np.int64).tolist(), times[heavy].tolist(), strict=True))
+                words = Counter(w for ws in texts for w in ws)
+                yield from ((None, w, n) for w, n in words.items() if n >= max(2, len(x) >> 17))
 
         return _batches(found(), schema)
 
-    counts = keyed.select("text").mapInArrow(count, "seed long, n long, total long").groupBy("seed").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    total = counts.agg(F.sum("total")).first()[0] or 0
-    heavy = counts.where((F.col("n") >= share / 2 * total) & F.col("seed").isNotNull()).select("seed")  # 2 / share of them at most
-    return np.sort(np.array([r[0] for r in heavy.collect()], np.uint64))
+    counts = keyed.select("text").mapInArrow(count, "seed long, word binary, n long").groupBy("seed", "word").agg(F.sum("n").alias("n"))
+    counts = kept(counts, spark, "windows-counts")
+    total = counts.where(F.col("seed").isNull() & F.col("word").isNull()).select("n").first()
+    heavy = counts.where((F.col("n") >= share / 2 * (total[0] if total else 0)) & F.col("seed").isNotNull()).select("seed")  # 2 / share of them at most
+    words = counts.where(F.col("word").isNotNull()).orderBy(F.desc("n"), "word").select("word").limit(CODES)
+    return np.sort(np.array([r[0] for r in heavy.collect()], np.uint64)), [bytes(r[0]) for r in words.collect()]
 
 
-def _sent(keyed: DataFrame, frequent: np.ndarray) -> DataFrame:
+def packed(words: list[bytes], codes: dict[bytes, int]) -> Callable[[int, int], bytes]:
+    """A function of the first and the last word but one: the packed string of these words."""
+    x = np.fromiter(map(codes.get, words, repeat(OTHER)), np.uint16, len(words))
+    rest = [words[i] for i in np.flatnonzero(x == OTHER).tolist()]
+    before = np.concatenate(([0], np.cumsum(x == OTHER))).tolist()
+    line = x.tobytes()
+    return lambda a, b: line[2 * a : 2 * b] + b" ".join(rest[before[a] : before[b]])
+
+
+def windows(body: bytes, n: int) -> list[bytes]:
+    """The n windows of a packed string of n + WINDOW - 1 words."""
+    long = 2 * (n + WINDOW - 1)
+    line, rest = body[:long], body[long:].split(b" ")
+    before = np.concatenate(([0], np.cumsum(np.frombuffer(line, np.uint16) == OTHER))).tolist()
+    if not before[-1]:
+        return [line[2 * i : 2 * (i + WINDOW)] for i in range(n)]
+    return [line[2 * i : 2 * (i + WINDOW)] + b" ".join(rest[before[i] : before[i + WINDOW]]) for i in range(n)]
+
+
+def _sent(keyed: DataFrame, frequent: np.ndarray, coded: list[bytes]) -> DataFrame:
     def strings(batches):
         def found():
+            codes = {w: i for i, w in enumerate(coded)}
             for rows in _chunks(batches, ("d", "h", "text")):
                 seen: dict[bytes, tuple[int, int]] = {}
                 for d, h, text in sorted(rows, key=lambda r: r[:2]):
                     words = text.split()
                     if len(words) < WINDOW:
                         continue
-                    line = b" ".join(words)
-                    begins = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1))).tolist()
+                    pack = packed(words, codes)
                     for bucket, at, n in runs(words, frequent):
-                        body = line[begins[at] : begins[at + n + WINDOW - 1] - 1]
+                        body = pack(at, at + n + WINDOW - 1)
                         if seen.setdefault(body, (d, at)) < (d, at):
                             yield (d ^ h, d, h, at, n, None)
                         else:
@@ -160,22 +190,11 @@ def _sent(keyed: DataFrame, frequent: np.ndarray) -> DataFrame:
     return keyed.select("d", "h", "text").mapInArrow(strings, "bucket long, d long, h long, at int, n int, body binary")
 
 
-def windows(body: bytes, n: int) -> list[bytes]:
-    """The n windows of a string of n + WINDOW - 1 words."""
-    words = body.split(b" ")
-    begins, at = [], 0
-    for w in words:
-        begins.append(at)
-        at += len(w) + 1
-    begins.append(at)
-    return [body[begins[i] : begins[i + WINDOW] - 1] for i in range(n)]
-
-
 def repeated(bucket: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
     """(d, h, at, n) of repeated windows among a bucket's strings (d, h, at, n, body)."""
     if len(bucket) == 1:
         _, _, _, n, body = bucket[0]
-        if len({*body.split(b" ", n)[:n]}) == n:  # windows that begin with different words
+        if OTHER not in (codes := memoryview(body[: 2 * n]).cast("H").tolist()) and len({*codes}) == n:  # windows that begin with different words
             return
     first: dict[bytes, tuple[int, int]] = {}
     for d, _, at, _, body in bucket:
@@ -227,13 +246,21 @@ def _marks(sent: DataFrame) -> DataFrame:
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(judge, "d long, h long, at int, n int")
 
 
-def _without(keyed: DataFrame, marks: DataFrame) -> DataFrame:
+def _without(keyed: DataFrame, marks: DataFrame, spark: SparkSession) -> DataFrame:
     """missing, d, n_words, n_removed, kept."""
     spans = marks.groupBy("d", "h").agg(F.collect_set(F.struct("at", "n")).alias("spans")).select("d", "h", "spans.at", "spans.n")
-    rows = keyed.join(spans, ["d", "h"], "left").select("d", "missing", "at", "n", "text")
+    spans = kept(spans, spark, "windows-marks")
+    if spans.count() <= MAX_BROADCAST:  # texts without repeats stay where they are
+        ids = F.broadcast(spans.select("d").distinct())
+        rows = keyed.join(ids, "d", "left_semi").join(spans, ["d", "h"], "left")
+        rest = keyed.join(ids, "d", "left_anti")
+        rows = rows.unionByName(rest, allowMissingColumns=True)
+    else:
+        rows = keyed.join(spans, ["d", "h"], "left")
+    rows = rows.select("d", "missing", "at", "n", "text")
 
     def cut(batches):
-        def kept():
+        def cleaned():
             for rows in _chunks(batches, ("d", "missing", "at", "n", "text")):
                 for d, missing, at, n, text in rows:
                     words = text.split()
@@ -244,7 +271,7 @@ def _without(keyed: DataFrame, marks: DataFrame) -> DataFrame:
                         left = [w for w, over in zip(words, np.cumsum(depth).tolist(), strict=False) if not over]
                     yield (d, missing, len(words), len(words) - len(left), b" ".join(left).decode())
 
-        return _batches(kept(), _KEPT, 1000)
+        return _batches(cleaned(), _KEPT, 1000)
 
     return rows.mapInArrow(cut, "d long, missing boolean, n_words long, n_removed long, kept string")
 
@@ -254,9 +281,9 @@ def without_repeats(docs: DataFrame, spark: SparkSession | None = None) -> DataF
     spark = spark or docs.sparkSession
     keyed = _keyed(docs)
     share = min(FREQUENT, 1 / (SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    marks = _marks(_sent(keyed, frequent_seeds(keyed, share)))
+    marks = _marks(_sent(keyed, *statistics(keyed, share, spark)))
     doc_id: Column = F.when(~F.col("missing"), F.col("d"))
-    return _without(keyed, marks).select(doc_id.alias("doc_id"), "n_words", "n_removed", F.col("kept").alias("text"))
+    return _without(keyed, marks, spark).select(doc_id.alias("doc_id"), "n_words", "n_removed", F.col("kept").alias("text"))
 
 
 SQL = r"""

@@ -53,9 +53,11 @@ def mixed(seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("chunk", [4 << 20, 500])
-def test_equals_brute_force(spark, documents, seed, chunk, monkeypatch):
+@pytest.mark.parametrize(("chunk", "codes", "broadcast"), [(4 << 20, 65_535, 10**6), (500, 40, 0)])
+def test_equals_brute_force(spark, documents, seed, chunk, codes, broadcast, monkeypatch):
     monkeypatch.setattr(wd, "CHUNK", chunk)
+    monkeypatch.setattr(wd, "CODES", codes)
+    monkeypatch.setattr(wd, "MAX_BROADCAST", broadcast)
     rows = mixed(seed)
     assert run(spark, documents(rows).repartition(3)) == brute(rows)
 
@@ -79,9 +81,9 @@ def test_hot_line_is_spread(spark, documents):
     line = " ".join(f"l{i}" for i in range(8))
     rows = [(i, " ".join(f"v{r.randrange(10**6)}" for _ in range(15)) + f" {line} " + " ".join(f"v{r.randrange(10**6)}" for _ in range(15))) for i in range(600)]
     keyed = wd._keyed(documents(rows))
-    frequent = wd.frequent_seeds(keyed, 1 / 4096)
-    assert len(frequent) == 5
-    most = lambda f: wd._sent(keyed, f).groupBy("bucket").count().agg({"count": "max"}).first()[0]
+    frequent, coded = wd.statistics(keyed, 1 / 4096, spark)
+    assert len(frequent) == 9 - wd.SEED
+    most = lambda f: wd._sent(keyed, f, coded).groupBy("bucket").count().agg({"count": "max"}).first()[0]
     assert most(frequent) <= 2 < 100 < most(np.zeros(0, np.uint64))
     assert run(spark, documents(rows)) == brute(rows)
 
