@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, html_extract, mixing, ngram_join, pii, quality_rules, sharding, spelling, token_store, topk, url_filter, window_dedup
+from folioscope.llm import collocations, decontaminate, html_extract, mixing, ngram_join, pii, quality_rules, sharding, spelling, token_store, topk, url_filter, window_dedup
 from folioscope.session import table
 
 
@@ -53,6 +53,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spark)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), spark)
+
+
 def op12_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = window_dedup.without_repeats(table(spark, sf_dir, "documents"), spark)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -81,6 +85,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_token_bitplanes": op9_token_bitplanes,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
     "op12_window_dedup": op12_window_dedup,
     "op13_spelling_variants": op13_spelling_variants,
     "mix_targets": mix_targets,
@@ -91,6 +96,7 @@ ORACLE_SQL = {
     "op4_exact_topk": topk.SQL,
     "op6_ngram_jaccard_join": ngram_join.SQL,
     "op10_decontamination": decontaminate.SQL,
+    "op11_collocations": collocations.SQL,
     "op12_window_dedup": window_dedup.SQL,
     "op13_spelling_variants": spelling.SQL,
     "mix_targets": mixing.SIZED_SQL,
