@@ -23,10 +23,11 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from itertools import repeat
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ MAX_BROADCAST = 1_000_000
 #: The id that a null counts as.
 LAST = (1 << 63) - 1
 
-_SENT = pa.schema([("bucket", pa.int64()), ("d", pa.int64()), ("h", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("body", pa.binary())])
+_SENT = pa.schema([("bucket", pa.int64()), ("d", pa.int64()), ("h", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("twice", pa.bool_()), ("body", pa.binary())])
 _MARKS = pa.schema([("d", pa.int64()), ("h", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
 _KEPT = pa.schema([("d", pa.int64()), ("missing", pa.bool_()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
@@ -78,19 +79,24 @@ def least(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def runs(words: list[bytes], frequent: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(minimiser, first window, number of windows) of each run of windows that travels as one string."""
+def runs(words: list[bytes], frequent: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
+    """(minimiser, first window, number of windows, whether two of them may be equal) of each run of windows that travels as one string."""
     n = len(words) - WINDOW + 1
     if n <= 0:
         return
     x = seeds(words)
+    order = np.argsort(x, kind="stable")
+    again = x[order[1:]] == x[order[:-1]]
+    last = np.full(len(x), -1)  # where the sequence of words at a place stood last
+    last[order[1:][again]] = order[:-1][again]
     if len(frequent):
         near = np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)
         x = x | ((frequent[near] == x).astype(np.uint64) << np.uint64(63))
     mins, places = least(x, WINDOW - SEED + 1), np.arange(n)
     new = np.concatenate(([True], mins[1:] != mins[:-1]))
     starts = np.flatnonzero((places - np.maximum.accumulate(np.where(new, places, 0))) % RUN == 0)
-    yield from zip(mins[starts].astype(np.int64).tolist(), starts.tolist(), np.diff(starts, append=n).tolist(), strict=True)
+    twice = np.maximum.reduceat(last[:n], starts) >= starts
+    yield from zip(mins[starts].astype(np.int64).tolist(), starts.tolist(), np.diff(starts, append=n).tolist(), twice.tolist(), strict=True)
 
 
 def _chunks(batches: Iterable[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[tuple]]:
@@ -160,10 +166,10 @@ def packed(words: list[bytes], codes: dict[bytes, int]) -> Callable[[int, int],
 def windows(body: bytes, n: int) -> list[bytes]:
     """The n windows of a packed string of n + WINDOW - 1 words."""
     long = 2 * (n + WINDOW - 1)
-    line, rest = body[:long], body[long:].split(b" ")
-    before = np.concatenate(([0], np.cumsum(np.frombuffer(line, np.uint16) == OTHER))).tolist()
-    if not before[-1]:
+    line, codes = body[:long], memoryview(body[:long]).cast("H").tolist()
+    if len(body) == long:
         return [line[2 * i : 2 * (i + WINDOW)] for i in range(n)]
+    rest, before = body[long:].split(b" "), [0, *accumulate(c == OTHER for c in codes)]
     return [line[2 * i : 2 * (i + WINDOW)] + b" ".join(rest[before[i] : before[i + WINDOW]]) for i in range(n)]
 
 
@@ -178,33 +184,30 @@ def _sent(keyed: DataFrame, frequent: np.ndarray, coded: list[bytes]) -> DataFra
                     if len(words) < WINDOW:
                         continue
                     pack = packed(words, codes)
-                    for bucket, at, n in runs(words, frequent):
+                    for bucket, at, n, twice in runs(words, frequent):
                         body = pack(at, at + n + WINDOW - 1)
                         if seen.setdefault(body, (d, at)) < (d, at):
-                            yield (d ^ h, d, h, at, n, None)
+                            yield (d ^ h, d, h, at, n, False, None)
                         else:
-                            yield (bucket, d, h, at, n, body)
+                            yield (bucket, d, h, at, n, twice, body)
 
         return _batches(found(), _SENT)
 
-    return keyed.select("d", "h", "text").mapInArrow(strings, "bucket long, d long, h long, at int, n int, body binary")
+    return keyed.select("d", "h", "text").mapInArrow(strings, "bucket long, d long, h long, at int, n int, twice boolean, body binary")
 
 
-def repeated(bucket: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
-    """(d, h, at, n) of repeated windows among a bucket's strings (d, h, at, n, body)."""
-    if len(bucket) == 1:
-        _, _, _, n, body = bucket[0]
-        if OTHER not in (codes := memoryview(body[: 2 * n]).cast("H").tolist()) and len({*codes}) == n:  # windows that begin with different words
-            return
+def repeated(bucket: list[list]) -> Iterator[tuple[int, int, int, int]]:
+    """(d, h, at, n) of repeated windows among a bucket's strings [d, h, at, n, twice, body]."""
     first: dict[bytes, tuple[int, int]] = {}
-    for d, _, at, _, body in bucket:
+    for d, _, at, _, _, body in bucket:
         if body not in first or (d, at) < first[body]:
             first[body] = (d, at)
+    single = len(first) == 1  # then windows can only be equal within the string
     each = []
-    for k, (d, h, at, n, body) in enumerate(bucket):
+    for k, (d, h, at, n, twice, body) in enumerate(bucket):
         if first[body] < (d, at):
             yield (d, h, at, n)
-        else:
+        elif twice or not single:
             each += [(w, d, at + i, k) for i, w in enumerate(windows(body, n))]
     each.sort()
     found: dict[int, list[int]] = {}
@@ -229,7 +232,11 @@ def _marks(sent: DataFrame) -> DataFrame:
         def found():
             now, bucket = None, []
             for b in batches:
-                for key, *row in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                key = b.column("bucket").to_numpy()
+                same = key[1:] == key[:-1]
+                near = np.concatenate(([True], same)) | np.concatenate((same, [True]))  # the ends may go on in other batches
+                more = pc.or_(b.column("twice"), pc.is_null(b.column("body")))  # a string alone in its bucket needs no look
+                for key, *row in zip(*[c.to_pylist() for c in b.filter(pc.or_(pa.array(near), more)).columns], strict=True):
                     if row[-1] is None:
                         yield tuple(row[:4])
                         continue
