@@ -236,13 +236,6 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
     return F.exists(F.array(*[F.lit(w) for w in words]).cast("array<string>"), lambda w: F.contains(text, w)) if words else F.lit(False)
 
 
-def front_matter(page: Column, index: Column) -> Column:
-    """Whether a page is a cover or a table of contents: early, empty, many leaders or many chapter lines."""
-    leaders = F.size(F.filter(lines(page), lambda s: s.rlike(TOC_LEADER)))
-    chapters = F.regexp_count(page, F.lit(r"(?m)^\s*第[一二三四五六七八九十]{1,3}[章节]"))
-    return is_blank(page) | (index <= 5) | page.rlike("目\\s*录|释\\s*义") | (leaders >= 3) | (chapters >= 8)
-
-
 def complete_sections(full: Column, business: Column, future: Column, industry: Column, letter: Column) -> Column:
     """Whether extracted sections are long enough to count as complete."""
     n = lambda c: F.length(F.trim(F.coalesce(c, F.lit(""))))

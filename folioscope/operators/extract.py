@@ -1,25 +1,27 @@
 """Planning and running the extraction of sections from documents' page texts.
 
-Failures are data: a document that is too slow, broken or without the chapter gives a row with a status and a placeholder, and never
+Failures are data: a document that is too long, broken or without the chapter gives a row with a status and a placeholder, and never
 stops a task.
 """
 
 from __future__ import annotations
 
 import re
-import time
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from folioscope.functions import text as X
+from folioscope.operators import chapters as C
+from folioscope.operators import letters as L
 from folioscope.operators import sections as S
 
 OK, SLOW, BROKEN, EMPTY = "OK", "PARSE_TOO_SLOW", "FAILED", "NO_TEXT"
 FIELDS = ("industry", "business", "future", "chairman_letter", "full_mda")
-#: Seconds for a document.
-BUDGET = 60.0
 
 # Headings of reports without the usual chapter, and what ends their parts.
 OVERVIEW = ("管理层综述", ("董事长致辞", r"第二章\s*董事会报告", "董事会报告", r"第三节\s*管理层讨论与分析", "公司治理", "重要事项"))
@@ -66,35 +68,56 @@ def alternative_sections(text: str | None) -> dict[str, str | None] | None:
     if not business and not future:
         return None
     full = S.truncated("\n\n".join(filter(None, (business, future))), 140_000)
-    return {"industry": None, "business": business, "future": future, "chairman_letter": S.chairman_letter(text), "full_mda": full}
-
-
-def parsed(pages: Sequence[str] | None, clock: Callable[[], float] = time.monotonic, budget: float = BUDGET) -> dict[str, str | None]:
-    """Sections and status of a document's pages."""
-    out: dict[str, str | None] = dict.fromkeys(FIELDS)
-    have = [p if isinstance(p, str) else "" for p in pages or ()]
-    if not any(p.strip() for p in have):
-        return out | {"full_mda": S.placeholder(EMPTY), "status": EMPTY}
-    end = clock() + budget
-    try:
-        found = S.discussion(have)
-        if clock() > end:
-            return out | {"full_mda": S.placeholder(SLOW, have), "status": SLOW}
-        if found["full_mda"] and found["full_mda"].startswith("[PARSE_FAILED]"):
-            found = alternative_sections("\n".join(have)) or found
-        failed = (found["full_mda"] or "").startswith("[PARSE_FAILED]")
-        return found | {"status": BROKEN if failed else OK}
-    except Exception as e:  # a bad document must not stop the others
-        return out | {"full_mda": S.placeholder(f"{type(e).__name__}: {e}", have), "status": BROKEN}
-
-
-def extracted(df: DataFrame, key: str, pages: str, parse: Callable[[Sequence[str] | None], dict] = parsed) -> DataFrame:
-    """key, the sections and status of each document (pages: array<string>). parse may be any function of the pages."""
+    return {"industry": None, "business": business, "future": future, "chairman_letter": L.letter(text), "full_mda": full}
+
+
+def placeholder(reason: Column | str, text: Column, least: int = 300, most: int = 6000) -> Column:
+    """What stands in for a document that could not be read: the reason, and an excerpt if there is one worth showing."""
+    body = C.stripped(F.regexp_replace(F.coalesce(text, F.lit("")), r"\n[\s\p{Z}]*\n", "\n"))
+    excerpt = F.when(F.length(body) >= least, F.concat(F.lit("\n"), X.truncated(body, most))).otherwise("")
+    return F.concat(F.lit("[PARSE_FAILED] reason="), F.lit(reason) if isinstance(reason, str) else reason, excerpt)
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in FIELDS]))
+def _alternative(texts: pd.Series) -> pd.DataFrame:
+    rows = [alternative_sections(t) or {} for t in texts]
+    return pd.DataFrame({n: [r.get(n) for r in rows] for n in FIELDS})
+
+
+def extracted(df: DataFrame, key: str, pages: str = "pages", chars: int = C.BUDGET) -> DataFrame:
+    """key, the sections, status and pages_read of each document (pages: array<string>).
+
+    A document is read in batches of pages until they hold ``chars`` characters; what was found in them stays. OK: the chapter or other
+    sections were found; NO_TEXT: there is none; PARSE_TOO_SLOW: nothing was found in what the budget allows; FAILED: nothing was found at all.
+    """
+    each = C.within_budget(C.paged(df, key, pages).withColumn("text", X.normalized(F.col("text"))), key, chars)
+    read = each.where(~F.col("late"))
+    found = C.discussions(read.drop("late"), key)
+    whole = each.groupBy(key).agg(F.array_sort(F.collect_list(F.when(~F.col("late"), F.struct("page", "text")))).alias("p"), F.count(F.when(~F.col("late"), 1)).alias("pages_read"), F.max("late").alias("late"))
+    whole = df.select(key).join(whole.select(key, F.array_join("p.text", "\n").alias("text"), "pages_read", "late"), key, "left").join(found, key, "left")
+    usual = F.col("full_mda").isNotNull()
+    text = F.coalesce("text", F.lit(""))
+    whole = whole.withColumn("other", _alternative(F.when(~usual, text)))
+    none = F.col("other.full_mda").isNull() & ~usual
+    status = F.when(C.dense(text) == "", EMPTY).when(~none, OK).when(F.col("late"), SLOW).otherwise(BROKEN)
+    own = {n: F.when(usual, F.col(n) if n in ("business", "future", "chairman_letter", "full_mda") else F.lit(None)).otherwise(F.col(f"other.{n}")) for n in FIELDS}
+    own["full_mda"] = F.when(none, placeholder(status, text)).otherwise(own["full_mda"])
+    return whole.select(key, *[c.alias(n) for n, c in own.items()], status.alias("status"), F.coalesce("pages_read", F.lit(0)).alias("pages_read"))
+
+
+def parsed_by(df: DataFrame, key: str, pages: str, parse: Callable[[Sequence[str]], dict]) -> DataFrame:
+    """key, the sections and status of each document by any function of its pages; a document that it fails on gives a row that says so."""
     names = [*FIELDS, "status"]
 
+    def safe(p):
+        try:
+            return {"status": OK} | parse(p or [])
+        except Exception as e:  # a bad document must not stop the others
+            return {"full_mda": S.placeholder(f"{type(e).__name__}: {e}", [x for x in p or [] if isinstance(x, str)]), "status": BROKEN}
+
     def run(batches):
         for batch in batches:
-            rows = [parse(p) for p in batch.column(1).to_pylist()]
+            rows = [safe(p) for p in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r.get(n) for r in rows], pa.string()) for n in names]], [key, *names])
 
     kind = dict(df.dtypes)[key]

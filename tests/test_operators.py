@@ -101,7 +101,6 @@ def test_text_functions(spark):
     assert one(spark, text.xml_escaped(t), t="<a & 'b'>") == "&lt;a &amp; &apos;b&apos;&gt;"
     assert [one(spark, text.column_letter(F.lit(n))) for n in (1, 26, 27, 702, 703)] == ["A", "Z", "AA", "ZZ", "AAA"]
     assert one(spark, text.has_all_characters(t, F.lit("ba")), t="xxabxx") and not one(spark, text.has_all_characters(t, F.lit("bz")), t="ab")
-    assert one(spark, text.front_matter(t, F.lit(9)), t="目 录") and not one(spark, text.front_matter(t, F.lit(9)), t="正文")
     assert one(spark, text.paragraphs_xhtml(t), t="a\n\n<b") == "<p>a</p>\n<p>&lt;b</p>"
 
 
@@ -183,12 +182,6 @@ def test_sections(spark):
     assert sections.titled("甲\n乙丙\n二、丁", "乙") == "乙丙"
     assert sections.to_next_titled(REPORT, 0, ["未来"]).endswith("丁") and sections.to_next_titled(REPORT, 0, ["没有"]) is None
     assert sections.placeholder("X").startswith("[PARSE_FAILED] reason=X")
-    letter = "封面\n尊敬的各位股东：\n" + "字" * 500 + "\n董事长 某\n第一章 甲"
-    assert sections.chairman_letter(letter).endswith("董事长 某") and sections.chairman_letter("尊敬的股东：短") is None
-    pages = ["x"] * 6 + ["第三节 管理层讨论与分析\n一、行业情况\n好\n二、主要业务\n多", "三、其他\n第四节 公司治理\n尾"]
-    out = sections.discussion(pages)
-    assert out["industry"].startswith("一、行业情况") and "第四节" not in out["full_mda"]
-    assert sections.discussion(["x"])["full_mda"].startswith("[PARSE_FAILED]")
 
 
 def test_state_through_spark(spark, tmp_path):
@@ -209,14 +202,6 @@ def test_windowed_counts(spark):
     assert {r.kind: r.n for r in out.collect()} == {"a": [1, 2], None: [1]}
 
 
-def test_chapter_heading():
-    find = sections.chapter_heading
-    assert find("尾页\n第三节 管理层讨论与分析\n一、") == 3 and find("经营情况讨论和分析") == 0 and find("第三章管理层讨论与分析") == 0
-    assert find("第 三 节  管理层讨论与分析") == 0 and find("前 第三节 管理层讨论与分析 公司概况") == 2
-    for page in ("", "重要提示\n管理层讨论与分析", "请详见\n第三节 管理层讨论与分析", "见“第三节 管理层讨论与分析”", "《管理层讨论与分析》", "参阅第三节管理层讨论和分析", "管理层讨论与分析如下", "字" * 61 + "第三节管理层讨论与分析"):
-        assert find(page) is None
-
-
 def test_outlook():
     body = "一、主要业务\n甲\n十一、公司未来发展的展望\n" + "二、战略\n" + "字" * 300
     assert sections.outlook(body + "\n（四）可能面对的风险\n险") == body[body.index("十一、") :]
@@ -224,13 +209,6 @@ def test_outlook():
     assert sections.outlook("一、未来规划\n短") is None and sections.outlook("一、未来规划\n短", 1) == "一、未来规划\n短" and sections.outlook("") is None
 
 
-def test_discussion_without_heading():
-    pages = ["x"] * 6 + ["请详见第三节“管理层讨论与分析”", "尾\n一、报告期内公司从事的主要业务\n甲", "第四节 公司治理\n尾"]
-    assert sections.discussion(pages)["full_mda"] == "报告期内公司从事的主要业务\n甲"
-    pages = ["x"] * 6 + ["第三节 管理层讨论与分析\n甲", "第三节 管理层讨论与分析\n乙", "第四节 公司治理"]
-    assert sections.discussion(pages)["full_mda"] == "第三节 管理层讨论与分析\n甲\n第三节 管理层讨论与分析\n乙"
-
-
 def test_sources(spark, tmp_path):
     (tmp_path / "m.csv").write_text("﻿code,industry\n1,A\n2,\n1,B\n", encoding="utf-8")
     assert rows(readers.csv_map(spark, str(tmp_path / "m.csv"))) == [("000001", "B", None)]
