@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioscope.operators import chapters as C
+from folioscope.operators import headings as H
+from folioscope.operators import tree
 from folioscope.plans.catalog import query
 from folioscope.session import table
 
@@ -64,3 +66,31 @@ _KEPT = r"list_filter(string_split('致股东' || chr(10) || coalesce(text, ''),
 def shareholder_letters(spark, d):
     text = F.concat(F.lit("封面\n致股东\n"), F.coalesce("text", F.lit("")), F.lit("\n第一节 重要提示\n"), F.coalesce("source", F.lit("")))
     return table(spark, d, "documents").select("doc_id", C.letter_of(text).alias("letter"))
+
+
+#: Sentences are lines, numbered in seven ways or not at all; parts between commas are spans; each fifth document has an outline, of blank titles for some.
+_NUMBERED = ("第三节 ", "二、", "（一）", "3、", "1.2 ", "4.", "")
+_NUMBERS = "[" + ", ".join(f"'{n}'" for n in _NUMBERED) + "]"
+_LINES_SQL = rf"sp AS (SELECT doc_id, (i - 1) // 5 + 1 AS page, i AS line, string_split({_NUMBERS}[(doc_id + i) % 7 + 1] || ls[i], ', ') AS parts, 8 + length(ls[i]) % 9 AS size FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split_regex(coalesce(text, ''), '[.\n]') AS ls FROM documents)))"
+_OUTLINE_SQL = r"ol AS (SELECT doc_id, place, CAST(1 + place AS INTEGER) AS level, regexp_replace(CASE WHEN doc_id % 10 = 0 THEN ' ' ELSE ' 第' || (1 + place) || '节 ' || source END, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS title, greatest(CAST(doc_id % 3 AS INTEGER), 1) AS page FROM documents, range(2) r(place) WHERE doc_id % 5 = 0)"
+_HEADINGS_SQL = f"""{_LINES_SQL}, {_OUTLINE_SQL}, o AS (SELECT doc_id, page, 0 AS line_no, title, level, 1.0::DOUBLE AS score, 'toc' AS method, place FROM ol WHERE title <> ''),
+ln AS (SELECT doc_id, page, row_number() OVER (PARTITION BY doc_id, page ORDER BY line) AS line_no, {_STRIP.format("array_to_string(parts, '')")} AS title, size, len(parts) AS n FROM sp WHERE doc_id NOT IN (SELECT doc_id FROM o)),
+d AS (SELECT doc_id, page, line_no, title, CASE WHEN regexp_matches(title, '^第[0-9一二三四五六七八九十百零〇]+节') THEN 1 WHEN regexp_matches(title, '^[一二三四五六七八九十]+[、.]') THEN 2 WHEN regexp_matches(title, '^（[一二三四五六七八九十]+）') OR regexp_matches(title, '^[0-9]+[、.]') THEN 3 ELSE 2 END AS level, round(0.5 + CASE WHEN size >= 13 THEN 0.2 ELSE 0 END + CASE WHEN length(title) <= 30 THEN 0.1 ELSE 0 END + CASE WHEN n = 1 THEN 0.1 ELSE 0 END, 4)::DOUBLE AS score, 'text_heading' AS method, 0 AS place FROM ln
+WHERE title <> '' AND length(title) <= 60 AND regexp_matches(title, '^(第[0-9一二三四五六七八九十百零〇]+节[ 　]+|[一二三四五六七八九十]+[、.]|[(（][一二三四五六七八九十]+[)）]|[0-9]+[、.])')),
+h AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page, line_no, level, place, title) - 1 AS idx FROM (SELECT * FROM o UNION ALL SELECT * FROM d))"""
+
+
+def _outline_and_spans(spark, d):
+    doc = table(spark, d, "documents")
+    each = doc.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"[.\n]", -1)).alias("i", "line"))
+    text = F.concat(F.get(F.array(*[F.lit(n) for n in _NUMBERED]), ((F.col("doc_id") + F.col("i") + 1) % 7).cast("int")), "line")
+    rows = each.select("doc_id", F.floor(F.col("i") / 5).cast("int").alias("i5"), F.col("i").alias("line"), F.posexplode(F.split(text, ", ", -1)).alias("span", "text"), (8 + F.length("line") % 9).cast("double").alias("size"))
+    spans = rows.select("doc_id", (F.col("i5") + 1).alias("page"), "line", "span", "text", "size")
+    fifth = doc.where(F.col("doc_id") % 5 == 0).select("doc_id", "source", F.explode(F.array(F.lit(0), F.lit(1))).alias("place"))
+    title = F.when(F.col("doc_id") % 10 == 0, F.lit(" ")).otherwise(F.concat(F.lit(" 第"), (F.col("place") + 1).cast("string"), F.lit("节 "), "source"))
+    return fifth.select("doc_id", "place", (F.col("place") + 1).alias("level"), title.alias("title"), (F.col("doc_id") % 3).cast("int").alias("page")), spans
+
+
+@query(f"WITH {_HEADINGS_SQL} SELECT doc_id, CAST(idx AS INTEGER) AS idx, CAST(level AS INTEGER) AS level, title, {_DENSE.format('title')} AS plain, nullif(regexp_extract(title, '{H.NUMBER}', 1), '') AS number, CAST(page AS INTEGER) AS page, CAST(line_no AS INTEGER) AS line_no, score, method, CAST((SELECT max(p.idx) FROM h p WHERE p.doc_id = h.doc_id AND p.idx < h.idx AND p.level < h.level) AS INTEGER) AS parent_idx FROM h")
+def headings_detected(spark, d):
+    return tree.with_parents(H.detected(*_outline_and_spans(spark, d), "doc_id"), "doc_id")
