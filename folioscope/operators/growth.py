@@ -1,8 +1,8 @@
 """Growth rules: phrases followed by a percentage are worth points, adjusted by what the clause says.
 
-``RuleSet.score`` is the specification of one text, plain Python; ``scored`` applies it to a DataFrame in Arrow batches
-(the rules look back and forth around every match, which column expressions cannot do for several patterns at once). Where a
-sentence holds one phrase and one percentage, functions.numbers gives the same points natively.
+``RuleSet.score`` scores one text in plain Python and says what is meant; ``scored`` gives the same for a DataFrame by column expressions
+alone, over sorted lists of places: phrases, the percentage after each, and the clause in which that stands. Patterns of phrases are
+expressions that both Python and Java read, and match one character at least.
 """
 
 from __future__ import annotations
@@ -13,11 +13,13 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions import numbers, places
+from folioscope.functions import text as X
 from folioscope.functions.text import TABLE_WORDS as _TABLE_WORDS
+from folioscope.functions.text import let
 
 # They decide where clauses end and what forces points to be positive.
 CLAUSE_ENDS = "。；;"
@@ -228,22 +230,140 @@ class RuleSet:
         return total, list(hits.values())
 
 
-_OUT = "total long, hits array<struct<keyword:string,weight:int,count:int,polarity:string,context:string>>"
+# ---- the same over columns ----------------------------------------------------------------------------------------
 
+_SEPARATORS = f"[{CLAUSE_ENDS}]|[{BOXES}](?=适用|不适用)"
+_PERCENT = r"(?U)(\d+(?:\.\d+)?)\s*%"
+_FULL_WIDTH, _DIGITS = "０１２３４５６７８９", "0123456789"
+_BLOCK = 1024
+_HITS = "array<struct<keyword:string,weight:int,count:int,polarity:string,context:string>>"
 
-def scored(df: DataFrame, text: str, rules: RuleSet, industries: str | None = None) -> DataFrame:
-    """df with growth_total and growth_hits of each row's text (industries: a column of array<string>)."""
-    @F.pandas_udf(_OUT)
-    def run(texts: pd.Series, names: pd.Series) -> pd.DataFrame:
-        seen: dict = {}  # a batch's equal sentences are scored once
 
-        def once(t: str | None, n: tuple) -> tuple:
-            if (t, n) not in seen:
-                seen[t, n] = rules.score(t, list(n))
-            return seen[t, n]
+def _quoted(phrase: str) -> str:
+    return "\\Q" + phrase.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def _says(bare: Column, words: Iterable[str]) -> Column:
+    out = F.lit(False)
+    for w in words:
+        out = out | F.contains(bare, F.lit(w))
+    return out
+
+
+def _short(v: Column) -> Column:
+    """A number with six significant digits and no needless zeros."""
+    digits = F.format_string("%.9f", v)
+    for least, form in ((0.1, "%.6f"), (1, "%.5f"), (10, "%.4f"), (100, "%.3f"), (1000, "%.2f"), (10_000, "%.1f"), (100_000, "%.0f")):
+        digits = F.when(v >= least, F.format_string(form, v)).otherwise(digits)
+    plain = F.regexp_replace(F.regexp_replace(digits, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    power = F.regexp_replace(F.regexp_replace(F.format_string("%.5e", v), r"(\.\d*?)0+e", "$1e"), r"\.e", "e")
+    return F.when(v >= 999_999.5, power).otherwise(plain)
+
+
+def _base(rule: GrowthRule, v: Column) -> tuple[Column, Column]:
+    """Points of a percentage before any multiplier (null: it does not count) and the end of its label."""
+    if rule.mode != "thresholds":
+        pts = F.when(v >= rule.min_pct, F.floor(v * rule.k))
+        return F.when(pts > 0, F.least(pts, F.lit(rule.cap))).cast("int"), F.concat(F.lit("="), _short(v), F.lit("%"))
+    pts, label = F.lit(None).cast("int"), F.lit("")
+    for ge, score in rule.thresholds:
+        pts, label = F.when(v >= ge, F.lit(score)).otherwise(pts), F.when(v >= ge, F.lit(f">={int(ge) if ge == int(ge) else ge}%")).otherwise(label)
+    return F.when(pts > 0, pts), label
+
 
-        out = [once(t, () if n is None else tuple(n)) for t, n in zip(texts, names, strict=True)]
-        return pd.DataFrame({"total": [t for t, _ in out], "hits": [[vars(h) for h in hs] for _, hs in out]})
+def _adjusted(rule: GrowthRule, phrase: Column, clause: Column, base: Column, multiplier: Column) -> Column:
+    sign = -1 if rule.polarity == "neg" else 1
+    pts = F.greatest(F.lit(1), F.ceil(base * multiplier).cast("int")) * sign
+    judged = lambda bare: (
+        F.when(_says(phrase, YOY) & _says(bare, rule.company_markers), base)
+        .when(_says(bare, rule.neutralize_if_contains), 0)
+        .when(_says(bare, rule.full_negate_if_contains), -base)
+        .when(_says(bare, rule.negate_if_contains), -F.greatest(F.lit(1), F.floor(F.abs(pts) * rule.negate_penalty_ratio).cast("int")))
+        .otherwise(pts)
+    )
+    return let(X.no_space(clause), judged)
 
+
+def _clause(text: Column, clause: Column, at: Column, most: int = 800) -> Column:
+    """What a mention's clause (at, said) says: at most so many characters around the place, what is not applicable left out, a table cut short."""
+    s, n = clause["said"], F.length(clause["said"])
+    first = F.greatest(F.lit(0), F.greatest(F.lit(0), F.least(n - 1, at - clause["at"])) - most // 2)
+    last = F.least(n, first + most)
+    first = F.greatest(F.lit(0), last - most)
+    some = F.concat(F.when(first > 0, "…").otherwise(""), F.trim(F.substring(s, first + 1, last - first)), F.when(last < n, "…").otherwise(""))
+    after = F.trim(F.substring_index(F.when(n > most, some).otherwise(s), BOX_WORDS[1], -1))
+    applies = f"[{BOXES}]?{BOX_WORDS[0]}"
+    before = let(after, lambda x: F.when(F.contains(x, F.lit(BOX_WORDS[0])), F.trim(F.get(F.split(x, applies, 2), F.lit(0)))).otherwise(x))
+    return let(before, lambda x: F.when((F.length(x) > 600) & X.table_noise(x), X.window_around(text, at, 260)).otherwise(x))
+
+
+def mentions(text: Column, rules: RuleSet, industries: Column) -> Column:
+    """array<struct<rule, no, label, points, clause>>: what ``RuleSet.mentions`` gives, by lists of places.
+
+    Places of phrases come from one pass for each phrase; the text after one is cut out of blocks of the text; the clause of a percentage is found by
+    halving in the sorted list of clauses; of equal labels and clauses the first is kept by a sort.
+    """
+    active = [r for r in rules.rules if r.enabled]
+    said = lambda p: F.when(F.contains(p, F.lit("%")), X.one_space(p)).otherwise("")  # noqa: E731  others hold no percentage
+    clauses = F.transform(places.parts(text, _SEPARATORS), lambda c: F.struct(c["at"].alias("at"), said(c["part"]).alias("said")))
+    blocks = F.when(F.length(text) <= _BLOCK, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)))
+
+    def of(rule: GrowthRule, number: int, pattern: str, label: str | None, clauses: Column, blocks: Column) -> Column:
+        stops = "^[^" + re.escape(rule.stop_chars.replace(",", "").replace("，", "")) + "]*"
+        some = rule.window_chars // _BLOCK + 2
+
+        def ahead(m: Column) -> Column:
+            near = F.array_join(F.slice(blocks, F.floor(m["end"] / _BLOCK).cast("int") + 1, some), "")
+            return F.regexp_extract(F.substring(near, m["end"] % _BLOCK + 1, F.lit(rule.window_chars)), stops, 0)
+
+        def found(m: Column) -> Column:
+            value = lambda a: F.nullif(F.translate(F.regexp_extract(a, _PERCENT, 1), _FULL_WIDTH, _DIGITS), F.lit("")).try_cast("double")
+            return let(ahead(m), lambda a: F.struct((F.lit(label) if label else m["found"]).alias("phrase"), value(a).alias("v"), (m["end"] + F.length(F.regexp_extract(a, rf"(?s)^(.*?){_PERCENT}", 1))).cast("int").alias("at")))
+
+        def judged(x: Column) -> Column:
+            base, tail = _base(rule, x["v"])
+            factor = F.lit(float(rule.score_multiplier)) * numbers.industry_multiplier(industries, list(rule.industry_multipliers))
+            clause = lambda c: let(_clause(text, c, x["at"]), lambda s: F.struct(F.lit(number).alias("rule"), F.concat(x["phrase"], tail).alias("label"), _adjusted(rule, x["phrase"], s, base, factor).alias("points"), s.alias("clause")))
+            return let(places.last_until(clauses, x["at"]), clause)
+
+        counted = F.filter(F.transform(places.matches(text, pattern), found), lambda x: x["v"].isNotNull() & _base(rule, x["v"])[0].isNotNull())
+        here = F.contains(text, F.lit(label)) if label else text.rlike(pattern)
+        return F.transform(F.when(here, counted).otherwise(F.filter(F.array(found(F.struct(F.lit(0).alias("end"), F.lit("").alias("found")))), lambda x: F.lit(False))), judged)
+
+    kinds = [(i, r, _quoted(label) if label else p.pattern, label) for i, r in enumerate(active) for p, label in r.matchers()]
+    if not kinds:
+        return F.array().cast("array<struct<no:int,rule:int,label:string,points:int,clause:string>>")
+    each = lambda cs: let(blocks, lambda bs: F.concat(*[of(r, i, p, label, cs, bs) for i, r, p, label in kinds]))
+    rows = F.transform(let(clauses, each), lambda x, i: F.struct(x["label"].alias("label"), X.one_space(x["clause"]).alias("key"), i.alias("no"), x.alias("x")))
+    same = lambda a, b: (a["label"] == b["label"]) & (a["key"] == b["key"])
+    distinct = lambda rs: let(F.sort_array(rs), lambda s: F.filter(s, lambda r, i: (i == 0) | ~same(r, F.get(s, i - 1))))
+    once = let(rows, lambda rs: F.when(F.size(rs) > 1, distinct(rs)).otherwise(rs))
+    return F.sort_array(F.transform(once, lambda r: F.struct(r["no"].alias("no"), r["x"]["rule"].alias("rule"), r["label"].alias("label"), r["x"]["points"].alias("points"), r["x"]["clause"].alias("clause"))))
+
+
+def _hits(found: Column) -> Column:
+    """Mentions by rule and label, in the order of their first ones."""
+    by_label = F.sort_array(F.transform(found, lambda x: F.struct(x["rule"].alias("rule"), x["label"].alias("label"), x["no"].alias("no"), x["points"].alias("points"), x["clause"].alias("clause"))))
+
+    def hit(g: Column) -> Column:
+        strongest = F.aggregate(g, F.lit(0), lambda a, x: F.when(F.abs(x["points"]) > F.abs(a), x["points"]).otherwise(a))
+        context = F.get(F.filter(g, lambda x: x["clause"] != ""), F.lit(0))["clause"]
+        first = F.get(g, F.lit(0))
+        kind = F.when(F.exists(g, lambda x: x["points"] < 0), "neg").otherwise("pos")
+        return F.struct(first["no"].alias("no"), F.struct(first["label"].alias("keyword"), strongest.alias("weight"), F.size(g).alias("count"), kind.alias("polarity"), context.alias("context")).alias("hit"))
+
+    def grouped(xs: Column) -> Column:
+        new = lambda i: (i == 0) | (F.get(xs, i)["rule"] != F.get(xs, i - 1)["rule"]) | (F.get(xs, i)["label"] != F.get(xs, i - 1)["label"])
+        starts = F.filter(F.transform(xs, lambda x, i: i), new)
+        groups = let(starts, lambda at: F.transform(at, lambda a, k: hit(F.slice(xs, a + 1, F.coalesce(F.get(at, k + 1), F.size(xs)) - a))))
+        return F.transform(F.sort_array(groups), lambda h: h["hit"])
+
+    return F.when(F.size(found) == 0, F.array().cast(_HITS)).otherwise(let(by_label, grouped).cast(_HITS))
+
+
+def scored(df: DataFrame, text: str, rules: RuleSet, industries: str | None = None) -> DataFrame:
+    """df with growth_total and growth_hits of each row's text (industries: a column of array<string>), by column expressions alone."""
     names = F.col(industries) if industries else F.array().cast("array<string>")
-    return df.withColumn("__g", run(F.col(text), names)).select(*df.columns, F.col("__g.total").alias("growth_total"), F.col("__g.hits").alias("growth_hits"))
+    found = mentions(F.coalesce(F.col(text), F.lit("")), rules, names)
+    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x["points"])
+    return df.withColumn("__g", let(found, lambda xs: F.struct(total(xs).alias("total"), _hits(xs).alias("hits")))).select(*df.columns, F.col("__g.total").alias("growth_total"), F.col("__g.hits").alias("growth_hits"))

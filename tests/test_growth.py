@@ -90,3 +90,49 @@ def test_native_points_agree(spark):
     out = scored(df.withColumn("p", numbers.linear_points(F.col("v"), 0.1, 12, 20.0, 0.5)), "t", RuleSet((rule,))).collect()
     assert all((r.p or 0) == r.growth_total for r in out)
     assert all(r.growth_hits[0].keyword == f"增长={r.v:g}%" for r in out if r.growth_hits)
+
+
+def _same(spark, texts, rules, industries=()):
+    """Native scores against the rules in Python."""
+    df = spark.createDataFrame([(i, t, list(industries)) for i, t in enumerate(texts)], "i int, t string, names array<string>")
+    got = {r.i: (r.growth_total, [tuple(h) for h in r.growth_hits]) for r in scored(df, "t", rules, "names").collect()}
+    for i, t in enumerate(texts):
+        total_, hits = rules.score(t, industries)
+        want = (total_, [(h.keyword, h.weight, h.count, h.polarity, h.context) for h in hits])
+        assert got[i] == want, (t, got[i], want)
+
+
+RULES = RuleSet(
+    (
+        GrowthRule(phrase="同比增长", cap=12, phrase_aliases=("增长",), neutralize_if_contains=("行业",), full_negate_if_contains=("亏损",), industry_multipliers=((("银行",), 0.15),)),
+        GrowthRule(phrase="下降", polarity="neg", cap=6, window_chars=9, stop_chars="。!", phrase_patterns=("减少?了", "(")),
+        GrowthRule(phrase="复合增长率", mode="thresholds", thresholds=((5, 1), (20, 3), (40.5, 8), (90, 0)), score_multiplier=0.5),
+        GrowthRule(phrase="a.b\\E", enabled=False),
+        GrowthRule(phrase="a.b\\E", min_pct=0.0, k=3.0),
+    )
+)
+
+
+def test_native_equals_rules(spark):
+    rng = random.Random(5)
+    words = ["同比增长", "增长", "复合增长率", "下降", "减少了", "减了", "公司", "行业", "成本", "亏损", "□适用", "☑不适用", "不适用", "适用", "。", "；", ";", "！", ",", " ", "\n", "甲乙", "𠀀", "12%", "20.5%", "45 %", "7", "8.25%", "３0%", "300%", "a.b\\E", "0.125%", "1234567.5%", "123.4567%", "%"]
+    texts = ["".join(rng.choice(words) for _ in range(rng.randrange(0, 40))) for _ in range(500)] + ["", None, "同比增长20%", "增长" * 50 + "50%"]
+    _same(spark, texts, RULES)
+    _same(spark, texts[:100], RULES, ["股份制银行", " "])
+
+
+def test_native_long_clauses(spark):
+    rng = random.Random(6)
+    long = lambda n: "".join(rng.choice("甲乙丙 ,，1%|") for _ in range(n))
+    texts = [long(a) + "同比增长30%" + long(b) for a, b in [(700, 10), (10, 900), (900, 900), (399, 401), (2000, 0)]] + ["项目 " + "字" * 700 + "同比增长50%" + "字" * 300]
+    texts += ["甲" * 5000 + "。同比增长20%。" + "增长" + "乙" * 219 + "9%", "增长30%" * 300 + "。" + "公司增长45%。" * 400]
+    _same(spark, texts, RULES)
+
+
+def test_native_has_no_python(spark):
+    plan = scored(spark.createDataFrame([("x",)], "t string"), "t", RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_no_rules(spark):
+    assert scored(spark.createDataFrame([("增长50%",)], "t string"), "t", RuleSet(())).first()[1:] == (0, [])
