@@ -334,11 +334,11 @@ def mentions(text: Column, rules: RuleSet, industries: Column) -> Column:
     if not kinds:
         return F.array().cast("array<struct<no:int,rule:int,label:string,points:int,clause:string>>")
     each = lambda cs: let(blocks, lambda bs: F.concat(*[of(r, i, p, label, cs, bs) for i, r, p, label in kinds]))
-    rows = F.transform(let(clauses, each), lambda x, i: F.struct(x["label"].alias("label"), X.one_space(x["clause"]).alias("key"), i.alias("no"), x.alias("x")))
+    rows = F.transform(let(clauses, each), lambda x, i: F.struct(i.alias("no"), x["rule"].alias("rule"), x["label"].alias("label"), x["points"].alias("points"), x["clause"].alias("clause")))
+    keyed = lambda rs: F.sort_array(F.transform(rs, lambda r: F.struct(r["label"].alias("label"), X.one_space(r["clause"]).alias("key"), r["no"].alias("no"), r.alias("r"))))
     same = lambda a, b: (a["label"] == b["label"]) & (a["key"] == b["key"])
-    distinct = lambda rs: let(F.sort_array(rs), lambda s: F.filter(s, lambda r, i: (i == 0) | ~same(r, F.get(s, i - 1))))
-    once = let(rows, lambda rs: F.when(F.size(rs) > 1, distinct(rs)).otherwise(rs))
-    return F.sort_array(F.transform(once, lambda r: F.struct(r["no"].alias("no"), r["x"]["rule"].alias("rule"), r["label"].alias("label"), r["x"]["points"].alias("points"), r["x"]["clause"].alias("clause"))))
+    firsts = lambda ks: F.filter(ks, lambda k, i: (i == 0) | ~same(k, F.get(ks, i - 1)))
+    return let(rows, lambda rs: F.when(F.size(rs) > 1, F.sort_array(F.transform(let(keyed(rs), firsts), lambda k: k["r"]))).otherwise(rs))
 
 
 def _hits(found: Column) -> Column:
@@ -358,12 +358,23 @@ def _hits(found: Column) -> Column:
         groups = let(starts, lambda at: F.transform(at, lambda a, k: hit(F.slice(xs, a + 1, F.coalesce(F.get(at, k + 1), F.size(xs)) - a))))
         return F.transform(F.sort_array(groups), lambda h: h["hit"])
 
-    return F.when(F.size(found) == 0, F.array().cast(_HITS)).otherwise(let(by_label, grouped).cast(_HITS))
+    one = F.get(found, F.lit(0))
+    alone = F.array(F.struct(one["label"].alias("keyword"), one["points"].alias("weight"), F.lit(1).alias("count"), F.when(one["points"] < 0, "neg").otherwise("pos").alias("polarity"), F.when(one["clause"] != "", one["clause"]).alias("context")))
+    return F.when(F.size(found) == 0, F.array().cast(_HITS)).when(F.size(found) == 1, alone.cast(_HITS)).otherwise(let(by_label, grouped).cast(_HITS))
 
 
-def scored(df: DataFrame, text: str, rules: RuleSet, industries: str | None = None) -> DataFrame:
-    """df with growth_total and growth_hits of each row's text (industries: a column of array<string>), by column expressions alone."""
-    names = F.col(industries) if industries else F.array().cast("array<string>")
-    found = mentions(F.coalesce(F.col(text), F.lit("")), rules, names)
+def scored(df: DataFrame, text: str, rules: RuleSet, industries: str | None = None, repeats: bool = False) -> DataFrame:
+    """df with growth_total and growth_hits of each row's text (industries: a column of array<string>), by column expressions alone.
+
+    repeats: equal texts are frequent, so distinct ones are scored, after partial aggregation, and joined to the rows.
+    """
+    cols = df.columns
+    rows = df.withColumns({"__t": F.coalesce(F.col(text), F.lit("")), "__n": F.col(industries) if industries else F.array().cast("array<string>")})
     total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x["points"])
-    return df.withColumn("__g", let(found, lambda xs: F.struct(total(xs).alias("total"), _hits(xs).alias("hits")))).select(*df.columns, F.col("__g.total").alias("growth_total"), F.col("__g.hits").alias("growth_hits"))
+    result = let(mentions(F.col("__t"), rules, F.col("__n")), lambda xs: F.struct(total(xs).alias("total"), _hits(xs).alias("hits")))
+    if repeats:
+        once = rows.select("__t", "__n").distinct().select(F.col("__t").alias("__u"), F.col("__n").alias("__m"), result.alias("__g"))
+        rows = rows.join(once, (F.col("__t") == F.col("__u")) & F.col("__n").eqNullSafe(F.col("__m")))
+    else:
+        rows = rows.withColumn("__g", result)
+    return rows.select(*cols, F.col("__g.total").alias("growth_total"), F.col("__g.hits").alias("growth_hits"))

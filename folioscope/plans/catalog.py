@@ -527,7 +527,7 @@ _ADJ = f"CASE WHEN l_linenumber % 2 = 0 THEN {_BASE} WHEN l_linenumber % 3 = 0 T
 
 @query(f"SELECT {_KEY}, CAST(CASE WHEN {_PCT} >= 20 THEN {_ADJ} ELSE 0 END AS BIGINT) AS total FROM lineitem")
 def growth_adjust(spark, d):
-    g = growth.scored(_mentions(spark, d), "sentence", _RULES)
+    g = growth.scored(_mentions(spark, d), "sentence", _RULES, repeats=True)
     return g.select(*_KEY.split(", "), F.col("growth_total").alias("total"))
 
 

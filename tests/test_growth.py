@@ -134,5 +134,11 @@ def test_native_has_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_repeats(spark):
+    rows = [(i, t, n) for i, (t, n) in enumerate([("增长50%", ["银行"]), ("增长50%", None), (None, None), ("增长50%", ["银行"]), ("x", [])] * 3)]
+    df = spark.createDataFrame(rows, "i int, t string, names array<string>")
+    assert sorted(scored(df, "t", RULES, "names", repeats=True).collect()) == sorted(scored(df, "t", RULES, "names").collect())
+
+
 def test_no_rules(spark):
     assert scored(spark.createDataFrame([("增长50%",)], "t string"), "t", RuleSet(())).first()[1:] == (0, [])
