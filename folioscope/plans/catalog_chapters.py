@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from folioscope.operators import chapters as C
 from folioscope.operators import headings as H
 from folioscope.operators import tree
 from folioscope.plans.catalog import query
+from folioscope.sources import sinks
 from folioscope.session import table
 
 #: Each line of a document is a page; so many places of 29 get one of these after it.
@@ -94,3 +97,15 @@ def _outline_and_spans(spark, d):
 @query(f"WITH {_HEADINGS_SQL} SELECT doc_id, CAST(idx AS INTEGER) AS idx, CAST(level AS INTEGER) AS level, title, {_DENSE.format('title')} AS plain, nullif(regexp_extract(title, '{H.NUMBER}', 1), '') AS number, CAST(page AS INTEGER) AS page, CAST(line_no AS INTEGER) AS line_no, score, method, CAST((SELECT max(p.idx) FROM h p WHERE p.doc_id = h.doc_id AND p.idx < h.idx AND p.level < h.level) AS INTEGER) AS parent_idx FROM h")
 def headings_detected(spark, d):
     return tree.with_parents(H.detected(*_outline_and_spans(spark, d), "doc_id"), "doc_id")
+
+
+@query("WITH l AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)), b AS (SELECT doc_id, i - 1 AS page, length(ls[i]) AS n, (i - 1) // 3 AS batch FROM l), s AS (SELECT doc_id, batch, sum(n) AS n FROM b GROUP BY 1, 2) SELECT doc_id, CAST(page AS INTEGER) AS page, coalesce((SELECT sum(s.n) FROM s WHERE s.doc_id = b.doc_id AND s.batch < b.batch), 0) >= 2000 AS late FROM b")
+def pages_in_budget(spark, d):
+    doc = table(spark, d, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("page", "text"))
+    return C.within_budget(doc, "doc_id", 2000, 3).select("doc_id", "page", "late")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN '8.31' ELSE month(o_orderdate) || '.' || day(o_orderdate) END AS tab FROM orders")
+def daily_snapshot_tabs(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderdate").cast("date")).alias("publish_date"))
+    return sinks.snapshot(rows, F.lit(date(2024, 8, 31))).select("o_orderkey", "tab")

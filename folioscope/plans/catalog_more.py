@@ -73,16 +73,18 @@ def letter_lines(spark, d):
     return _docs(spark, d).select("doc_id", X.letter_text(F.col("text")).alias("clean"))
 
 
-@query("SELECT doc_id, array_to_string(list_transform(list_filter(string_split(replace(coalesce(text, ''), chr(13), ''), chr(10)), lambda s: trim(s) <> '' AND NOT regexp_full_match(trim(s), '[0-9]+') AND NOT (regexp_full_match(trim(s), '[0-9]+\\s*/\\s*[0-9]+') AND length(trim(s)) <= 15)), lambda s: trim(s)), chr(10)) AS clean FROM documents WHERE NOT regexp_matches(coalesce(text, ''), '[!-~]{25,}')")
+# A place to break stands after each 20 characters of a run that 5 or more follow: set after every 20, taken back where fewer follow.
+_READING = "SELECT doc_id, array_to_string(list_transform(list_filter(string_split(replace(coalesce(text, ''), chr(13), ''), chr(10)), lambda s: trim(s) <> '' AND NOT regexp_full_match(trim(s), '[0-9]+') AND NOT (regexp_full_match(trim(s), '[0-9]+\\s*/\\s*[0-9]+') AND length(trim(s)) <= 15)), lambda s: regexp_replace(regexp_replace(trim(s), '([!-~]{20})', '\\1' || chr(8203), 'g'), '([!-~]{20})\\x{200b}([!-~]{0,4})([^!-~]|$)', '\\1\\2\\3', 'g')), chr(10)) AS clean FROM documents"
+
+
+@query(_READING)
 def reading_lines(spark, d):
-    doc = _docs(spark, d).where(~F.coalesce("text", F.lit("")).rlike("[!-~]{25,}"))
-    return doc.select("doc_id", X.reading_text(F.col("text")).alias("clean"))
+    return _docs(spark, d).select("doc_id", X.reading_text(F.col("text")).alias("clean"))
 
 
-# A place to break stands after each 20 characters of a run that 5 or more follow: set after every 20, taken back where fewer follow.
-@query("SELECT doc_id, array_to_string(list_transform(list_filter(string_split(replace(coalesce(text, ''), chr(13), ''), chr(10)), lambda s: trim(s) <> '' AND NOT regexp_full_match(trim(s), '[0-9]+') AND NOT (regexp_full_match(trim(s), '[0-9]+\\s*/\\s*[0-9]+') AND length(trim(s)) <= 15)), lambda s: regexp_replace(regexp_replace(trim(s), '([!-~]{20})', '\\1' || chr(8203), 'g'), '([!-~]{20})\\x{200b}([!-~]{0,4})([^!-~]|$)', '\\1\\2\\3', 'g')), chr(10)) AS clean FROM documents")
+@query(_READING)
 def reading_lines_whole(spark, d):
-    return _docs(spark, d).select("doc_id", X.reading_text(F.col("text")).alias("clean"))
+    return reading_lines(spark, d)
 
 
 @query("SELECT doc_id, array_to_string(list_transform(list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: trim(s) <> ''), lambda s: '<p>' || replace(replace(replace(replace(replace(trim(s), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&apos;') || '</p>'), chr(10)) AS xhtml FROM documents")

@@ -1,4 +1,4 @@
-"""Readers: report scans, maps from CSV and JSON, paged feeds, files."""
+"""Readers: report scans, maps from CSV and JSON, files."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from folioscope.functions import keys, times
 from folioscope.operators.latest import last_wins
@@ -92,55 +91,3 @@ def candidates(raw: DataFrame, start: Column, end: Column, least_year: int, code
     for p in reject:
         out = out.where(~F.startswith(F.col("stock_code"), F.lit(p)))
     return out if code is None else out.where(F.col("stock_code") == code)
-
-
-# ---- paged feed -----------------------------------------------------------------------------------------------------
-
-
-class _Column(InputPartition):
-    def __init__(self, name: str, path: str):
-        self.name, self.path = name, path
-
-
-class PagedReader(DataSourceReader):
-    """Pages of a feed, newest first. Reading a column stops behind the first page whose oldest row is before the window, or at
-    one whose newest is; pages that can't be read count as empty.
-
-    Pages come from files <path>/<column>/<n>.json, each a list of announcements; another transport overrides ``page``.
-    """
-
-    def __init__(self, options: dict):
-        self.path, self.start = options["path"], float(options.get("start", "-inf"))
-        self.columns = options.get("columns", "szse,sse").split(",")
-        self.most = int(options.get("max_pages", 50))
-
-    def partitions(self):
-        return [_Column(c, self.path) for c in self.columns]
-
-    def page(self, column: str, n: int) -> list[dict]:
-        return json_or(f"{self.path}/{column}/{n}.json", [])
-
-    def read(self, partition):
-        for n in range(1, self.most + 1):
-            rows = self.page(partition.name, n)
-            stamps = [float(t) / (1000 if t > 1e12 else 1) for r in rows if (t := r.get("announcementTime")) is not None]
-            if not rows or (stamps and max(stamps) < self.start):
-                return
-            for i, r in enumerate(rows):
-                yield partition.name, r.get("announcementTitle"), r.get("secCode"), r.get("secName"), None if r.get("announcementTime") is None else float(r["announcementTime"]), json.dumps(r, ensure_ascii=False), n * 1000 + i
-            if stamps and min(stamps) < self.start:
-                return
-
-
-class PagedFeed(DataSource):
-    """spark.read.format("paged_feed").option("path", ...).option("start", seconds).load()"""
-
-    @classmethod
-    def name(cls) -> str:
-        return "paged_feed"
-
-    def schema(self) -> str:
-        return "col string, title string, stock_code string, stock_name string, ts double, ann string, ordinal long"
-
-    def reader(self, schema):
-        return PagedReader(self.options)

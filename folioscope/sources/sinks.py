@@ -6,8 +6,10 @@ import zipfile
 from collections.abc import Iterable
 from html import escape
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope.functions import times
 
@@ -70,6 +72,34 @@ def write_tabs(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("tab").parquet(path)
 
 
+def read_tabs(spark: SparkSession, path: str) -> DataFrame:
+    """All tabs of a folder; their names stay as they were written (3.10 is not 3.1)."""
+    found = spark.read.parquet(path).schema
+    return spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) if f.name == "tab" else f for f in found])).parquet(path)
+
+
+def snapshot(rows: DataFrame, run_date: Column, published: str = "publish_date") -> DataFrame:
+    """rows with the tab ``M.D`` of their publication, or of the run where that is missing."""
+    return rows.withColumn("tab", tab_of("daily", F.lit(None), F.col(published), run_date))
+
+
+def sync_snapshot(rows: DataFrame, path: str) -> None:
+    """Brings the tabs of rows (tab, key, ...) in a folder of tabs up to date: known keys get the program's columns, manual ones stay, others are appended.
+
+    Only these tabs are replaced, each in one step when the job commits; a second run with the same rows changes nothing.
+    """
+    from folioscope.operators.merge import upsert
+
+    spark = rows.sparkSession
+    try:
+        old = read_tabs(spark, path)
+    except AnalysisException:  # the first run
+        old = spark.createDataFrame([], rows.schema)
+    tabs = rows.select("tab").distinct()
+    old = old.join(tabs, "tab", "left_semi").select(old.columns)
+    write_tabs(upsert(old, rows, ["tab", "key"], [c for c in rows.columns if c in PROGRAM_COLUMNS and c != "key"]), path)
+
+
 def write_lists(rows: DataFrame, path: str, value: str = "value", status: str = "status") -> None:
     """A text list for each status."""
     rows.select(F.col(value).cast("string").alias("value"), status).write.mode("overwrite").partitionBy(status).text(path)

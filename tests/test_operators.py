@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import keys, text, times
 from folioscope.operators import digest, latest, lookup, merge, search, sections, tree
-from folioscope.sources import readers, schemas, sinks
+from folioscope.sources import feeds, readers, schemas, sinks
 from folioscope.streaming import incremental
 
 
@@ -220,7 +220,7 @@ def test_sources(spark, tmp_path):
         for n, stamps in enumerate(([50, 40], [30, 5], [4, 3]), 1):
             page = [{"announcementTitle": "甲2023年年度报告", "secCode": "000001", "secName": "甲", "announcementTime": s * 1000 + 1.7e12} for s in stamps]
             (tmp_path / "feed" / col / f"{n}.json").write_text(json.dumps(page), encoding="utf-8")
-    spark.dataSource.register(readers.PagedFeed)
+    spark.dataSource.register(feeds.PagedFeed)
     feed = spark.read.format("paged_feed").option("path", str(tmp_path / "feed")).option("start", 1.7e9 + 10).load()
     assert feed.count() == 8  # the third pages are not read
     start, end = (times.from_epoch(F.lit(1_700_000_000 + s)) for s in (30, 50))
