@@ -732,4 +732,4 @@ def section_slices(spark, d):
 
 ORACLE_SQL["section_slices"] = "SELECT doc_id, trim('一、主要业务' || chr(10) || coalesce(text, ''), ' ' || chr(10) || chr(9) || chr(13)) AS business, '二、行业情况' || chr(10) || source AS industry, '三、未来发展' || chr(10) || lang AS future FROM documents"
 
-from folioscope.plans import catalog_chapters, catalog_more, catalog_sets  # noqa: E402, F401  add their queries to the same tables
+from folioscope.plans import catalog_chapters, catalog_more, catalog_sets, catalog_slices  # noqa: E402, F401  add their queries to the same tables

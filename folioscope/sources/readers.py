@@ -59,7 +59,11 @@ def csv_map(spark: SparkSession, path: str) -> DataFrame:
 
 def json_map(spark: SparkSession, path: str) -> DataFrame:
     """code, l1, l1_code from a JSON object whose values are lists [l1, l1_code] or objects; an envelope's "data" is looked into."""
-    text = spark.read.text(path, wholetext=True)
+    return json_map_of(spark.read.text(path, wholetext=True))
+
+
+def json_map_of(text: DataFrame) -> DataFrame:
+    """The same from rows (value), each a JSON object."""
     entries = text.select(F.explode(F.coalesce(F.from_json(F.get_json_object("value", "$.data"), "map<string,string>"), F.from_json("value", "map<string,string>"))).alias("code", "v"))
     pick = lambda i, *names: F.coalesce(F.get(F.from_json("v", "array<string>"), F.lit(i)), *[F.get_json_object("v", f"$.{n}") for n in names])
     return entries.select(keys.normal_code(F.col("code")).alias("code"), pick(0, "sw_l1", "industry", "l1").alias("l1"), pick(1, "sw_l1_code", "industry_code", "l1_code").alias("l1_code")).where("code IS NOT NULL AND l1 IS NOT NULL")
