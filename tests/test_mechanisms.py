@@ -1,12 +1,13 @@
-"""Feeds as streams, daily snapshots and cached maps, with failures and second runs."""
+"""Feeds as streams, daily snapshots, cached maps, providers and items, with failures and second runs."""
 
 import json
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource
 
-from folioscope.sources import feeds, sinks
+from folioscope.sources import feeds, items, providers, sinks
 from folioscope.sources.cached import CachedMap
 
 
@@ -93,3 +94,85 @@ def test_cached_map(spark, tmp_path):
     assert cache.load(t + timedelta(days=3), timedelta(days=1)) is None and cache.load(t + timedelta(days=2), timedelta(days=1)).count() == 2
     bad = spark.createDataFrame([("x",)], "v string").select(F.raise_error(F.col("v")).alias("v"))
     assert cache.refreshed(lambda: bad, "third", t).count() == 2 and cache.info()["source"] == "second"  # a write that dies switches nothing
+
+
+class _Known(providers.KeyedReader):
+    """Knows some keys, and notes what it was asked for."""
+
+    def fetch(self, keys):
+        with open(self.options["log"], "a") as f:
+            f.write("".join(f"{k}\n" for k in keys))
+        for k in keys:
+            if k in self.options["known"].split(","):
+                yield k, self.options["name"], None
+            elif k.startswith("blank"):
+                yield k, " ", None
+
+
+def _provider(kind, known, log):
+    class Source(DataSource):
+        @classmethod
+        def name(cls):
+            return kind
+
+        def schema(self):
+            return "code string, l1 string, l1_code string"
+
+        def reader(self, schema):
+            return _Known({"known": known, "log": log, "name": kind})
+
+    return Source
+
+
+def test_providers_get_what_is_missing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(providers, "BLOCK", 3)
+    logs = [tmp_path / n for n in ("one", "two", "three")]
+    for log, known in zip(logs, ("a,b", "a,c,blank1", "d"), strict=True):
+        log.touch()
+        spark.dataSource.register(_provider(f"p_{log.name}", known, str(log)))
+    keys = spark.createDataFrame([(k,) for k in ["a", "b", "c", "d", "e", "blank1", None, "a"]], "code string")
+    names = [f"p_{log.name}" for log in logs]
+    with pytest.raises(ValueError, match="filterPushdown"):
+        providers.asked(keys, "code", names, ["l1", "l1_code"])
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        got = providers.asked(keys, "code", names, ["l1", "l1_code"])
+        assert sorted(map(tuple, got.collect())) == [("a", "p_one", None, "p_one"), ("b", "p_one", None, "p_one"), ("blank1", "p_two", None, "p_two"), ("c", "p_two", None, "p_two"), ("d", "p_three", None, "p_three")]
+        assert [sorted(log.read_text().split()) for log in logs] == [["a", "b", "blank1", "c", "d", "e"], ["blank1", "c", "d", "e"], ["d", "e"]]
+        assert providers.asked(keys.where("code = 'x'"), "code", names, ["l1"]).count() == 0
+        with pytest.raises(Exception, match="read by code only"):
+            spark.read.format("p_one").load().collect()
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+class _Failing(items.ItemWriter):
+    def check(self, item, bodies):
+        super().check(item, bodies)
+        if item == "deadly":
+            raise SystemExit("the task dies")
+
+
+class _FailingItems(items.Items):
+    @classmethod
+    def name(cls):
+        return "failing_items"
+
+    def writer(self, schema, overwrite):
+        return _Failing(self.options)
+
+
+def test_items_whole_or_not(spark, tmp_path):
+    spark.dataSource.register(items.Items)
+    spark.dataSource.register(_FailingItems)
+    at = f"file://{tmp_path}/items"
+    make = lambda rows: spark.createDataFrame(rows, items.SCHEMA)
+    read = lambda: sorted((r.item, r.bodies) for r in items.items(spark, at).collect())
+    items.write_items(make([("a", 2, "y"), ("a", 1, "x"), ("b", 1, "z"), ("c", 1, "q"), ("c", 2, None)]), at)
+    assert read() == [("a", ["x", "y"]), ("b", ["z"])]
+    assert {r.item: r.reason for r in items.batches(spark, at).collect()} == {"a": None, "b": None, "c": "ValueError: a part is missing"}
+    with pytest.raises(Exception, match="(?i)dies|exit|abort|fail"):  # a task dies after others have written: nothing is published
+        items.write_items(make([("a", 1, "new"), ("deadly", 1, "x"), *[(f"i{k}", 1, "v") for k in range(20)]]), at, "failing_items")
+    assert read() == [("a", ["x", "y"]), ("b", ["z"])] and len(list((tmp_path / "items" / "batches").glob("*.json"))) == 1
+    items.write_items(make([("a", 1, "new"), ("c", 1, "q"), ("b", 1, None)]), at)  # the next run: the latest state of each item counts
+    assert read() == [("a", ["new"]), ("c", ["q"])]
