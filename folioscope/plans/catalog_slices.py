@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import unicode
 from folioscope.operators import extract as E
+from folioscope.operators import layers
 from folioscope.operators import reading as R
 from folioscope.operators import sections as S
 from folioscope.plans.catalog import query
@@ -178,3 +179,27 @@ def tables_shortened(spark, d):
     row = F.transform(F.sequence(F.lit(0), (8 + F.col("doc_id") % 5).cast("int")), lambda i: F.concat(F.lit("row "), i.cast("string"), F.lit(" | 12,345.6")))
     text = F.concat(F.coalesce("source", F.lit("")), F.lit("\n"), F.array_join(row, "\n"), F.lit("\n一段话。"))
     return table(spark, d, "documents").select("doc_id", R.preprocessed(text).alias("short"))
+
+
+_LAYERS = "SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN l_suppkey % 2 = 0 THEN l_returnflag END AS flag, CASE WHEN l_partkey % 3 = 0 THEN l_linestatus END AS status, CASE WHEN l_quantity > 25 THEN l_quantity END AS quantity FROM lineitem"
+
+
+@query(f"WITH l AS ({_LAYERS}), f AS (SELECT l_orderkey, flag, status, quantity, CASE WHEN flag IS NOT NULL THEN row_number() OVER (PARTITION BY l_orderkey, flag IS NULL ORDER BY l_linenumber, l_suppkey, flag) END AS a, CASE WHEN status IS NOT NULL THEN row_number() OVER (PARTITION BY l_orderkey, status IS NULL ORDER BY l_linenumber, l_suppkey, status) END AS b, CASE WHEN quantity IS NOT NULL THEN row_number() OVER (PARTITION BY l_orderkey, quantity IS NULL ORDER BY l_linenumber, l_suppkey, quantity) END AS c FROM l) SELECT l_orderkey, max(flag) FILTER (a = 1) AS flag, max(status) FILTER (b = 1) AS status, max(quantity) FILTER (c = 1) AS quantity FROM f GROUP BY l_orderkey")
+def layered_settings(spark, d):
+    """An order's lines as layers: each field from the first line that has it."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.when(F.col("l_suppkey") % 2 == 0, F.col("l_returnflag")).alias("flag"), F.when(F.col("l_partkey") % 3 == 0, F.col("l_linestatus")).alias("status"), F.when(F.col("l_quantity") > 25, F.col("l_quantity")).alias("quantity"))
+    return layers.field_wise(li, ["l_orderkey"], ["l_linenumber", "l_suppkey"], ["flag", "status", "quantity"])
+
+
+@query(
+    "WITH r AS (SELECT o_custkey, CASE o_orderkey % 4 WHEN 0 THEN 'list' WHEN 1 THEN 'single' ELSE 'none' END AS kind, o_orderkey, o_orderpriority, o_orderstatus FROM orders), k AS (SELECT *, min(CASE kind WHEN 'list' THEN 0 WHEN 'single' THEN 1 ELSE 2 END) OVER (PARTITION BY o_custkey) AS b FROM r) "
+    "SELECT o_custkey, o_orderkey AS no, o_orderpriority AS phrase, CASE WHEN o_orderstatus = 'F' THEN '7' ELSE '30' END AS cap, '0.1' AS k FROM k WHERE (b = 0 AND kind = 'list') OR (b = 1 AND kind = 'single') UNION ALL SELECT DISTINCT o_custkey, 0, 'p', '30', '0.1' FROM k WHERE b = 2"
+)
+def rules_chosen(spark, d):
+    """A list of rules before a single one before the defaults, each over the defaults."""
+    n = F.col("o_orderkey") % 4
+    kind = F.when(n == 0, "list").when(n == 1, "single").otherwise("none")
+    rule = F.when(F.col("o_orderstatus") == "F", F.create_map(F.lit("phrase"), F.col("o_orderpriority"), F.lit("cap"), F.lit("7"))).otherwise(F.create_map(F.lit("phrase"), F.col("o_orderpriority")))
+    rows = table(spark, d, "orders").select("o_custkey", kind.alias("kind"), F.col("o_orderkey").alias("no"), rule.alias("rule"))
+    got = layers.chosen_rules(rows, "o_custkey", {"phrase": "p", "cap": "30", "k": "0.1"})
+    return got.select("o_custkey", "no", *[F.col("rule")[f].alias(f) for f in ("phrase", "cap", "k")])
