@@ -10,6 +10,7 @@
    that scores little within the article is in.
 5. Elements within the region that their own names mark as noise (an advert, a form, a comment section; the sum of the weights
    of names that hold no main text in any labelled page is below NOISE) are taken out of it. A form that holds most of a page's words and paragraphs wraps the page; it marks nothing.
+   Nor does part of a longer name (has-sidebar, comments-open) of any such element, or any name beside one of main text.
 
 The text of a page: each block with references decoded, runs of white space as one space, trimmed; blocks joined by two line feeds.
 
@@ -36,6 +37,8 @@ from folioscope.llm._shared import pick
 #: Bounds of a word's score (what speaks against a block weighs less, as blocks that aren't text may stand within it); of a
 #: tag's; sum of an element's own weights that marks it as noise.
 MOST, LEAST, LEAST_TAG, MOST_TAG, NOISE = 4.0, -0.5, -1.0, -0.02, -0.9
+#: Names of main text in any page.
+MAIN = frozenset(("main", "article", "content"))
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page; those in RAW hold no tags.
@@ -51,12 +54,16 @@ _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _features(tag: str, attrs: str) -> list[str]:
-    out = [tag]
+def _features(tag: str, attrs: str) -> tuple[list[str], set[str]]:
+    """Names of an element, and those of them that only stand beside others in names such as has-sidebar or comments-open."""
+    out, whole, part = [tag], set(), set()
     if attrs:
         for _, a, b, c in _ATTR.findall(attrs):
-            out += ["." + w.lower() for w in _NAME.findall(a or b or c)]
-    return out
+            for name in (a or b or c).split():
+                words = ["." + w.lower() for w in _NAME.findall(name)]
+                out += words
+                (part if len(words) > 1 else whole).update(words)
+    return out, part - whole
 
 
 def tags(page: str):
@@ -80,6 +87,9 @@ def tags(page: str):
             yield start, at, "", False, ""
         else:
             name = _NAMED.match(page, start)
+            if name.end() >= no_end:
+                at = name.end()
+                continue
             i, tried = name.end(), []
             while True:
                 i = _PLAIN.match(page, i).end()
@@ -95,7 +105,7 @@ def tags(page: str):
                     break
             if i < 0:
                 dead.update(tried)
-                i = page.find(">", name.end()) if name.end() < no_end else -1
+                i = page.find(">", name.end())
                 if i < 0:  # no tag, but text
                     no_end = min(no_end, name.end())
                     at = name.end()
@@ -109,11 +119,12 @@ def tags(page: str):
 
 @dataclass
 class Page:
-    """Elements (parent, tag, own names) and blocks (element, text, number of words, mostly linked, tags before, marked)."""
+    """Elements (parent, tag, own names, those that are parts of longer ones) and blocks (element, text, number of words, mostly linked, tags before, marked)."""
 
     parent: list[int] = field(default_factory=list)
     tag: list[str] = field(default_factory=list)
     names: list[list[str]] = field(default_factory=list)
+    joined: list[set[str]] = field(default_factory=list)
     blocks: list[tuple[int, str, int, bool, list[str], bool]] = field(default_factory=list)
 
 
@@ -131,7 +142,9 @@ def parsed(page: str, marks: bool = False) -> Page:
         nonlocal hidden, links
         out.parent.append(stack[-1] if stack else -1)
         out.tag.append(tag)
-        out.names.append(_features(tag, attrs))
+        names, joined = _features(tag, attrs)
+        out.names.append(names)
+        out.joined.append(joined)
         if tag in BLOCKS:
             block_at.append(len(stack))
         stack.append(len(out.tag) - 1)
@@ -168,7 +181,7 @@ def parsed(page: str, marks: bool = False) -> Page:
             if links:
                 linked += len(s.split())
 
-    at = 0
+    at, last = 0, page.rfind(">")
     found = tags(page)
     for start, end, tag, closing, attrs in found:
         text(page[at:start])
@@ -205,7 +218,7 @@ def parsed(page: str, marks: bool = False) -> Page:
             pop_to(n)
         push(tag, attrs)
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at) if at <= last else None
             at = close.end() if close else len(page)
             pop_to(len(stack) - 1)
             found.send(at)
@@ -240,15 +253,26 @@ def _wrappers(page: Page) -> list[bool]:
     return [2 * w > total and p for w, p in zip(words, paragraphs, strict=True)]
 
 
-def _names_of(page: Page) -> list[list[str]]:
-    """Each element's own names; those of elements that wrap the page say nothing."""
-    wraps = _wrappers(page)
-    return [[] if tag in ("html", "body") or tag == "form" and w else own for tag, own, w in zip(page.tag, page.names, wraps, strict=True)]
+def _names_of(page: Page, w: Weights | None = None) -> list[list[str]]:
+    """Each element's own names; those of elements that wrap the page say nothing.
+
+    What holds most of the page is not noise by part of a name (it has a sidebar, or is open to comments), nor by any name beside one of main text.
+    """
+
+    def own(tag: str, names: list[str], joined: set[str], wraps: bool) -> list[str]:
+        if tag in ("html", "body") or tag == "form" and wraps:
+            return []
+        if not (wraps and w):
+            return names
+        main = any(n.lstrip(".") in MAIN or n[0] == "." and n not in w.marking and w.names.get(n, 0.0) > 0 for n in names)
+        return [n for n in names if n not in w.marking or not (main or n in joined)]
+
+    return list(map(own, page.tag, page.names, page.joined, _wrappers(page)))
 
 
 def judged(page: Page, w: Weights) -> tuple[list[float], list[float], list[bool]]:
     """Of each block: its words' score together, that of the tags before it, and whether it stands in noise."""
-    own = _names_of(page)
+    own = _names_of(page, w)
     score, noise = [0.0] * len(own), [False] * len(own)
     stack: list[int] = []
     count: Counter = Counter()

@@ -79,3 +79,23 @@ def test_linear_in_broken_pages():
         t = time.process_time()
         H.extract(page)
         assert time.process_time() - t < 8, page[:12]
+
+
+def test_wrappers_are_not_noise():
+    """An element that holds the page is not lost by a name that says what else it has; a comment thread that is longer than the article still goes."""
+    article = "<h2>Title</h2>" + "".join(f"<p>Many plain words of an article number {i}, long enough to count.</p>" for i in range(7))
+    want = H.extract(f"<body><article>{article}</article></body>")
+    assert want.count("\n\n") == 7
+    for w in ('div class="container has-sidebar"', 'article class="post comments-open has-related"', 'div id="page" class="site header-fixed"', 'main class="no-sidebar"', 'div class="wrap menu-open"', 'div id="main" class="research more"'):
+        assert H.extract(f"<body><nav><a href='/'>menu</a></nav><{w}>{article}</{w.split()[0]}><footer>foot</footer></body>") == want
+    thread = "".join(f"<p>I was here before all of the others, said number {i}.</p>" for i in range(40))
+    assert H.extract(f'<body><article>{article}</article><div class="comments">{thread}</div></body>') == want
+    assert H.extract(f'<body><div class="sidebar">{article}</div></body>') == ""
+
+
+def test_linear_in_unclosed_tags():
+    for unit in ("<div ", "</title ", "<a b='", "<!--x"):
+        for head in ("<p>", "<title>", ""):
+            began = time.thread_time()
+            H.extract(head + unit * (1_000_000 // len(unit)))
+            assert time.thread_time() - began < 4
