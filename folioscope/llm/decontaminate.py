@@ -89,16 +89,20 @@ def _window(words: str, start: Column, n: Column) -> Column:
 
 
 def _around(at: str, words: str, widths: list[int]) -> Column:
-    """array<struct<s, w>>: windows of words of these widths that have a gram at one of the places: short ones begin with it."""
+    """array<struct<s, w>>: windows of words of these widths that have a gram at one of the places: short ones begin with it.
+
+    Places are in ascending order; a long window comes from the first place that it covers, so each comes once.
+    """
     n = F.size(words)
 
-    def near(p: Column) -> Column:
+    def near(p: Column, i: Column) -> Column:
         short = [F.when(p + w <= n, F.array(F.struct(p.alias("s"), F.lit(w).alias("w")))) for w in widths if w < N]
-        first, last = F.greatest(p - (N - GRAM), F.lit(0)), F.least(p, n - N)
+        first = F.greatest(p - (N - GRAM), F.coalesce(F.get(F.col(at), i - 1) + 1, F.lit(0)), F.lit(0))
+        last = F.least(p, n - N)
         long = [F.when(first <= last, F.transform(F.sequence(first, F.greatest(first, last)), lambda s: F.struct(s.alias("s"), F.lit(N).alias("w"))))] if N in widths else []
         return F.concat(*[F.coalesce(x, F.array().cast("array<struct<s:int,w:int>>")) for x in (*short, *long)])
 
-    return F.array_distinct(F.flatten(F.transform(at, near)))
+    return F.flatten(F.transform(at, near))
 
 
 def hits(docs: DataFrame, bench: DataFrame, spark: SparkSession | None = None) -> DataFrame:
@@ -125,7 +129,7 @@ def hits(docs: DataFrame, bench: DataFrame, spark: SparkSession | None = None) -
         for k in lengths:
             if in_plan:
                 places.append(F.when(n >= k, F.filter(F.sequence(F.lit(0), n - k), _among(ws, k, sets[k]))).otherwise(F.array().cast("array<int>")))
-        at = F.array_distinct(F.concat(*places)) if in_plan else F.array().cast("array<int>")
+        at = F.sort_array(F.array_distinct(F.concat(*places))) if in_plan else F.array().cast("array<int>")
         return F.struct(n.alias("n"), at.alias("at"))
 
     scan = base.select("row", "doc_id", "text", let(words_of(_rough(F.col("text"))), found).alias("f"))
@@ -137,7 +141,7 @@ def hits(docs: DataFrame, bench: DataFrame, spark: SparkSession | None = None) -
         for k in lengths:
             e = grams.where(F.size("w") >= k).select("row", F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - k), _with_gram("w", k))).alias("x")).select("row", "x.p", "x.g")
             each = e if each is None else each.union(e)
-        at = each.join(either, "g", "left_semi").groupBy("row").agg(F.collect_set("p").alias("at"))
+        at = each.join(either, "g", "left_semi").groupBy("row").agg(F.sort_array(F.collect_set("p")).alias("at"))
         scan = scan.join(at, "row", "left").select("row", "doc_id", F.col("f.n").alias("n"), F.coalesce("at", F.array().cast("array<int>")).alias("at"), F.when(F.col("at").isNotNull(), F.col("text")).alias("text"))
     scan = kept(scan, spark, "bench-scan")
 

@@ -270,3 +270,13 @@ def test_long_texts_of_any_form(spark, documents):
 def test_masked(spark, documents):
     d = P.find(documents([(1, "é mail a@b.cd or 1.2.3.4!")])).select(P.masked(F.lit("é mail a@b.cd or 1.2.3.4!"), F.col("base")).alias("m"))
     assert d.first()["m"] == "é mail <EMAIL> or <IP>!"
+
+
+def test_dense_hits(spark, documents):
+    """A long text that consists of hit words: windows come once each, in time that grows with it."""
+    words = [f"w{i % 97}x{i % 101}" for i in range(30_000)]
+    item = " ".join(words[:9797])
+    docs, bench = documents([(1, " ".join(words)), (2, "no " + " ".join(words[5:17]))]), spark.createDataFrame([(7, item)], "item_id long, text string")
+    began = time.time()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.report(docs, bench, spark).collect()}
+    assert got == {1: (30_000, 30_000, 1), 2: (13, 0, 0)} and time.time() - began < 60
