@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -278,5 +279,5 @@ def test_dense_hits(spark, documents):
     item = " ".join(words[:9797])
     docs, bench = documents([(1, " ".join(words)), (2, "no " + " ".join(words[5:17]))]), spark.createDataFrame([(7, item)], "item_id long, text string")
     began = time.time()
-    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.report(docs, bench, spark).collect()}
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in DC.report(docs, bench, spark).collect()}
     assert got == {1: (30_000, 30_000, 1), 2: (13, 0, 0)} and time.time() - began < 60
