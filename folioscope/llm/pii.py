@@ -26,9 +26,10 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folioscope.functions.places import last_until
 from folioscope.llm._shared import kept, let, pick
 
 KINDS = ("email", "ip", "card", "phone")
@@ -111,6 +112,8 @@ def spans_of(text: Column, pattern: str) -> Column:
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda ms: F.when(F.size(ms) > 0, placed(ms)).otherwise(F.array().cast(_PLACES)))
 
 
+#: Base spans of a text that each token is held against one by one.
+FEW = 8
 _PLACES = "array<struct<start:int,end:int,value:string>>"
 _SPANS = "array<struct<start:int,end:int,kind:int,value:string>>"
 
@@ -220,13 +223,22 @@ def _learned(edges: DataFrame, texts: DataFrame, spark: SparkSession, rounds: in
     return sure, known
 
 
+def _apart(toks: Column, base: Column) -> Column:
+    """The tokens that no base span touches. Spans of a kind do not overlap, so of many only the last that begins before a token's end is looked at, by halving."""
+    few = F.filter(toks, lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+    none = F.array(F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("end")))
+    kinds = F.array(*[F.concat(none, F.transform(F.filter(base, _of_kind(k)), lambda b: F.struct(b["start"].alias("at"), b["end"].alias("end")))) for k in range(len(KINDS))])
+    many = let(kinds, lambda ks: F.filter(toks, lambda t: ~F.exists(ks, lambda spans: last_until(spans, t["end"] - 1)["end"] > t["start"])))
+    return F.when(F.size(base) <= FEW, few).otherwise(many)
+
+
 def find(docs: DataFrame, spark: SparkSession | None = None, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, base (spans), more (spans that contexts found): a row for each document."""
     spark = spark or docs.sparkSession
     rows = pick(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     base = rows.select("row", "doc_id", base_spans(F.col("text")).alias("base"), F.when(F.col("text").rlike(_TOKEN), candidates(F.col("text"))).alias("toks"), "text")
     # base spans are the seeds, other identifier-like tokens that no base span touches the candidates
-    apart = F.filter(F.coalesce("toks", F.array().cast(_PLACES)), lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+    apart = _apart(F.coalesce("toks", F.array().cast(_PLACES)), F.col("base"))
     unknown = F.transform(apart, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lit(None).cast("int").alias("kind"), t["value"].alias("value")))
     marks = let(F.array_sort(F.concat("base", unknown)), lambda ms: _contexts(F.col("text"), ms))
     scan = kept(base.select("row", "doc_id", "base", marks.alias("toks")), spark, "pii-scan")
@@ -241,9 +253,10 @@ def find(docs: DataFrame, spark: SparkSession | None = None, rounds: int = ROUND
     good = sure.where(F.col("conf") >= CONFIDENT)
     new = edges.where("kind IS NULL").join(good, "pattern").join(known.where(F.col("score") >= ACCEPT).select("value"), "value")
     new = new.groupBy("row", "start", "end", "value").agg(F.max(F.struct("conf", (-F.col("p_kind")).alias("k"))).alias("top"))
+    # a span within a longer one: one that begins earlier, or as early and is longer, reaches as far
+    before = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    new = new.withColumn("reach", F.max("end").over(before)).where("reach IS NULL OR reach < end")
     found = new.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", (-F.col("top.k")).cast("int").alias("kind"), "value"))).alias("more"))
-    within = lambda a, b: (b["start"] <= a["start"]) & (b["end"] >= a["end"]) & (b["end"] - b["start"] > a["end"] - a["start"])
-    found = found.select("row", F.filter("more", lambda a: ~F.exists("more", lambda b: within(a, b))).alias("more"))
     return scan.select("row", "doc_id", "base").join(found, "row", "left").select("doc_id", "base", F.coalesce("more", empty).alias("more"))
 
 
