@@ -166,22 +166,24 @@ def _contexts(text: Column, marks: Column) -> Column:
     """marks with the patterns beside each: the words between it and the spans around."""
     near = range(1, 5)
 
-    def one(t: Column, i: Column, part) -> Column:
+    def one(t: Column, i: Column, part, size: Column) -> Column:
         # the nearest ends and starts among the neighbours that don't overlap
         low = F.greatest(F.lit(0), *[F.when(F.get(marks, i - k)["end"] <= t["start"], F.get(marks, i - k)["end"]) for k in near])
-        high = F.least(F.length(text), *[F.when(F.get(marks, i + k)["start"] >= t["end"], F.get(marks, i + k)["start"]) for k in near])
+        high = F.least(size, *[F.when(F.get(marks, i + k)["start"] >= t["end"], F.get(marks, i + k)["start"]) for k in near])
         words = lambda a, b: F.filter(F.split(F.lower(part(a, b)), r"\s+"), lambda w: w != "")
         before = let(words(low, t["start"]), lambda ws: F.array(F.concat(F.lit("L:"), F.try_element_at(ws, F.lit(-1))), F.concat(F.lit("L:"), F.try_element_at(ws, F.lit(-2)), F.lit(" "), F.try_element_at(ws, F.lit(-1)))))
         after = let(words(t["end"], high), lambda ws: F.array(F.concat(F.lit("R:"), F.try_element_at(ws, F.lit(1))), F.concat(F.lit("R:"), F.try_element_at(ws, F.lit(1)), F.lit(" "), F.try_element_at(ws, F.lit(2)))))
         return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["kind"].alias("kind"), t["value"].alias("value"), F.filter(F.concat(before, after), lambda p: p.isNotNull()).alias("patterns"))
 
-    def within(pieces: Column) -> Column:
-        """The text from a to b is put together from the pieces there, so all gaps together cost no more than the text."""
+    def within(whole: Column) -> Column:
+        """The text from a to b is put together from the pieces there, so all gaps together cost no more than the text; its length is counted once."""
+        pieces = whole["pieces"]
         piece = lambda at: F.floor(at / PIECE).cast("int")
         part = lambda a, b: F.substring(F.array_join(F.slice(pieces, piece(a) + 1, piece(b) - piece(a) + 1), ""), a - piece(a) * PIECE + 1, b - a)
-        return F.transform(marks, lambda t, i: one(t, i, part))
+        return F.transform(marks, lambda t, i: one(t, i, part, whole["size"]))
 
-    return F.when(F.size(marks) > 0, let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), within)).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>"))
+    whole = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("pieces"), F.length(text).alias("size"))
+    return F.when(F.size(marks) > 0, let(whole, within)).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>"))
 
 
 def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:

@@ -268,6 +268,15 @@ def test_long_texts_of_any_form(spark, documents):
     assert got[0].n_email == 1 and got[4].n_card == 4_000 and got[3].n_ip == 1
 
 
+def test_dense_text(spark, documents):
+    """50,000 addresses and as many ids in one text, beside a text with few."""
+    text = " ".join(f"u{i}@h{i % 50}.org id{100_000 + i}" for i in range(50_000))
+    began = time.monotonic()
+    got = {r.doc_id: r for r in P.report(documents([(1, text), (2, "u1@h1.org")])).collect()}
+    assert time.monotonic() - began < 60
+    assert got[1].base_sha256 == hashlib.sha256(",".join(s for _, _, s in base(text)).encode()).hexdigest() and got[1].n_email == 50_000 and got[2].n_email == 1
+
+
 def test_masked(spark, documents):
     d = P.find(documents([(1, "é mail a@b.cd or 1.2.3.4!")])).select(P.masked(F.lit("é mail a@b.cd or 1.2.3.4!"), F.col("base")).alias("m"))
     assert d.first()["m"] == "é mail <EMAIL> or <IP>!"
