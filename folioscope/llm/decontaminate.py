@@ -186,7 +186,8 @@ def clean(docs: DataFrame, bench: DataFrame, spark: SparkSession | None = None,
         names = bad.select("k", "x")
         return rows.join(F.broadcast(names) if names.count() <= MAX_BROADCAST else names, same, "left_anti").toDF(*cols)
     got = rows.join(bad, same, "left")
-    left = F.array_join(F.filter(words_of(ascii_lower(text)), lambda w, i: ~F.array_contains("hit", i)), " ")
+    # hit documents have words; array_except hashes, so dense hits cost no more than the text
+    left = let(words_of(ascii_lower(text)), lambda ws: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ws) - 1), F.col("hit")), lambda i: F.get(ws, i)), " "))
     fixed = F.when(F.col("hit").isNull(), text).otherwise(left)
     return got.select(*[fixed.alias(f"c{i}") if c == "text" else F.col(f"c{i}") for i, c in enumerate(cols)]).toDF(*cols)
 

@@ -82,12 +82,30 @@ def place(df: DataFrame, key: str = "doc_id", shards: tuple[str, ...] | int = SH
 
 
 def write_shards(df: DataFrame, path: str, key: str = "doc_id", shards: tuple[str, ...] | int = SHARDS, size: int = TABLE_SIZE, slices: int = 1) -> None:
-    """Writes df as one folder for each shard. slices: files (and tasks) that share a shard's rows."""
-    placed = place(df, key, shards, size)
+    """Writes df as one folder for each shard. slices: files (and tasks) that share a shard's rows.
+
+    A file holds each name once, whatever its case: of columns whose names clash (also with "shard") the first keeps its name, later
+    ones get a number (Text_2).
+    """
+    placed = place(df.toDF(*_apart(df.columns, key)), key, shards, size)
     salt = F.pmod(F.xxhash64(F.col(key)), F.lit(slices))
     placed.repartition(F.col("shard"), salt).write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
+def _apart(names: list[str], key: str) -> list[str]:
+    """The names with numbers after those that, but for their case, are "shard", the key or one before."""
+    taken, out = {"shard", key.lower()}, []
+    own = names.index(key)
+    for i, name in enumerate(names):
+        new, n = name, 1
+        while i != own and new.lower() in taken:
+            n += 1
+            new = f"{name}_{n}"
+        taken.add(new.lower())
+        out.append(new)
+    return out
+
+
 def sql(shards: int = SHARDS, size: int = TABLE_SIZE) -> str:
     """DuckDB SQL for the placements of `documents`."""
     owners = ",".join(map(str, lookup_table(shard_names(shards), size)))

@@ -61,6 +61,10 @@ def test_placement(spark, documents, clashing, tmp_path):
     assert S.place(plain.limit(0)).count() == 0
     S.write_shards(plain, str(tmp_path / "s"), slices=2)
     assert spark.read.parquet(str(tmp_path / "s")).count() == 3
+    S.write_shards(d.withColumn("Shard_2", F.lit(3)), str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 4 and {"doc_id", "DOC_ID_2", "Text_2", "shard_2", "Shard_2_2", "shard"} <= set(back.columns)
+    assert sorted(map(str, back.select("doc_id", "shard").collect())) == sorted(str(r) for r in S.place(documents([(1, "a"), (1, "a"), (None, None), (7, "")])).select("doc_id", "shard").collect())
 
 
 # ---- mixing -------------------------------------------------------------------------------------------------------
