@@ -10,7 +10,8 @@
    that scores little within the article is in.
 5. Elements within the region that their own names mark as noise (an advert, a form, a comment section; the sum of the weights
    of names that hold no main text in any labelled page is below NOISE) are taken out of it. A form that holds most of a page's words and paragraphs wraps the page; it marks nothing.
-   Nor does part of a longer name (has-sidebar, comments-open) of any such element, or any name beside one of main text.
+   Nor does part of a longer name (has-sidebar, comments-open) of any such element, or any name beside one of main text. A header
+   with a heading within an article is the article's, not the page's: its name says nothing, the names within it still do.
 
 The text of a page: each block with references decoded, runs of white space as one space, trimmed; blocks joined by two line feeds.
 
@@ -43,7 +44,9 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page; those in RAW hold no tags.
 RAW = frozenset("script style textarea title noembed xmp iframe noframes".split())
-HIDDEN = RAW | frozenset("head noscript template svg math canvas object select option button datalist audio video".split())
+HIDDEN = RAW | frozenset("head noscript template svg annotation annotation-xml canvas object select option button datalist audio video".split())
+#: Names of a header, of what has a header of its own, and of headings.
+HEADER, OWNER, HEADINGS = frozenset(("header", ".header")), frozenset(("article", ".article", ".post", ".entry")), frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements of which a new one ends an open one, as does one of the same group.
 SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr", "td": "td th", "th": "td th", "option": "option"}
 _OPEN = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[A-Za-z])")
@@ -253,21 +256,34 @@ def _wrappers(page: Page) -> list[bool]:
     return [2 * w > total and p for w, p in zip(words, paragraphs, strict=True)]
 
 
+def _own_headers(page: Page) -> list[bool]:
+    """Elements that are the header of an article: they hold a heading, and the article holds them."""
+    within, heading = [False] * len(page.tag), [tag in HEADINGS for tag in page.tag]
+    for i, up in enumerate(page.parent):
+        within[i] = up >= 0 and (within[up] or not OWNER.isdisjoint(page.names[up]))
+    for i in range(len(heading) - 1, -1, -1):
+        if page.parent[i] >= 0:
+            heading[page.parent[i]] |= heading[i]
+    return [a and h and not HEADER.isdisjoint(names) for a, h, names in zip(within, heading, page.names, strict=True)]
+
+
 def _names_of(page: Page, w: Weights | None = None) -> list[list[str]]:
     """Each element's own names; those of elements that wrap the page say nothing.
 
     What holds most of the page is not noise by part of a name (it has a sidebar, or is open to comments), nor by any name beside one of main text.
     """
 
-    def own(tag: str, names: list[str], joined: set[str], wraps: bool) -> list[str]:
+    def own(tag: str, names: list[str], joined: set[str], wraps: bool, heads: bool) -> list[str]:
         if tag in ("html", "body") or tag == "form" and wraps:
             return []
+        if heads and w:
+            names = [n for n in names if n not in HEADER]
         if not (wraps and w):
             return names
         main = any(n.lstrip(".") in MAIN or n[0] == "." and n not in w.marking and w.names.get(n, 0.0) > 0 for n in names)
         return [n for n in names if n not in w.marking or not (main or n in joined)]
 
-    return list(map(own, page.tag, page.names, page.joined, _wrappers(page)))
+    return list(map(own, page.tag, page.names, page.joined, _wrappers(page), _own_headers(page)))
 
 
 def judged(page: Page, w: Weights) -> tuple[list[float], list[float], list[bool]]:

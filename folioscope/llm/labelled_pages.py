@@ -68,7 +68,7 @@ SIDES = (
 )
 
 #: Names of classes and ids each of which tells by itself that an element isn't main text.
-MARKED = "menu navbar navigation header banner masthead footer copyright sidebar widget ad ads advert advertisement sponsored promo cookie notice consent dialog alert notification subscribe newsletter signup comments comment reply discussion commentlist responses related recommended share social breadcrumb breadcrumbs pagination pager popup modal overlay login search".split()
+MARKED = "menu navbar navigation header banner masthead footer copyright sidebar widget ad ads advert advertisement sponsored promo cookie notice consent dialog alert notification subscribe newsletter signup comments comment reply discussion commentlist responses related recommended share social breadcrumb breadcrumbs pagination pager popup modal overlay login search disqus remarks sponsoring bio".split()
 
 
 def pages() -> list[str]:
@@ -90,7 +90,7 @@ def pages() -> list[str]:
         out.append(f"<html><body>{open_}{side}<!--keep-->{body}<!--/keep-->{side}{close}</body></html>")
     for i, name in enumerate(MARKED):
         body, (open_, close) = BODIES[i % len(BODIES)], HOLDERS[i % len(HOLDERS)]
-        tag, inner = ("div", "section", "ul", "p", "span")[i % 5], (f"<p>{FILL}</p>", f"{FILL}", f"<li>{SHORT}</li><li>{SHORT}</li>", f"{FILL} {SHORT}", SHORT)[i % 5]
+        tag, inner = ("div", "section", "ul", "p", "div")[i % 5], (f"<p>{FILL}</p>", f"{FILL}", f"<li>{SHORT}</li><li>{SHORT}</li>", f"{FILL} {SHORT}", SHORT)[i % 5]
         side = f'<{tag} {("class", "id")[i % 2]}="{name}">{inner}</{tag}>'
         out.append(f"<html><body>{side}{open_}<!--keep-->{body}<!--/keep-->{side}{close}{side}</body></html>")
     return out

@@ -99,3 +99,24 @@ def test_linear_in_unclosed_tags():
             began = time.thread_time()
             H.extract(head + unit * (1_000_000 // len(unit)))
             assert time.thread_time() - began < 4
+
+
+def test_header_of_an_article():
+    """The title in an article's own header is its text; what else the header holds is told by its own names, and the page's header goes."""
+    text = "".join(f"<p>Many plain words of an article number {i}, long enough to count.</p>" for i in range(7))
+    site = '<header><h1>The site</h1><p>Of many pages.</p></header><div class="site-header"><h2>And its name</h2></div>'
+    for head in ("<header>%s</header>", '<div class="entry-header">%s</div>', '<header class="entry-header">%s</header>'):
+        for open_, close in (("<article>", "</article>"), ('<div class="post">', "</div>"), ('<main><article class="entry">', "</article></main>")):
+            inner = head % '<h1>A title of the usual length</h1><nav><a href="/">up</a></nav><div class="share">Share this with all</div>'
+            got = H.extract(f"<body>{site}{open_}{inner}{text}{close}<footer>foot</footer></body>").split("\n\n")
+            assert got[0] == "A title of the usual length" and len(got) == 8, got
+    assert H.extract(f"<body><article><header><p>No title stands here.</p></header>{text}</article></body>").startswith("Many plain words")
+
+
+def test_formulas_and_names_of_noise():
+    text = "".join(f"<p>Many plain words of an article number {i}, long enough to count.</p>" for i in range(7))
+    formula = '<p>Let <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding="tex">x=1</annotation></semantics></math> be it.</p>'
+    noise = ('<div id="disqus_thread"><p>I was here too, and first.</p></div>', '<div class="remarks"><p>I was here too, and first.</p></div>', '<div class="Zr9-sponsoring">Buy this.</div>', '<div class="author-bio"><p>Writes of many things.</p></div>')
+    for n in noise:
+        got = H.extract(f"<body><article><h1>Title</h1>{formula}{text}{n}</article>{n}</body>").split("\n\n")
+        assert got[:2] == ["Title", "Let x=1 be it."] and len(got) == 9, (n, got[-1])
