@@ -28,7 +28,7 @@ from folioscope.llm._shared import let, pick
 #: Labelled rows to fit on at most, the lowest by hash. Scores cover all documents.
 SAMPLE = 20_000
 THRESHOLD, FOLDS = 0.3, 5
-TREES, DEPTH, BINS = 18, 3, 32
+TREES, DEPTH, BINS = 40, 3, 32
 
 
 def statistics(text: Column) -> dict[str, Column]:
