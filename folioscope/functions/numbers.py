@@ -39,7 +39,7 @@ def digit_share(text: Column) -> Column:
 
 def industry_multiplier(industries: Column, entries: list[tuple[tuple[str, ...], float]]) -> Column:
     """The smallest multiplier whose industry fits one of the array's (equal, or one contains the other); 1 without any."""
-    some = F.filter(F.transform(F.coalesce(industries, F.array().cast("array<string>")), F.trim), lambda h: h != "")
+    some = F.filter(F.transform(F.coalesce(industries, F.array().cast("array<string>")), lambda i: F.trim(i)), lambda h: h != "")
     out = F.lit(1.0)
     for names, m in entries:
         if m > 0:

@@ -116,6 +116,11 @@ def _kept_lines(text: Column, drops, trim: bool = True) -> Column:
     return F.filter(lines(text), lambda ln: ~bad(ln))
 
 
+def _trimmed_lines(text: Column, drops) -> Column:
+    """The kept lines without spaces around them. (``F.trim`` itself as the function of a transform would take the line's number as what to trim.)"""
+    return F.array_join(F.transform(_kept_lines(text, drops), lambda ln: F.trim(ln)), "\n")
+
+
 def normalized(text: Column) -> Column:
     """Page numbers, headers, borders and blank lines dropped; spaces removed."""
     rules = lambda s: [s == "", s.rlike(PAGE_NUMBER), s.rlike(PAGE_OF), s.rlike(BORDER), F.contains(s, F.lit("年度报告全文")), *_header(s, 20)]
@@ -125,7 +130,7 @@ def normalized(text: Column) -> Column:
 def letter_text(text: Column) -> Column:
     """As ``normalized``, but gentler: blank lines stay (two line feeds at most), spaces are collapsed."""
     rules = lambda s: [s.rlike(PAGE_NUMBER), s.rlike(PAGE_OF), F.contains(s, F.lit("年度报告全文")), *_header(s, 0, "有限公司")[:3]]
-    out = F.array_join(F.transform(_kept_lines(text, rules), F.trim), "\n")
+    out = _trimmed_lines(text, rules)
     return F.trim(F.regexp_replace(F.regexp_replace(out, "[ \t]+", " "), "\n{3,}", "\n\n"))
 
 
