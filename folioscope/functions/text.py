@@ -124,7 +124,7 @@ def _trimmed_lines(text: Column, drops) -> Column:
 def normalized(text: Column) -> Column:
     """Page numbers, headers, borders and blank lines dropped; spaces removed."""
     rules = lambda s: [s == "", s.rlike(PAGE_NUMBER), s.rlike(PAGE_OF), s.rlike(BORDER), F.contains(s, F.lit("年度报告全文")), *_header(s, 20)]
-    return F.replace(F.array_join(F.transform(_kept_lines(text, rules), F.trim), "\n"), F.lit(" "), F.lit(""))
+    return F.replace(_trimmed_lines(text, rules), F.lit(" "), F.lit(""))
 
 
 def letter_text(text: Column) -> Column:

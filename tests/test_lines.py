@@ -8,7 +8,7 @@ from folioscope.functions import numbers, text
 LINES = [f" {chr(97 + n)} {n}{n}{' ' * (n % 2)}" for n in range(12)]
 
 
-@pytest.mark.parametrize(("function", "between"), [(text.letter_text, " ")])
+@pytest.mark.parametrize(("function", "between"), [(text.letter_text, " "), (text.normalized, "")])
 def test_lines_are_trimmed_of_spaces_alone(spark, function, between):
     df = spark.createDataFrame([("\n".join(LINES),), (None,), ("",)], "t string")
     want = "\n".join(f"{chr(97 + n)}{between}{n}{n}" for n in range(12))
