@@ -71,7 +71,7 @@ def has_title(text: Column) -> Column:
     page = dense(text)
     elsewhere = page.rlike(NAMES_IT) & page.rlike(f"{POINTS}|{CAUTIONS}")
     own_line = F.exists(F.split(text, "\n"), lambda ln: dense(ln).rlike(TITLE_LINE))
-    line = F.regexp_extract(text, rf"[^\n]*{TITLE_WITHIN}[^\n]*", 0)
+    line = F.regexp_extract(text, rf"(?md)^[^\n]*{TITLE_WITHIN}[^\n]*", 0)  # tried at a line's start alone: linear in long lines
     around = dense(F.regexp_extract(text, rf"(?s).{{0,30}}{TITLE_WITHIN}.{{0,30}}", 0))
     within = (line != "") & ~line.rlike(QUOTES) & (F.length(dense(line)) <= 60) & ~around.rlike(POINTS)
     return ~elsewhere & (own_line | within)
