@@ -33,6 +33,7 @@ POINTS = "详见|请查阅|参阅"
 CAUTIONS = "风险提示|重要提示"
 QUOTES = "[“”\"'《》]"
 LISTS = rf"目{B}录|释{B}义|词{B}汇{B}表|名词解释|备查文件目录"
+LEADER_MARKS = ("......", "·", "…")
 LEADER = r"[.·…]{6,}.*[0-9]{1,4}\s*$"
 ITEM = rf"第{B}{ORDINAL}{B}(?:节|章|部分)"
 ANCHOR = rf"报告期内公司(?:所从事的主要业务|从事的(?:主要)?业务)|(?:^|\n){B}{ORDINAL}{MARK}{B}报告期内公司所?(?:从事|经营)的(?:主要)?业务情况|(?:^|\n){B}(?:业务概述|业务情况|主要业务)(?:[^\p{{L}}\p{{N}}_]|$)"
@@ -60,10 +61,19 @@ def stripped(c: Column) -> Column:
     return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
+def _has(text: Column, *words: str) -> Column:
+    """Whether the text has one of the words. A search of bytes: it goes before expressions that can match with them alone."""
+    out = F.contains(text, F.lit(words[0]))
+    for w in words[1:]:
+        out = out | F.contains(text, F.lit(w))
+    return out
+
+
 def is_list(text: Column) -> Column:
     """A table of contents, a glossary or another list."""
     leaders = F.size(F.filter(F.split(text, "\n"), lambda ln: ln.rlike(LEADER)))
-    return text.rlike(LISTS) | (leaders >= 3) | (F.regexp_count(text, F.lit(ITEM)) >= 8)
+    named = _has(text, "录", "义", "表", "名词解释") & text.rlike(LISTS)
+    return named | (_has(text, *LEADER_MARKS) & (leaders >= 3)) | (_has(text, "第") & (F.regexp_count(text, F.lit(ITEM)) >= 8))
 
 
 def has_title(text: Column) -> Column:
@@ -74,7 +84,7 @@ def has_title(text: Column) -> Column:
     line = F.regexp_extract(text, rf"(?md)^[^\n]*{TITLE_WITHIN}[^\n]*", 0)  # tried at a line's start alone: linear in long lines
     around = dense(F.regexp_extract(text, rf"(?s).{{0,30}}{TITLE_WITHIN}.{{0,30}}", 0))
     within = (line != "") & ~line.rlike(QUOTES) & (F.length(dense(line)) <= 60) & ~around.rlike(POINTS)
-    return ~elsewhere & (own_line | within)
+    return _has(text, "讨") & _has(text, "论") & ~elsewhere & (own_line | within)
 
 
 def paged(df: DataFrame, key: str, pages: str = "pages") -> DataFrame:
@@ -100,8 +110,9 @@ def located(pages: DataFrame, key: str) -> DataFrame:
     It ends before the first page with a mark of a later chapter, after LONGEST pages at most.
     """
     text = F.col("text")
-    flags = {"list": is_list(text), "title": has_title(text), "anchor": text.rlike(ANCHOR), "near": text.rlike(NEAR_ANCHOR), "figures": text.rlike(FIGURES), "later": text.rlike(LATER)}
-    rows = pages.where(F.coalesce(dense(text), F.lit("")) != "").select(key, "page", "text", *[c.alias(f"__{n}") for n, c in flags.items()])
+    business = _has(text, "业务")
+    flags = {"list": is_list(text), "title": has_title(text), "anchor": business & text.rlike(ANCHOR), "near": business & text.rlike(NEAR_ANCHOR), "figures": _has(text, *FIGURES.split("|")), "later": _has(text, "节", "公司治理", "接待调研", "市值管理") & text.rlike(LATER)}
+    rows = pages.where(text.rlike(r"[^\s\p{Z}]")).select(key, "page", "text", *[c.alias(f"__{n}") for n, c in flags.items()])
     doc, page = W.partitionBy(key), F.col("page")
     least = lambda cond: F.min(F.when(cond, page)).over(doc)
     on = {n: F.col(f"__{n}") for n in flags}

@@ -32,3 +32,17 @@ def test_titles_within_lines(spark):
     texts = ["".join(r.choice(parts) for _ in range(r.randrange(1, 14))) for _ in range(3000)]
     got = [x[0] for x in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(C.has_title(F.col("t"))).collect()]
     assert got == [plain(t) for t in texts] and 100 < sum(got) < 2900
+
+
+def test_words_before_expressions_change_nothing(spark):
+    """A flag with a search of words before its expression is what the expression alone says."""
+    r = random.Random(4)
+    parts = ["第三节", "第 四 节", "第4节", "节", "管理层讨论与分析", "讨", "论", "\n", " ", "　", "目 录", "释义", "词汇表", "名词解释", "备查文件目录", "......", "…………", "·" * 6, "12", "业务概述", "一、", "报告期内公司从事的主要业务", "十二、报告期内接待调研", "市值管理", "13.", "公司治理", "04", "非经常性损益", "分季度主要财务指标", "报告期内公司所从事的主要业务、经营模式", "主要业务"]
+    docs = [["".join(r.choice(parts) for _ in range(r.randrange(0, 7))) for _ in range(40)] for _ in range(60)]
+    df = C.paged(spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "id int, pages array<string>"), "id").where("text <> ''")
+    t = F.col("text")
+    leaders = F.size(F.filter(F.split(t, "\n"), lambda ln: ln.rlike(C.LEADER)))
+    is_list = t.rlike(C.LISTS) | (leaders >= 3) | (F.regexp_count(t, F.lit(C.ITEM)) >= 8)
+    assert df.where(C.is_list(t) != is_list).count() == 0 and df.where(is_list).count() > 50
+    for p, words in ((C.ANCHOR, ["业务"]), (C.NEAR_ANCHOR, ["业务"]), (C.LATER, ["节", "公司治理", "接待调研", "市值管理"]), (C.FIGURES, C.FIGURES.split("|"))):
+        assert df.where(t.rlike(p) & ~C._has(t, *words)).count() == 0 and df.where(t.rlike(p)).count() > 50
