@@ -10,13 +10,12 @@ have no row in ``chapters``; ``located`` keeps nothing of them.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioscope.functions import text as X
+from folioscope.functions.by_row import by_row
 from folioscope.operators import letters as L
 from folioscope.operators import sections as S
 
@@ -144,14 +143,8 @@ def chapters(pages: DataFrame, key: str) -> DataFrame:
     return whole.withColumn("business", overview(F.col("full_mda")))
 
 
-@F.pandas_udf(T.StringType())
-def _outlook(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else S.outlook(t, LEAST_OUTLOOK))
-
-
-@F.pandas_udf(T.StringType())
-def letter_of(texts: pd.Series) -> pd.Series:
-    return texts.map(L.letter)
+_outlook = by_row(lambda t: None if t is None else S.outlook(t, LEAST_OUTLOOK))
+letter_of = by_row(L.letter)
 
 
 def letters(pages: DataFrame, key: str) -> DataFrame:

@@ -9,13 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioscope.functions import text as X
+from folioscope.functions.by_row import by_row
 from folioscope.operators import chapters as C
 from folioscope.operators import letters as L
 from folioscope.operators import sections as S
@@ -78,10 +77,12 @@ def placeholder(reason: Column | str, text: Column, least: int = 300, most: int
     return F.concat(F.lit("[PARSE_FAILED] reason="), F.lit(reason) if isinstance(reason, str) else reason, excerpt)
 
 
-@F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in FIELDS]))
-def _alternative(texts: pd.Series) -> pd.DataFrame:
-    rows = [alternative_sections(t) or {} for t in texts]
-    return pd.DataFrame({n: [r.get(n) for r in rows] for n in FIELDS})
+def _alternative_row(text: str | None) -> tuple:
+    found = alternative_sections(text) or {}
+    return tuple(found.get(n) for n in FIELDS)
+
+
+_alternative = by_row(_alternative_row, ", ".join(f"{n} string" for n in FIELDS))
 
 
 def extracted(df: DataFrame, key: str, pages: str = "pages", chars: int = C.BUDGET) -> DataFrame:
