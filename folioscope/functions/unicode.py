@@ -5,18 +5,13 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+from folioscope.functions.by_row import by_row
 
 _INVISIBLE = re.compile("[​‌‍⁠﻿­]")
 
 
 def compatible(text: Column) -> Column:
-    """NFKC without invisible characters; null stays null. ASCII texts are their own form, so a batch's others alone are looked at."""
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: t if t is None or t.isascii() else _INVISIBLE.sub("", unicodedata.normalize("NFKC", t)))
-
-    return run(text)
+    """NFKC without invisible characters; null stays null. ASCII texts are their own form."""
+    return by_row(lambda t: t if t is None or t.isascii() else _INVISIBLE.sub("", unicodedata.normalize("NFKC", t)))(text)
