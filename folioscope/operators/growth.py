@@ -236,6 +236,8 @@ _SEPARATORS = f"[{CLAUSE_ENDS}]|[{BOXES}](?=适用|不适用)"
 _PERCENT = r"(?U)(\d+(?:\.\d+)?)\s*%"
 _FULL_WIDTH, _DIGITS = "０１２３４５６７８９", "0123456789"
 _BLOCK = 1024
+#: Bytes of distinct texts that may be broadcast with their mentions (counted before), and what a row of them takes besides.
+MAX_BROADCAST, _ROW_BYTES = 4 << 20, 64
 _HITS = "array<struct<keyword:string,weight:int,count:int,polarity:string,context:string>>"
 
 
@@ -298,7 +300,7 @@ def _clause(text: Column, clause: Column, at: Column, most: int = 800) -> Column
 
 
 def mentions(text: Column, rules: RuleSet, industries: Column) -> Column:
-    """array<struct<rule, no, label, points, clause>>: what ``RuleSet.mentions`` gives, by lists of places.
+    """array<struct<no, rule, label, points, clause, kind>>: what ``RuleSet.mentions`` gives, by lists of places. kind: the number of the phrase.
 
     Places of phrases come from one pass for each phrase; the text after one is cut out of blocks of the text; the clause of a percentage is found by
     halving in the sorted list of clauses; of equal labels and clauses the first is kept by a sort.
@@ -308,7 +310,7 @@ def mentions(text: Column, rules: RuleSet, industries: Column) -> Column:
     clauses = F.transform(places.parts(text, _SEPARATORS), lambda c: F.struct(c["at"].alias("at"), said(c["part"]).alias("said")))
     blocks = F.when(F.length(text) <= _BLOCK, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)))
 
-    def of(rule: GrowthRule, number: int, pattern: str, label: str | None, clauses: Column, blocks: Column) -> Column:
+    def of(kind: int, rule: GrowthRule, number: int, pattern: str, label: str | None, clauses: Column, blocks: Column) -> Column:
         stops = "^[^" + re.escape(rule.stop_chars.replace(",", "").replace("，", "")) + "]*"
         some = rule.window_chars // _BLOCK + 2
 
@@ -323,7 +325,7 @@ def mentions(text: Column, rules: RuleSet, industries: Column) -> Column:
         def judged(x: Column) -> Column:
             base, tail = _base(rule, x["v"])
             factor = F.lit(float(rule.score_multiplier)) * numbers.industry_multiplier(industries, list(rule.industry_multipliers))
-            clause = lambda c: let(_clause(text, c, x["at"]), lambda s: F.struct(F.lit(number).alias("rule"), F.concat(x["phrase"], tail).alias("label"), _adjusted(rule, x["phrase"], s, base, factor).alias("points"), s.alias("clause")))
+            clause = lambda c: let(_clause(text, c, x["at"]), lambda s: F.struct(F.lit(number).alias("rule"), F.concat(x["phrase"], tail).alias("label"), _adjusted(rule, x["phrase"], s, base, factor).alias("points"), s.alias("clause"), F.lit(kind).alias("kind")))
             return let(places.last_until(clauses, x["at"]), clause)
 
         counted = F.filter(F.transform(places.matches(text, pattern), found), lambda x: x["v"].isNotNull() & _base(rule, x["v"])[0].isNotNull())
@@ -332,9 +334,9 @@ def mentions(text: Column, rules: RuleSet, industries: Column) -> Column:
 
     kinds = [(i, r, _quoted(label) if label else p.pattern, label) for i, r in enumerate(active) for p, label in r.matchers()]
     if not kinds:
-        return F.array().cast("array<struct<no:int,rule:int,label:string,points:int,clause:string>>")
-    each = lambda cs: let(blocks, lambda bs: F.concat(*[of(r, i, p, label, cs, bs) for i, r, p, label in kinds]))
-    rows = F.transform(let(clauses, each), lambda x, i: F.struct(i.alias("no"), x["rule"].alias("rule"), x["label"].alias("label"), x["points"].alias("points"), x["clause"].alias("clause")))
+        return F.array().cast("array<struct<no:int,rule:int,label:string,points:int,clause:string,kind:int>>")
+    each = lambda cs: let(blocks, lambda bs: F.concat(*[of(k, r, i, p, label, cs, bs) for k, (i, r, p, label) in enumerate(kinds)]))
+    rows = F.transform(let(clauses, each), lambda x, i: F.struct(i.alias("no"), x["rule"].alias("rule"), x["label"].alias("label"), x["points"].alias("points"), x["clause"].alias("clause"), x["kind"].alias("kind")))
     keyed = lambda rs: F.sort_array(F.transform(rs, lambda r: F.struct(r["label"].alias("label"), X.one_space(r["clause"]).alias("key"), r["no"].alias("no"), r.alias("r"))))
     same = lambda a, b: (a["label"] == b["label"]) & (a["key"] == b["key"])
     firsts = lambda ks: F.filter(ks, lambda k, i: (i == 0) | ~same(k, F.get(ks, i - 1)))
@@ -378,3 +380,35 @@ def scored(df: DataFrame, text: str, rules: RuleSet, industries: str | None = No
     else:
         rows = rows.withColumn("__g", result)
     return rows.select(*cols, F.col("__g.total").alias("growth_total"), F.col("__g.hits").alias("growth_hits"))
+
+
+def scored_rows(df: DataFrame, key: str, text: str, rules: RuleSet, order: str | None = None) -> DataFrame:
+    """key, growth_total and growth_hits of documents whose texts stand in rows (of equal key, in the order of ``order``, else of the text).
+
+    As ``scored`` of a document's rows joined, if each ends a clause at a mark that is a stop of all rules, so no mention reaches into the next. Distinct
+    texts are judged once; the rest is joins and groups by document, after one shuffle. Documents without mentions are left out.
+    """
+    rows = df.select(F.col(key).alias("__k"), F.col(text).alias("__t"), F.col(order or text).alias("__o"))
+    once = rows.select(F.col("__t").alias("__u")).distinct()
+    few = once.agg(F.coalesce(F.sum(F.octet_length("__u") + _ROW_BYTES), F.lit(0))).first()[0] <= MAX_BROADCAST
+    found = once.select("__u", mentions(F.col("__u"), rules, F.array().cast("array<string>")).alias("__f"))
+    keyed = lambda x: F.struct(x["label"].alias("label"), X.one_space(x["clause"]).alias("key"), *[x[c].alias(c) for c in ("kind", "no", "rule", "points", "clause")])
+    found = found.select("__u", F.transform("__f", keyed).alias("__f"))
+    same = F.col("__t") == F.col("__u")
+    # few texts go to the rows, which then stay with their documents
+    said = rows.repartition("__k").join(F.broadcast(found), same) if few else rows.join(found, same).repartition("__k")
+    # inline() would infer a filter by its mentions, which Spark pushes below distinct() to all rows
+    said = said.select("__k", "__o", F.inline_outer("__f")).where(F.col("label").isNotNull())
+    place = lambda *more: F.struct("kind", "__o", "no", *more)
+    first = said.groupBy("__k", "label", "key").agg(F.min(place("rule", "points", "clause")).alias("m")).select("__k", "label", "m.*")
+    hit = first.groupBy("__k", "rule", "label").agg(
+        F.min(place()).alias("at"),
+        F.sum("points").alias("total"),
+        F.min(F.struct((-F.abs("points")).alias("size"), place().alias("at"), "points"))["points"].alias("weight"),
+        F.count(F.lit(1)).cast("int").alias("count"),
+        F.when(F.min("points") < 0, "neg").otherwise("pos").alias("polarity"),
+        F.min(F.when(F.col("clause") != "", place("clause")))["clause"].alias("context"),
+    )
+    hits = F.sort_array(F.collect_list(F.struct("at", F.struct(F.col("label").alias("keyword"), "weight", "count", "polarity", "context").alias("hit"))))
+    out = hit.groupBy("__k").agg(F.sum("total").alias("growth_total"), F.transform(hits, lambda h: h["hit"]).cast(_HITS).alias("growth_hits"))
+    return out.withColumnRenamed("__k", key)

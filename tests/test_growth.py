@@ -5,7 +5,9 @@ import random
 from pyspark.sql import functions as F
 
 from folioscope.functions import numbers
-from folioscope.operators.growth import GrowthRule, RuleSet, clause_at, is_table, scored, trimmed
+from folioscope.operators import growth
+from folioscope.operators.growth import GrowthRule, RuleSet, clause_at, is_table, scored, scored_rows, trimmed
+from folioscope.plans import catalog
 
 
 def total(text, *rules, industries=()):
@@ -142,3 +144,28 @@ def test_repeats(spark):
 
 def test_no_rules(spark):
     assert scored(spark.createDataFrame([("增长50%",)], "t string"), "t", RuleSet(())).first()[1:] == (0, [])
+
+
+def test_rows_of_documents(spark):
+    rng = random.Random(7)
+    words = ["同比增长", "增长", "下降", "减少了", "复合增长率", "公司", "行业", "成本", "亏损", "□适用", "不适用", " ", "甲", "12%", "20.5%", "45 %", "300%", "20.0000001%"]
+    parts = ["".join(rng.choice(words) for _ in range(rng.randrange(0, 9))) + "。" for _ in range(60)]
+    rows = [(d, i, rng.choice(parts)) for d in range(120) for i in range(rng.randrange(0, 7))] + [(200, 0, None), (201, 0, "增长50%。"), (201, 1, None)]
+    df = spark.createDataFrame(rows, "d int, i int, t string")
+    docs = spark.createDataFrame([(d, "".join(t or "" for k, _, t in rows if k == d)) for d in sorted({r[0] for r in rows})], "d int, t string")
+    want = sorted((r.d, r.growth_total, r.growth_hits) for r in scored(docs, "t", RULES).collect() if r.growth_hits)
+    assert sorted(map(tuple, scored_rows(df, "d", "t", RULES, "i").collect())) == want and len(want) > 60
+    kept = growth.MAX_BROADCAST
+    try:
+        growth.MAX_BROADCAST = 0
+        assert sorted(map(tuple, scored_rows(df, "d", "t", RULES, "i").collect())) == want
+    finally:
+        growth.MAX_BROADCAST = kept
+
+
+def test_rows_are_judged_once(spark):
+    """growth_dedupe_agg: no filter of the plan looks for mentions, as that would be done for each row and again for what is left."""
+    d = "/root/testdata/sf0.001"
+    plan = catalog.growth_dedupe_agg(spark, d)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [ln for ln in plan.splitlines() if ln.strip(" :+-").startswith("Filter")]
+    assert "Aggregate" in plan and not [ln for ln in filters if "transform" in ln]
