@@ -560,8 +560,10 @@ def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, l
         if turn and new.isEmpty():
             break
         comp = components(new, spark) if comp is None else _joined(comp, new, spark)
-        rest = _open(left.drop("comp"), comp)
-        left = kept(_with_hubs(rest.drop("hub")) if turn < PEELS else rest, spark, "join-left")
+        # kept once: hubs read their rows several times, and would make this join for each
+        left = kept(_open(left.drop("comp"), comp), spark, "join-rest")
+        if turn < PEELS:
+            left = kept(_with_hubs(left.drop("hub")), spark, "join-left")
 
     # pairs of different components that still share a bucket: by what sets them apart from the bucket's first hub
     hubs = stars.select("key", "node", F.col("hub").alias("hub1"))

@@ -533,3 +533,17 @@ def test_pipeline(spark, documents, tmp_path):
     assert seen[3] <= seen[2] and seen[4] == seen[3] and {"shard", "slot"} <= set(docs.columns)
     whole = C.run(spark, str(tmp_path))
     assert sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_a_turn_joins_its_rows_once(spark, monkeypatch):
+    """The rows of open buckets are kept before hubs are chosen, which reads them several times."""
+    plans, keep = [], J.kept
+
+    def kept(df, s, tag):
+        plans.append((tag, df._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi")))
+        return keep(df, s, tag)
+
+    monkeypatch.setattr(J, "kept", kept)
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(60)) + f" x{i % 3}") for i in range(6)], "doc_id long, text string")
+    assert {r.component_id for r in J.join(docs, spark).collect()} == {0}
+    assert "join-rest" in dict(plans) and max(n for _, n in plans) <= 1, plans
