@@ -62,6 +62,8 @@ ROWS_AT_ONCE = 1000
 PEELS = 2
 #: Keys that one in so many sampled documents has are spread over so many tasks.
 HOT_SHARE, SALTS = 64, 64
+#: A frequent key is XORed with its salt times this (63 bits at most).
+SALT = 0x9E3779B97F4A7C
 #: Digests that share their 64 bits with others; more than any corpus has (n * n / 2**65 of n texts).
 MAX_CLASHES = 10_000
 #: Ids (8 bytes each) that may be broadcast; more are shuffled.
@@ -77,6 +79,7 @@ _IS_GAP = np.zeros(256, bool)
 _IS_GAP[[0x20, *range(0x09, 0x0E)]] = True
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
+_ZERO, _FIRST = np.zeros(1, _U), np.ones(1, bool)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -129,7 +132,8 @@ def sets_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         for k in range(j - i):
             a, b = int(first[k]), int(first[k + 1])
             if b - a >= WORDS:
-                yield i + k, np.unique(s[a : b - WORDS + 1])
+                own = np.sort(s[a : b - WORDS + 1])
+                yield i + k, own[np.concatenate((_FIRST, own[1:] != own[:-1]))]
             elif b > a:
                 short = (words[a:b] * _ODD[: b - a]).sum(dtype=_U, keepdims=True) + _times(b - a, 5)
                 yield i + k, _mix(short)
@@ -175,16 +179,20 @@ def shares(band: int) -> int:
     return 1 + (room(band) // 2 if int(LOWS[band + 1]) - 1 <= DELETIONS else room(band))
 
 
-def _keys(s: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _values(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a set's elements, and the sums of those before each element (with one more at the end)."""
+    g = _mix(s + _ODD[6])
+    return g, np.concatenate((_ZERO, np.cumsum(g)))
+
+
+def _keys(s: np.ndarray, band: int, values: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a set in a band's partition: sums by segment, sizes, each element's segment and value."""
     m = segments(band)
     seg = ((s >> _U(32)) * _U(m) >> _U(32)).astype(np.int64)
-    g = _mix(s + _ODD[6])
+    g, before = values or _values(s)
     size = np.bincount(seg, minlength=m)
-    sums = np.zeros(m, _U)
-    full = np.flatnonzero(size)
-    sums[full] = np.add.reduceat(g, np.r_[0, np.cumsum(size[full])[:-1]])
-    return sums, size, seg, g
+    ends = np.cumsum(size)  # a set is sorted, so a segment's elements stand together
+    return before[ends] - before[ends - size], size, seg, g
 
 
 def _named(sums: np.ndarray, seg: np.ndarray, band: int, kind: int) -> np.ndarray:
@@ -213,9 +221,9 @@ def _probe(s: np.ndarray, band: int, most: int, hot: np.ndarray, freq: np.ndarra
     less = _named(sums[seg] - g, seg, band, 0)
     twice = _cost(_named(sums[full], full, band, 1), hot, freq) + np.bincount(seg, weights=_cost(less, hot, freq), minlength=len(sums))[full]
     twice = np.maximum(twice + 0.5 + size[full] * 0.01, once)[size[full] > 1]  # a second difference costs some keys in any case
-    order = np.argsort(np.r_[once, twice], kind="stable")[: most + 1 + room(band)]
+    order = np.argsort(np.concatenate((once, twice)), kind="stable")[: most + 1 + room(band)]
     ones, twos = full[order[order < len(full)]], full[size[full] > 1][order[order >= len(full)] - len(full)]
-    return ones, np.r_[_named(sums[twos], twos, band, 1), less[np.isin(seg, twos)]], len(full) + len(twice)
+    return ones, np.concatenate((_named(sums[twos], twos, band, 1), less[np.isin(seg, twos)])), len(full) + len(twice)
 
 
 #: PROBE: in the band below; OWN: in the set's own band, by one deletion; ELEMENT: an element of a set that has too few segments.
@@ -228,7 +236,8 @@ def rows_of(s: np.ndarray, hot: np.ndarray, freq: np.ndarray, split: np.ndarray
     """Keys and roles of a set. split: frequent keys."""
     n = len(s)
     band = band_of(n)
-    own = _keys(s, band)
+    values = _values(s)
+    own = _keys(s, band, values)
     size = own[1]
     full, most = np.flatnonzero(size), 2 * n // 9
     ones, more, stands = _probe(s, band, most, hot, freq, own)
@@ -244,10 +253,10 @@ def rows_of(s: np.ndarray, hot: np.ndarray, freq: np.ndarray, split: np.ndarray
     # without a common key all segments of both sets would have to differ
     few = stands <= most or 4 * len(full) <= n
     if band and n <= (high := int(LOWS[band]) - 1) * 5 // 4:
-        below = _keys(s, band - 1)
+        below = _keys(s, band - 1, values)
         most = (n + high) // 9
         ones, more, stands = _probe(s, band - 1, most, hot, freq, below)
-        more = np.r_[_named(below[0][ones], ones, band - 1, 0), more]
+        more = np.concatenate((_named(below[0][ones], ones, band - 1, 0), more))
         keys.append(more)
         roles.append(np.full(len(more), PROBE + SHORT * (stands < most + 1 + room(band - 1)), np.int8))
         few |= stands <= most
@@ -497,9 +506,13 @@ def _with_hubs(rows: DataFrame) -> DataFrame:
     return rows.join(hubs.select(F.col("key").alias("k"), "hub"), F.col("key") == F.col("k")).drop("k")
 
 
+def _with_comp(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    return rows.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
 def _open(rows: DataFrame, comp: DataFrame) -> DataFrame:
     """rows (key, node and others) but hubs, of keys whose nodes are in several components; with comp."""
-    rows = rows.where("node <> hub").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    rows = _with_comp(rows.where("node <> hub"), comp)
     several = rows.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select(F.col("key").alias("k"))
     # of the keys that sets of other components have: as many as a similar one would share
     return _pruned(rows.join(several, F.col("key") == F.col("k"), "left_semi"))
@@ -529,12 +542,15 @@ def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, l
     hot_tokens = _frequent(some.where(F.pmod("node", F.lit(4 * every)) == 0).mapInArrow(_elements, "key long, node long"))
     rows = texts.mapInArrow(_emit(hot, freq, hot[freq >= max(SEEN, SAMPLE // HOT_SHARE)]), _ROWS)
     is_hot, role = F.col("role") >= HOT, F.pmod("role", F.lit(HOT)).cast("byte")
-    rows = rows.withColumn("salt", F.when(is_hot, F.pmod("node", F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
-    bucket = W.partitionBy("key", "salt")
+    # a key, or a frequent one with its salt, in one number, which sorts faster than two; the key comes from it again
+    salted = lambda key: F.when(is_hot, F.col(key).bitwiseXOR(F.pmod("node", F.lit(SALTS)) * F.lit(SALT))).otherwise(F.col(key))
+    rows = rows.select(salted("key").alias("place"), "node", "role")
+    bucket = W.partitionBy("place")
     is_size, indexed = F.col("role") == SIZE, F.pmod("role", F.lit(SHORT)).isin(INDEXED, BOTH, ELEMENT).cast("int")
-    keyed = rows.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).withColumn("p", F.max(_probing().cast("int")).over(bucket)).withColumn("i", F.max(indexed).over(bucket))
-    keyed = keyed.where(is_size | is_hot | ((F.col("low") < F.col("high")) & (F.col("p") == 1) & (F.col("i") == 1)))
-    shared = kept(keyed.groupBy("key", "salt", "node", role.alias("role")).agg(F.max("low")).select("key", "node", "role"), spark, "join-keys")  # rows of a key and salt are together: no shuffle
+    # most keys have one node: what else is asked of a bucket is asked of the others alone
+    keyed = rows.withColumn("low", F.min("node").over(bucket)).withColumn("high", F.max("node").over(bucket)).where(is_size | is_hot | (F.col("low") < F.col("high")))
+    keyed = keyed.withColumn("p", F.max(_probing().cast("int")).over(bucket)).withColumn("i", F.max(indexed).over(bucket)).where(is_size | is_hot | ((F.col("p") == 1) & (F.col("i") == 1)))
+    shared = kept(keyed.groupBy("place", "node", "role").agg(F.max("low")).select(salted("place").alias("key"), "node", role.alias("role")), spark, "join-keys")  # rows of a place are together: no shuffle
     packed = lambda shift, bits: F.shiftright("key", shift).bitwiseAND((1 << bits) - 1)
     sizes = kept(shared.where(F.col("role") == SIZE).groupBy("node").agg(F.max("key").alias("key")).select("node", packed(0, 32).alias("n"), packed(32, 16).alias("q_own"), packed(48, 15).alias("q_below")), spark, "join-sizes")
 
@@ -560,10 +576,12 @@ def _join(docs: DataFrame, spark: SparkSession) -> tuple[DataFrame, DataFrame, l
         if turn and new.isEmpty():
             break
         comp = components(new, spark) if comp is None else _joined(comp, new, spark)
+        if turn == PEELS:  # none gets another hub, so open buckets are not looked for again
+            left = _with_comp(left, comp)
+            break
         # kept once: hubs read their rows several times, and would make this join for each
-        left = kept(_open(left.drop("comp"), comp), spark, "join-rest")
-        if turn < PEELS:
-            left = kept(_with_hubs(left.drop("hub")), spark, "join-left")
+        left = kept(_open(left, comp), spark, "join-rest")
+        left = kept(_with_hubs(left.drop("hub")), spark, "join-left")
 
     # pairs of different components that still share a bucket: by what sets them apart from the bucket's first hub
     hubs = stars.select("key", "node", F.col("hub").alias("hub1"))

@@ -206,6 +206,19 @@ def test_hub_far_from_its_family(spark, documents, monkeypatch):
     assert made[150, "join-tokens"].count() <= 12 * made[30, "join-tokens"].count()
 
 
+def test_keys_of_one_place(spark, documents, monkeypatch):
+    """Frequent keys come back from the places to which their salts deal them."""
+    tables, keep, docs = {}, J.kept, list(enumerate(f"a b c d e f g h i j k l m{i % 9} n o p q r s t u v w x{i}" for i in range(40)))
+    monkeypatch.setattr(J, "kept", lambda df, s, tag: tables.setdefault(tag, keep(df, s, tag)) if tag == "join-keys" else keep(df, s, tag))
+    keys = []
+    for share in (J.HOT_SHARE, 4000):  # no key is frequent; those in 4 texts or more are
+        tables.clear()
+        monkeypatch.setattr(J, "HOT_SHARE", share)
+        assert sorted(tuple(r)[:3] for r in J.join(documents(docs)).collect()) == brute_join(docs)
+        keys.append({tuple(r) for r in tables["join-keys"].collect()})
+    assert keys[0] <= keys[1], keys[0] - keys[1]
+
+
 def test_pairs_at_the_limit_share_enough(spark):
     """Random pairs of 18 to 36 shingles at the limit of similarity, where many segments are frequent: no set is pruned."""
     rng = np.random.default_rng(3)
@@ -547,3 +560,15 @@ def test_a_turn_joins_its_rows_once(spark, monkeypatch):
     docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(60)) + f" x{i % 3}") for i in range(6)], "doc_id long, text string")
     assert {r.component_id for r in J.join(docs, spark).collect()} == {0}
     assert "join-rest" in dict(plans) and max(n for _, n in plans) <= 1, plans
+
+
+def test_open_rows_are_looked_for_only_before_another_hub(spark, monkeypatch):
+    """The last turn does not join the rows of open buckets again: no turn follows that would use them."""
+    tags, keep = [], J.kept
+    monkeypatch.setattr(J, "kept", lambda df, s, tag: (tags.append(tag), keep(df, s, tag))[1])
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(60)) + f" x{i % 3}") for i in range(6)], "doc_id long, text string")
+    for peels in (0, 1):
+        monkeypatch.setattr(J, "PEELS", peels)
+        tags.clear()
+        assert {r.component_id for r in J.join(docs, spark).collect()} == {0}
+        assert tags.count("join-rest") == tags.count("join-left") == peels
