@@ -46,8 +46,11 @@ def _at_line(pattern: str) -> str:
     return rf"(?:^|\n)(?:{pattern})"
 
 
-def alternative_sections(text: str | None) -> dict[str, str | None] | None:
-    """Overview, board report and outlook of a report without the usual chapter; None if it has none of them."""
+def alternative_sections(text: str | None, blank: str | None = None, cut: str | None = None) -> dict[str, str | None] | None:
+    """Overview, board report and outlook of a report without the usual chapter; None if it has none of them.
+
+    blank, cut: the characters that are blanks around a part, and before the mark of a cut, if not all white space.
+    """
     if not text:
         return None
     t = text
@@ -55,18 +58,18 @@ def alternative_sections(text: str | None) -> dict[str, str | None] | None:
         t = S.without_block(t, _at_line(start), [_at_line(e) for e in ends])
     parts: list[str] = []
     for start, ends in (OVERVIEW, BOARD):
-        p = S.between(t, _at_line(start), [_at_line(e) for e in ends])
+        p = S.between(t, _at_line(start), [_at_line(e) for e in ends], blank)
         if p and not any(p in x or x in p for x in parts):
             parts.append(p)
-    business = S.truncated("\n\n".join(parts), 70_000) or None
+    business = S.truncated("\n\n".join(parts), 70_000, cut) or None
     future = None
     if found := [i for w in OUTLOOK if (i := t.find(w)) >= 0]:
         line = t.rfind("\n", 0, min(found)) + 1
         later = [m.start() for e in OUTLOOK_ENDS if (m := re.compile(rf"\n\s*(?:{e})").search(t, line + 50))]
-        future = S.truncated(t[line : min(later, default=len(t))].strip(), 40_000)
+        future = S.truncated(t[line : min(later, default=len(t))].strip(blank), 40_000, cut)
     if not business and not future:
         return None
-    full = S.truncated("\n\n".join(filter(None, (business, future))), 140_000)
+    full = S.truncated("\n\n".join(filter(None, (business, future))), 140_000, cut)
     return {"industry": None, "business": business, "future": future, "chairman_letter": L.letter(text), "full_mda": full}
 
 
